@@ -147,8 +147,8 @@ def sample_log(reports: DataFrame) -> DataFrame:
     text = F.format_string(
         "[%s] [OK] VEL: %.1f km/h | ACEL: %.2f m/s²",
         F.coalesce("p.time", F.lit("N/A")),
-        F.round(number_or_zero(F.col("p.speed")), 1),
-        F.round(number_or_zero(F.col("p.accel")), 2),
+        number_or_zero(F.col("p.speed")),
+        number_or_zero(F.col("p.accel")),
     )
     newest_first = F.posexplode(F.reverse("points")).alias("line", "p")
     return reports.select("trip_id", newest_first).select("trip_id", "line", text.alias("text"))

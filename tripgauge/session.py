@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "tripgauge", master: str | None = None, **conf: str) -> SparkSession:
-    """Session in UTC with AQE; pass ``spark_sql_…`` style overrides through ``conf``
-    as plain keys, e.g. ``**{"spark.sql.shuffle.partitions": "16"}``."""
+    """Session in UTC with AQE; ``conf`` takes further settings, e.g.
+    ``**{"spark.sql.shuffle.partitions": "16"}``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -30,5 +31,4 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         return tempfile.mkdtemp(prefix=f"tripgauge-{name}-")
-    unique = spark.sql("SELECT uuid()").head()[0]
-    return f"{shared.rstrip('/')}/tripgauge/{name}-{unique}"
+    return f"{shared.rstrip('/')}/tripgauge/{name}-{uuid.uuid4()}"

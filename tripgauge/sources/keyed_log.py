@@ -25,8 +25,8 @@ class KeyedLog:
         self.path = path.rstrip("/")
         self.key = key
         self.schema = schema
-        self._versioned = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        self._snapshot = T.StructType([*self._versioned.fields, T.StructField("created_seq", T.LongType())])
+        self.schema_with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        self._snapshot = T.StructType([*self.schema_with_batch.fields, T.StructField("created_seq", T.LongType())])
 
     @property
     def batches_path(self) -> str:
@@ -39,7 +39,7 @@ class KeyedLog:
 
     def history(self) -> DataFrame:
         """Every row of every batch still kept as a batch, with ``batch_id``."""
-        return self._read(self.batches_path, self._versioned, self.batches_path)
+        return self._read(self.batches_path, self.schema_with_batch, self.batches_path)
 
     def latest(self, before: int | None = None) -> DataFrame:
         """The newest row per key, ``batch_id`` it came with and ``created_seq`` of the

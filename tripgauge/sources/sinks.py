@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,6 @@ def append_audit(scored: DataFrame, target: str, run_id: str, **jdbc: str) -> No
 
 def append_report(report: DataFrame, path: str) -> str:
     """Store one fleet report and return its id."""
-    report_id = report.sparkSession.sql("SELECT uuid()").head()[0]
+    report_id = str(uuid.uuid4())
     report.withColumn("report_id", F.lit(report_id)).write.mode("append").parquet(path)
     return report_id
