@@ -36,7 +36,7 @@ def kinematics(
             added["in_tail"] = in_last_rows(keep_points, trip, slices.needed)
         return frame.withColumns(added)
 
-    lagged = over_trips(df, derive, 1, slices)
+    lagged = over_trips(df, derive, 1, ["speed_kmh"], slices)
     delta_v = (F.col("speed_kmh") - F.col("prev_speed")) / F.lit(profile.accel_divisor)
     delta_t = elapsed_seconds(F.col("event_time"), F.col("prev_time"))
     accel = acceleration(F.col("speed_kmh"), F.col("prev_speed"), F.col("delta_t"), profile)
@@ -62,4 +62,4 @@ def rolling_stats(
             "rolling_avg_accel": F.avg("accel").over(trailing),
         })
 
-    return over_trips(df, derive, rows - 1, slices)
+    return over_trips(df, derive, rows - 1, ["speed_kmh", "accel"], slices)

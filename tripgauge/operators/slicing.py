@@ -23,11 +23,15 @@ from pyspark.sql import types as T
 
 SLICE_ROWS = 2_000_000
 MAX_SLICES = 16_384
-SAMPLES_PER_SLICE = 64
+SAMPLES_PER_SLICE = 256
+# Sampled rows at a slice's end that mark where its last rows are looked for.
+ZONE_SAMPLES = 16
 
 LONG_MIN = -(2**63)
 
-_CUT = T.StructType([T.StructField("t", T.LongType()), T.StructField("s", T.LongType())])
+# A slice starts at (t, s); from (zt, zs) to its end lie at least ZONE_SAMPLES rows, or
+# the whole slice.
+_CUT = T.StructType([T.StructField(c, T.LongType()) for c in ("t", "s", "zt", "zs")])
 _LOOKUP = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("slices", T.IntegerType()),
@@ -51,22 +55,33 @@ class TripSlices:
         return self.lookup is not None
 
     def assign(self, df: DataFrame, long_trips_only: bool = False) -> DataFrame:
-        """Add ``slice`` and ``slices``, the row's slice and its trip's slice count."""
-        position = F.struct(
-            F.coalesce(F.unix_micros(self.time), F.lit(LONG_MIN)).alias("t"),
-            F.coalesce(F.col(self.seq), F.lit(LONG_MIN)).alias("s"),
-        )
+        """Add ``slice``, the trip's ``slices`` and ``in_zone``, true for rows in the
+        zone at their slice's end."""
+        t = F.coalesce(F.unix_micros(self.time), F.lit(LONG_MIN))
+        s = F.coalesce(F.col(self.seq), F.lit(LONG_MIN))
+
+        def passed(bound_t: Column, bound_s: Column) -> Column:
+            return (bound_t < t) | ((bound_t == t) & (bound_s <= s))
+
+        def reached(bound: Column) -> Column:
+            return passed(bound["t"], bound["s"])
+
         # Two short scans instead of one long one: first the group, then inside it.
-        group = F.size(F.filter("coarse", lambda c: c <= position)) - 1
-        within = F.size(F.filter(F.get("fine", F.col("group")), lambda c: c <= position)) - 1
+        group = F.size(F.filter("coarse", reached)) - 1
+        members = F.get("fine", F.col("group"))
+        within = F.size(F.filter("members", reached)) - 1
+        own = F.get("members", F.col("within"))
         how = "inner" if long_trips_only else "left"
         lookup = F.broadcast(self.lookup.withColumnRenamed("key", self.key))
         return (
             df.join(lookup, self.key, how)
             .withColumn("group", group)
-            .withColumn("slice", F.coalesce(F.col("group") * F.col("stride") + within, F.lit(0)))
+            .withColumn("members", members)
+            .withColumn("within", within)
+            .withColumn("slice", F.coalesce(F.col("group") * F.col("stride") + F.col("within"), F.lit(0)))
             .withColumn("slices", F.coalesce("slices", F.lit(1)))
-            .drop("group", "stride", "coarse", "fine")
+            .withColumn("in_zone", passed(own["zt"], own["zs"]))
+            .drop("group", "members", "within", "stride", "coarse", "fine")
         )
 
 
@@ -88,6 +103,7 @@ def plan_slices(
     ``max_slices`` trips are cut, the longest ones; a trip beyond those holds less
     than 1/``max_slices`` of the rows and stays whole.
     """
+    whole = TripSlices(None, key, time, seq)
     heavy = (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("rows"))
@@ -96,43 +112,53 @@ def plan_slices(
         .limit(max_slices)
         .collect()
     )
-    if not heavy:
-        return TripSlices(None, key, time, seq)
     total = sum(r["rows"] for r in heavy)
     target = max(slice_rows, math.ceil(total / max_slices))
-    wanted = {r[key]: math.ceil(r["rows"] / target) for r in heavy if r["rows"] > target}
-    if not wanted:
-        return TripSlices(None, key, time, seq)
+    pieces = {r[key]: math.ceil(r["rows"] / target) for r in heavy if r["rows"] > target}
+    if not pieces:
+        return whole
 
     spark = df.sparkSession
-    plan = spark.createDataFrame(list(wanted.items()), f"{key} string, pieces int")
-    fraction = min(1.0, SAMPLES_PER_SLICE * sum(wanted.values()) / total)
-    order = Window.partitionBy(key).orderBy("t", "s")
-    rank, size = F.row_number().over(order), F.count(F.lit(1)).over(Window.partitionBy(key))
-    piece = F.floor(F.col("rank") * F.col("pieces") / F.col("size"))
-    piece_before = F.floor((F.col("rank") - 1) * F.col("pieces") / F.col("size"))
-    cuts = (
+    wanted = spark.createDataFrame(list(pieces.items()), f"{key} string, pieces int")
+    fraction = min(1.0, SAMPLES_PER_SLICE * sum(pieces.values()) / total)
+    rank = F.row_number().over(Window.partitionBy(key).orderBy("t", "s"))
+    size = F.count(F.lit(1)).over(Window.partitionBy(key))
+
+    def starts_piece(sample_rank: Column) -> Column:
+        share = F.col("pieces") / F.col("size")
+        return F.floor(sample_rank * share) > F.floor((sample_rank - 1) * share)
+
+    is_cut = starts_piece(F.col("rank")) & (F.col("rank") < F.col("size"))
+    marks = (
         df.select(key, F.unix_micros(time).alias("t"), F.col(seq).alias("s"))
-        .join(F.broadcast(plan), key)
+        .join(F.broadcast(wanted), key)
         .sample(fraction, seed=7)
         .dropna(subset=["t", "s"])
         .withColumn("rank", rank)
         .withColumn("size", size)
-        .filter((piece > piece_before) & (F.col("rank") < F.col("size")))
-        .select(key, "t", "s")
+        .filter(is_cut | starts_piece(F.col("rank") + ZONE_SAMPLES))
+        .select(key, "rank", "t", "s", is_cut.alias("cut"))
         .collect()
     )
-    by_trip: dict[str, set[tuple[int, int]]] = {k: set() for k in wanted}
-    for row in cuts:
-        by_trip[row[key]].add((row["t"], row["s"]))
-    rows = [_lookup_row(trip, points) for trip, points in by_trip.items() if points]
-    if not rows:
-        return TripSlices(None, key, time, seq)
+    by_trip: dict[str, list] = {}
+    for mark in sorted(marks, key=lambda m: m["rank"]):
+        by_trip.setdefault(mark[key], []).append(mark)
+    rows = [_lookup_row(trip, found) for trip, found in by_trip.items()]
     return TripSlices(spark.createDataFrame(rows, _LOOKUP), key, time, seq)
 
 
-def _lookup_row(trip: str, points: set[tuple[int, int]]) -> tuple:
-    bounds = [(LONG_MIN, LONG_MIN), *sorted(points)]
+def _lookup_row(trip: str, marks: list) -> tuple:
+    """Bounds of one trip's slices from its marks in rank order: sampled rows that
+    start a slice, and those ZONE_SAMPLES ranks ahead of one."""
+    bounds, zone_start = [[LONG_MIN] * 4], {m["rank"] + ZONE_SAMPLES: m for m in marks}
+    for mark in marks:
+        position = (mark["t"], mark["s"])
+        if not mark["cut"] or position <= tuple(bounds[-1][:2]):
+            continue
+        zone = zone_start.get(mark["rank"])
+        if zone and (zone["t"], zone["s"]) > tuple(bounds[-1][:2]):
+            bounds[-1][2:] = [zone["t"], zone["s"]]
+        bounds.append([*position, *position])
     stride = max(1, math.isqrt(len(bounds)))
     fine = [bounds[i:i + stride] for i in range(0, len(bounds), stride)]
     return trip, len(bounds), stride, [group[0] for group in fine], fine
@@ -142,51 +168,53 @@ def over_trips(
     df: DataFrame,
     derive: Callable[[DataFrame, list[str]], DataFrame],
     lookback: int,
+    columns: list[str],
     slices: TripSlices,
 ) -> DataFrame:
     """Apply ``derive(frame, partition_columns)``, which may look back ``lookback``
-    rows in each trip's order and never forward past its own partition."""
+    rows at ``columns`` in each trip's order, and never at rows ahead."""
     if not slices.needed:
         return derive(df, [slices.key])
-    context = _rows_before_slices(df, lookback, slices)
-    rows = slices.assign(df).withColumn("context", F.lit(False))
-    joined = rows.unionByName(context.withColumn("context", F.lit(True)))
+    context = _rows_before_slices(df, lookback, columns, slices).withColumn("context", F.lit(True))
+    rows = slices.assign(df).drop("in_zone").withColumn("context", F.lit(False))
+    joined = rows.unionByName(context, allowMissingColumns=True)
     done = derive(joined, [slices.key, "slice"])
     return done.filter(~F.col("context")).drop("context", "slice", "slices")
 
 
-def _rows_before_slices(df: DataFrame, lookback: int, slices: TripSlices) -> DataFrame:
-    """For every slice but a trip's first, the ``lookback`` rows ahead of it.
+def _rows_before_slices(df: DataFrame, lookback: int, columns: list[str], slices: TripSlices) -> DataFrame:
+    """For every slice but a trip's first, the ``lookback`` rows ahead of it, with
+    ``slice`` set to the slice they precede.
 
-    The last ``lookback`` rows of each slice are candidates. Ranked along the trip,
-    the rows wanted before a slice are the highest ranks among earlier candidates,
-    also when a slice holds fewer rows than the look-back."""
+    The last ``lookback`` rows of each slice are gathered per trip, at most
+    ``lookback`` times the number of slices. What precedes a slice is the end of the
+    gathered rows up to it, also when a slice holds fewer rows than the look-back."""
     key, order = slices.key, [slices.time, slices.seq]
+    carried = [*order, *[c for c in columns if c not in order]]
     latest = Window.partitionBy(key, "slice").orderBy(*[F.desc(c) for c in order])
-    along = Window.partitionBy(key).orderBy("slice", *order)
-    candidates = (
-        slices.assign(df, long_trips_only=True)
-        .withColumn("rn", F.row_number().over(latest))
+    rows = slices.assign(df.select(key, *carried), long_trips_only=True)
+    if lookback <= ZONE_SAMPLES:
+        rows = rows.filter("in_zone")
+    item = F.struct("slice", *order, F.struct(*carried).alias("row"))
+    gathered = (
+        rows.withColumn("rn", F.row_number().over(latest))
         .filter(F.col("rn") <= lookback)
-        .drop("rn")
-        .withColumn("rank", F.row_number().over(along))
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(item)).alias("ends"))
     )
-    ends = candidates.groupBy(key, "slice").agg(F.max("rank").alias("end"))
-    following = F.lead("slice").over(Window.partitionBy(key).orderBy("slice"))
-    wanted = (
-        ends.withColumn("next", following)
-        .filter(F.col("next").isNotNull())
-        .select(
-            key,
-            F.col("next").alias("target"),
-            F.explode(F.sequence(F.greatest(F.lit(1), F.col("end") - (lookback - 1)), F.col("end")))
-            .alias("rank"),
-        )
+
+    def precedes(i: Column) -> Column:
+        before = F.slice("ends", F.greatest(i - (lookback - 1), F.lit(1)), F.least(F.lit(lookback), i))
+        target = F.get("ends", i)["slice"]
+        return F.transform(before, lambda e: F.struct(target.alias("slice"), e["row"].alias("row")))
+
+    at_start = F.filter(
+        F.sequence(F.lit(0), F.size("ends") - 1),
+        lambda i: (i > 0) & (F.get("ends", i)["slice"] != F.get("ends", i - 1)["slice"]),
     )
     return (
-        candidates.join(wanted, [key, "rank"])
-        .withColumn("slice", F.col("target"))
-        .drop("rank", "target")
+        gathered.select(key, F.explode(F.flatten(F.transform(at_start, precedes))).alias("c"))
+        .select(key, "c.slice", "c.row.*")
     )
 
 
@@ -196,7 +224,7 @@ def trip_ordinal(df: DataFrame, slices: TripSlices, name: str = "ordinal") -> Da
     if not slices.needed:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(slices.key).orderBy(*order)))
     key = slices.key
-    rows = slices.assign(df).drop("slices")
+    rows = slices.assign(df).drop("slices", "in_zone")
     earlier = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice of a long trip, so at most max_slices plus one per long trip.
     offsets = (
