@@ -144,3 +144,7 @@ def test_keyed_log(spark, tmp_path):
     spark.createDataFrame([("X", 0.0, 9, 9)], "trip_id string, score double, batch_id long, created_seq long") \
         .write.parquet(str(tmp_path / "log/snapshots/9"))
     assert "X" not in state()
+    log.vacuum()
+    assert state() == {**want, "A": (3.0, 2, 0)} and log.history().count() == 0
+    write(3, A=4.0)
+    assert state() == {**want, "A": (4.0, 3, 0)}

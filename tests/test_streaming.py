@@ -78,6 +78,17 @@ def test_wall_clock_drops_old_arrivals(spark, telemetry, tmp_path):
     assert cycle.reports(spark).latest().count() == 1
 
 
+def test_maintenance_keeps_results(spark, telemetry, tmp_path):
+    cycle = Cycle(str(tmp_path), clock="data", maintain_every=2, on_error="raise")
+    for i in range(5):
+        run_cycle(telemetry([("A", 600 * i, 50.0, -12.0, -77.0, i), (f"B{i}", 600 * i, 50.0, -12.0, -77.0, i)]), cycle, i)
+    reports = {r.trip_id: (r.basic.samples, r.batch_id, r.created_seq) for r in cycle.reports(spark).latest().collect()}
+    assert reports == {"A": (1, 4, 0), **{f"B{i}": (1, i, i) for i in range(5)}}
+    # Folded up to batch 2 after batch 4; samples older than ten minutes are gone.
+    assert sorted({r.batch_id for r in cycle.reports(spark).history().collect()}) == [3, 4]
+    assert sorted({r.batch_id for r in cycle.samples(spark).all().collect()}) == [3, 4]
+
+
 def test_batch_scope(spark, telemetry, tmp_path):
     cycle = Cycle(str(tmp_path), ttl_seconds=None, scope="batch", on_error="raise")
     run_cycle(telemetry([("A", 0, 1.0), ("B", 0, 1.0)]), cycle, 0)

@@ -27,11 +27,15 @@ def retain(df: DataFrame, as_of: Column, ttl_seconds: int = RETENTION_SECONDS) -
 
 def dedup_lww(df: DataFrame) -> DataFrame:
     """One row per trip and time, the one written last. Copies collapse on the map
-    side, so a heavily repeated key reaches the shuffle as one row per task."""
+    side, so a heavily repeated key reaches the shuffle as one row per task. Columns
+    are picked one by one: of fixed width, they keep this in a hash aggregate, where a
+    struct would need its input sorted."""
     keys = ["trip_id", "event_time"]
-    rest = [c for c in df.columns if c not in keys]
-    winner = F.max_by(F.struct(*rest), F.col("seq")).alias("winner")
-    return df.groupBy(*keys).agg(winner).select(*keys, "winner.*").select(*df.columns)
+    picked = [
+        F.max("seq").alias(c) if c == "seq" else F.max_by(c, "seq").alias(c)
+        for c in df.columns if c not in keys
+    ]
+    return df.groupBy(*keys).agg(*picked).select(*df.columns)
 
 
 def require_rows(df: DataFrame, on_empty: str = "skip") -> bool:

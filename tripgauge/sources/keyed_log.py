@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgauge.operators.history import latest_by_key
+from tripgauge.sources.files import delete_directory
 
 _COMMIT = T.StructType([T.StructField("upto", T.LongType())])
 
@@ -60,6 +61,19 @@ class KeyedLog:
         commit = self.spark.createDataFrame([(upto,)], _COMMIT).coalesce(1)
         commit.write.mode("append").parquet(f"{self.path}/commits")
 
+    def vacuum(self) -> None:
+        """Delete batches and snapshots the newest snapshot stands for. Queries planned
+        before, and feeds that have not read those batches yet, lose them."""
+        upto = self._last_commit(None)
+        if upto is None:
+            return
+        folded = self.history().filter(F.col("batch_id") <= upto).select("batch_id").distinct().collect()
+        older = self._read(f"{self.path}/commits", _COMMIT).filter(F.col("upto") < upto).distinct().collect()
+        for row in folded:
+            delete_directory(self.spark, f"{self.batches_path}/batch_id={row['batch_id']}")
+        for row in older:
+            delete_directory(self.spark, f"{self.path}/snapshots/{row['upto']}")
+
     def _last_commit(self, before: int | None) -> int | None:
         commits = self._read(f"{self.path}/commits", _COMMIT)
         if before is not None:

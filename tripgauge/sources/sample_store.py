@@ -5,15 +5,17 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgauge.operators.quality import retain
 from tripgauge.profiles import RETENTION_SECONDS
 from tripgauge.schema import TELEMETRY
+from tripgauge.sources.files import delete_directory
 
 SLOT_SECONDS = 60
+EPOCH = datetime(1970, 1, 1)
 
 _STORED = T.StructType([
     *TELEMETRY.fields,
@@ -56,16 +58,29 @@ class SampleStore:
         ttl_seconds: int = RETENTION_SECONDS,
     ) -> DataFrame:
         """Samples written within ``ttl_seconds`` before ``as_of`` (naive, in UTC)."""
-        oldest = as_of - timedelta(seconds=ttl_seconds)
-        first_slot = int((oldest - datetime(1970, 1, 1)).total_seconds() // SLOT_SECONDS)
-        recent = self.all(upto).filter(F.col("ingest_slot") >= first_slot)
-        micros = int((as_of - datetime(1970, 1, 1)) / timedelta(microseconds=1))
+        recent = self.all(upto).filter(F.col("ingest_slot") >= _first_slot(as_of, ttl_seconds))
+        micros = int((as_of - EPOCH) / timedelta(microseconds=1))
         return retain(recent, F.timestamp_micros(F.lit(micros)), ttl_seconds)
 
     def newest_arrival(self) -> datetime | None:
-        micros = self.all().agg(F.max(F.unix_micros("ingested_at"))).head()[0]
-        return None if micros is None else datetime(1970, 1, 1) + timedelta(microseconds=micros)
+        """Looked up in the newest minute only, which the partition values tell."""
+        slot = self.all().agg(F.max("ingest_slot")).head()[0]
+        if slot is None:
+            return None
+        newest = self.all().filter(F.col("ingest_slot") == slot)
+        return EPOCH + timedelta(microseconds=newest.agg(F.max(F.unix_micros("ingested_at"))).head()[0])
 
+    def expire(self, as_of: datetime, ttl_seconds: int = RETENTION_SECONDS) -> None:
+        """Delete batches of which every sample is past its retention."""
+        newest = self.all().groupBy("batch_id").agg(F.max("ingest_slot").alias("slot"))
+        for row in newest.filter(F.col("slot") < _first_slot(as_of, ttl_seconds)).collect():
+            delete_directory(self.spark, f"{self.path}/batch_id={row['batch_id']}")
 
-def _slot(seconds):
+
+def _first_slot(as_of: datetime, ttl_seconds: int) -> int:
+    oldest = as_of - timedelta(seconds=ttl_seconds)
+    return int((oldest - EPOCH).total_seconds() // SLOT_SECONDS)
+
+
+def _slot(seconds: Column) -> Column:
     return F.floor(seconds / F.lit(SLOT_SECONDS)).cast("long")

@@ -47,6 +47,8 @@ class Cycle:
     scope: Literal["live", "batch"] = "live"
     keep_points: int = KEEP_POINTS
     slice_rows: int = SLICE_ROWS
+    # Every so many cycles fold old report batches together and delete what has expired.
+    maintain_every: int | None = 360
     # A failed cycle is logged and the next one picks its samples up, or it stops the run.
     on_error: Literal["continue", "raise"] = "continue"
 
@@ -68,19 +70,33 @@ class Cycle:
         self.samples(batch.sparkSession).write(batch, batch_id)
         try:
             self._score(batch, batch_id)
+            if self.maintain_every and batch_id and batch_id % self.maintain_every == 0:
+                self.maintain(batch.sparkSession, batch_id - self.maintain_every)
         except Exception:
             if self.on_error == "raise":
                 raise
             log.exception("cycle %s failed; its samples stay stored for the next one", batch_id)
 
+    def maintain(self, spark: SparkSession, upto: int) -> None:
+        """Fold report batches up to ``upto`` into a snapshot, delete them and the
+        expired samples. Readers of the report feed should be past ``upto``."""
+        reports = self.reports(spark)
+        reports.compact(upto)
+        reports.vacuum()
+        if self.ttl_seconds is not None:
+            store = self.samples(spark)
+            store.expire(self._now(store), self.ttl_seconds)
+
+    def _now(self, store: SampleStore) -> datetime:
+        wall = datetime.now(timezone.utc).replace(tzinfo=None)
+        return wall if self.clock == "wall" else store.newest_arrival() or wall
+
     def _live(self, batch: DataFrame, batch_id: int) -> DataFrame:
         store = self.samples(batch.sparkSession)
         if self.ttl_seconds is None:
             live = store.all(batch_id)
         else:
-            wall = datetime.now(timezone.utc).replace(tzinfo=None)
-            as_of = wall if self.clock == "wall" else store.newest_arrival() or wall
-            live = store.live(as_of, batch_id, self.ttl_seconds)
+            live = store.live(self._now(store), batch_id, self.ttl_seconds)
         if self.scope == "batch":
             arrived = store.all(batch_id).filter(F.col("batch_id") == batch_id)
             live = live.join(arrived.select("trip_id").distinct(), "trip_id", "left_semi")
