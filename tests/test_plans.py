@@ -14,6 +14,7 @@ from tripgauge.operators.slicing import plan_slices
 from tripgauge.plans import serving
 from tripgauge.plans.fleet_report import scored_fleet
 from tripgauge.plans.trip_report import audit_view, scored_trips, trip_reports
+from tripgauge.sources.telemetry import write_bucketed
 
 SHUFFLE = re.compile(r"(?<!Broadcast)Exchange (hash|range|single|Single)")
 
@@ -38,6 +39,16 @@ def test_one_shuffle_from_samples_to_reports(stored):
     assert shuffles(trip_reports(stored)) == 1
 
 
+def test_bucketed_table_needs_no_shuffle(spark, golden, tmp_path):
+    write_bucketed(golden, "bucketed_golden", str(tmp_path / "b"), 4)
+    table = spark.table("bucketed_golden")
+    assert shuffles(scored_trips(table)) == 0
+    assert scored_trips(table).collect() and table.count() == 8
+    spark.sql("DROP TABLE bucketed_golden")
+    with pytest.raises(ValueError, match="write_clustered"):
+        write_bucketed(golden, "bucketed_golden", str(tmp_path / "b"), 4, slice_rows=4)
+
+
 def test_fleet_report_is_one_aggregate(stored):
     text = plan(scored_fleet(stored))
     assert len(SHUFFLE.findall(text)) == 2 and text.count("Window ") == 1

@@ -7,10 +7,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tripgauge.operators.quality import EmptyInputError
 from tripgauge.plans.fleet_report import build_fleet_report
+from tripgauge.plans.runs import run_fleet, run_trips
 from tripgauge.plans.trip_report import scored_trips
 from tripgauge.schema import AUDIT
-from tripgauge.sources.sinks import append_audit, append_report
+from tripgauge.sources.sinks import append_audit, append_report, read_reports
 from tripgauge.sources.telemetry import append_telemetry, normalize, read_csv, read_telemetry, write_clustered
 
 CSV = """id_viaje,tiempo,velocidad_kmh
@@ -89,3 +91,24 @@ def test_fleet_reports_append(spark, golden, tmp_path):
     path = str(tmp_path / "fleet")
     ids = [append_report(build_fleet_report(golden), path) for _ in range(2)]
     assert {r.report_id for r in spark.read.parquet(path).collect()} == set(ids) and len(set(ids)) == 2
+
+
+def test_run_trips(spark, golden, tmp_path):
+    audit, reports = str(tmp_path / "audit"), str(tmp_path / "reports")
+    assert run_trips(golden.filter("seq <= 4"), audit, reports, 1)
+    again = golden.unionByName(golden.filter("seq = 8"))
+    assert run_trips(again, audit, reports, 2)
+    assert not run_trips(golden.limit(0), audit, reports, 3)
+    stored = {r.trip_id: (r.basic.samples, r.risk.score, r.created_seq, r.batch_id) for r in read_reports(spark, reports).collect()}
+    assert stored == {"T1": (5, 35.47, 1, 2), "T2": (2, 0.0, 2, 2)}
+    assert spark.read.parquet(audit).count() == 3
+
+
+def test_run_fleet(spark, csv_file, tmp_path):
+    target = str(tmp_path / "fleet")
+    report_id = run_fleet(spark, csv_file, target)
+    assert spark.read.parquet(target).head().report_id == report_id
+    empty = tmp_path / "empty.csv"
+    empty.write_text("id_viaje,tiempo,velocidad_kmh\n")
+    with pytest.raises(EmptyInputError):
+        run_fleet(spark, str(empty), target)

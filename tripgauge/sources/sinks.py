@@ -1,13 +1,15 @@
-"""Appending audit rows and fleet reports."""
+"""Audit rows and reports, written and read back."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgauge.plans.trip_report import audit_view
+from tripgauge.schema import TRIP_REPORT
+from tripgauge.sources.keyed_log import KeyedLog
 
 AUDIT_WRITERS = 2
 
@@ -36,3 +38,13 @@ def append_report(report: DataFrame, path: str) -> str:
     report_id = str(uuid.uuid4())
     report.withColumn("report_id", F.lit(report_id)).write.mode("append").parquet(path)
     return report_id
+
+
+def upsert_reports(reports: DataFrame, path: str, batch_id: int) -> None:
+    """Put each report in the place of its trip's earlier one."""
+    KeyedLog(reports.sparkSession, path, TRIP_REPORT).write(reports, batch_id)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """The stored report of every trip, with ``created_seq`` and ``batch_id``."""
+    return KeyedLog(spark, path, TRIP_REPORT).latest()

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripgauge.operators.slicing import SLICE_ROWS, plan_slices
 from tripgauge.schema import CSV_TIMESTAMP_FORMAT, EXTERNAL_NAMES, TELEMETRY
 
 
@@ -75,3 +76,19 @@ def write_clustered(df: DataFrame, path: str, partitions: int | None = None) ->
     keys = ["trip_id", "event_time", "seq"]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, slice_rows: int = SLICE_ROWS) -> None:
+    """Write telemetry as a table bucketed by trip, from which trips are scored without
+    any shuffle. A trip lies in one bucket, so input with long trips is refused; those
+    belong in ``write_clustered``."""
+    if plan_slices(df, slice_rows=slice_rows).needed:
+        raise ValueError(f"a trip holds more than {slice_rows} samples; use write_clustered")
+    (
+        df.repartition(buckets, "trip_id")
+        .write.mode("overwrite")
+        .bucketBy(buckets, "trip_id")
+        .sortBy("trip_id", "event_time", "seq")
+        .option("path", path)
+        .saveAsTable(table)
+    )
