@@ -33,7 +33,7 @@ def kinematics(
             "prev_time": F.lag("event_time").over(trip),
         }
         if keep_points is not None:
-            added["in_tail"] = in_last_rows(keep_points, trip, slices.needed)
+            added["in_tail"] = in_last_rows(keep_points, trip)
         return frame.withColumns(added)
 
     lagged = over_trips(df, derive, 1, ["speed_kmh"], slices)

@@ -37,7 +37,7 @@ def trip_metrics(enriched: DataFrame, profile: Profile, keep_points: int | None
     """One row per trip. With ``keep_points`` also the trip's last samples in time
     order as ``points`` and the position of the newest as ``last_lat``/``last_lon``;
     the input then needs ``in_tail``. Only marked rows are collected, so the array
-    under construction stays bounded for trips of any length."""
+    under construction holds at most ``keep_points`` per slice of the trip."""
     measures = _measures(profile)
     if keep_points is None:
         return enriched.groupBy("trip_id").agg(*measures)

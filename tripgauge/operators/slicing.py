@@ -22,19 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_ROWS = 2_000_000
-MAX_SLICES = 16_384
-SAMPLES_PER_SLICE = 256
-# Sampled rows at a slice's end that mark where its last rows are looked for.
-ZONE_SAMPLES = 16
+MAX_SLICES = 8192
+SAMPLES_PER_SLICE = 128
 
 LONG_MIN = -(2**63)
 
-# A slice starts at (t, s); from (zt, zs) to its end lie at least ZONE_SAMPLES rows, or
-# the whole slice.
-_CUT = T.StructType([T.StructField(c, T.LongType()) for c in ("t", "s", "zt", "zs")])
+# A slice starts at time t and sequence s.
+_CUT = T.StructType([T.StructField("t", T.LongType()), T.StructField("s", T.LongType())])
 _LOOKUP = T.StructType([
     T.StructField("key", T.StringType()),
-    T.StructField("slices", T.IntegerType()),
     T.StructField("stride", T.IntegerType()),
     T.StructField("coarse", T.ArrayType(_CUT)),
     T.StructField("fine", T.ArrayType(T.ArrayType(_CUT))),
@@ -55,33 +51,24 @@ class TripSlices:
         return self.lookup is not None
 
     def assign(self, df: DataFrame, long_trips_only: bool = False) -> DataFrame:
-        """Add ``slice``, the trip's ``slices`` and ``in_zone``, true for rows in the
-        zone at their slice's end."""
+        """Add each row's ``slice``, 0 for short trips. It follows from the row alone, so
+        any rows of the trip may be given, also fewer than the cuts were planned on."""
         t = F.coalesce(F.unix_micros(self.time), F.lit(LONG_MIN))
         s = F.coalesce(F.col(self.seq), F.lit(LONG_MIN))
 
-        def passed(bound_t: Column, bound_s: Column) -> Column:
-            return (bound_t < t) | ((bound_t == t) & (bound_s <= s))
-
-        def reached(bound: Column) -> Column:
-            return passed(bound["t"], bound["s"])
+        def reached(cut: Column) -> Column:
+            return (cut["t"] < t) | ((cut["t"] == t) & (cut["s"] <= s))
 
         # Two short scans instead of one long one: first the group, then inside it.
         group = F.size(F.filter("coarse", reached)) - 1
-        members = F.get("fine", F.col("group"))
-        within = F.size(F.filter("members", reached)) - 1
-        own = F.get("members", F.col("within"))
+        within = F.size(F.filter(F.get("fine", F.col("group")), reached)) - 1
         how = "inner" if long_trips_only else "left"
         lookup = F.broadcast(self.lookup.withColumnRenamed("key", self.key))
         return (
             df.join(lookup, self.key, how)
             .withColumn("group", group)
-            .withColumn("members", members)
-            .withColumn("within", within)
-            .withColumn("slice", F.coalesce(F.col("group") * F.col("stride") + F.col("within"), F.lit(0)))
-            .withColumn("slices", F.coalesce("slices", F.lit(1)))
-            .withColumn("in_zone", passed(own["zt"], own["zs"]))
-            .drop("group", "members", "within", "stride", "coarse", "fine")
+            .withColumn("slice", F.coalesce(F.col("group") * F.col("stride") + within, F.lit(0)))
+            .drop("group", "stride", "coarse", "fine")
         )
 
 
@@ -124,44 +111,33 @@ def plan_slices(
     rank = F.row_number().over(Window.partitionBy(key).orderBy("t", "s"))
     size = F.count(F.lit(1)).over(Window.partitionBy(key))
 
-    def starts_piece(sample_rank: Column) -> Column:
-        share = F.col("pieces") / F.col("size")
-        return F.floor(sample_rank * share) > F.floor((sample_rank - 1) * share)
-
-    is_cut = starts_piece(F.col("rank")) & (F.col("rank") < F.col("size"))
-    marks = (
+    share = F.col("pieces") / F.col("size")
+    starts_piece = F.floor(F.col("rank") * share) > F.floor((F.col("rank") - 1) * share)
+    cuts = (
         df.select(key, F.unix_micros(time).alias("t"), F.col(seq).alias("s"))
         .join(F.broadcast(wanted), key)
         .sample(fraction, seed=7)
         .dropna(subset=["t", "s"])
         .withColumn("rank", rank)
         .withColumn("size", size)
-        .filter(is_cut | starts_piece(F.col("rank") + ZONE_SAMPLES))
-        .select(key, "rank", "t", "s", is_cut.alias("cut"))
+        .filter(starts_piece & (F.col("rank") < F.col("size")))
+        .select(key, "t", "s")
         .collect()
     )
-    by_trip: dict[str, list] = {}
-    for mark in sorted(marks, key=lambda m: m["rank"]):
-        by_trip.setdefault(mark[key], []).append(mark)
-    rows = [_lookup_row(trip, found) for trip, found in by_trip.items()]
+    by_trip: dict[str, set[tuple[int, int]]] = {}
+    for cut in cuts:
+        by_trip.setdefault(cut[key], set()).add((cut["t"], cut["s"]))
+    if not by_trip:
+        return whole
+    rows = [_lookup_row(trip, points) for trip, points in by_trip.items()]
     return TripSlices(spark.createDataFrame(rows, _LOOKUP), key, time, seq)
 
 
-def _lookup_row(trip: str, marks: list) -> tuple:
-    """Bounds of one trip's slices from its marks in rank order: sampled rows that
-    start a slice, and those ZONE_SAMPLES ranks ahead of one."""
-    bounds, zone_start = [[LONG_MIN] * 4], {m["rank"] + ZONE_SAMPLES: m for m in marks}
-    for mark in marks:
-        position = (mark["t"], mark["s"])
-        if not mark["cut"] or position <= tuple(bounds[-1][:2]):
-            continue
-        zone = zone_start.get(mark["rank"])
-        if zone and (zone["t"], zone["s"]) > tuple(bounds[-1][:2]):
-            bounds[-1][2:] = [zone["t"], zone["s"]]
-        bounds.append([*position, *position])
+def _lookup_row(trip: str, points: set[tuple[int, int]]) -> tuple:
+    bounds = [(LONG_MIN, LONG_MIN), *sorted(points)]
     stride = max(1, math.isqrt(len(bounds)))
     fine = [bounds[i:i + stride] for i in range(0, len(bounds), stride)]
-    return trip, len(bounds), stride, [group[0] for group in fine], fine
+    return trip, stride, [group[0] for group in fine], fine
 
 
 def over_trips(
@@ -176,10 +152,10 @@ def over_trips(
     if not slices.needed:
         return derive(df, [slices.key])
     context = _rows_before_slices(df, lookback, columns, slices).withColumn("context", F.lit(True))
-    rows = slices.assign(df).drop("in_zone").withColumn("context", F.lit(False))
+    rows = slices.assign(df).withColumn("context", F.lit(False))
     joined = rows.unionByName(context, allowMissingColumns=True)
     done = derive(joined, [slices.key, "slice"])
-    return done.filter(~F.col("context")).drop("context", "slice", "slices")
+    return done.filter(~F.col("context")).drop("context", "slice")
 
 
 def _rows_before_slices(df: DataFrame, lookback: int, columns: list[str], slices: TripSlices) -> DataFrame:
@@ -193,8 +169,6 @@ def _rows_before_slices(df: DataFrame, lookback: int, columns: list[str], slices
     carried = [*order, *[c for c in columns if c not in order]]
     latest = Window.partitionBy(key, "slice").orderBy(*[F.desc(c) for c in order])
     rows = slices.assign(df.select(key, *carried), long_trips_only=True)
-    if lookback <= ZONE_SAMPLES:
-        rows = rows.filter("in_zone")
     item = F.struct("slice", *order, F.struct(*carried).alias("row"))
     gathered = (
         rows.withColumn("rn", F.row_number().over(latest))
@@ -224,7 +198,7 @@ def trip_ordinal(df: DataFrame, slices: TripSlices, name: str = "ordinal") -> Da
     if not slices.needed:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(slices.key).orderBy(*order)))
     key = slices.key
-    rows = slices.assign(df).drop("slices", "in_zone")
+    rows = slices.assign(df)
     earlier = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice of a long trip, so at most max_slices plus one per long trip.
     offsets = (
@@ -242,10 +216,7 @@ def trip_ordinal(df: DataFrame, slices: TripSlices, name: str = "ordinal") -> Da
     )
 
 
-def in_last_rows(keep: int, window: Window, sliced: bool) -> Column:
-    """True for rows that may be among a trip's last ``keep``: exactly those without
-    slices; with them, the last ``keep`` of each of the trip's last slices."""
-    candidate = F.lead(F.lit(1), keep).over(window).isNull()
-    if not sliced:
-        return candidate
-    return candidate & (F.col("slice") >= F.col("slices") - keep)
+def in_last_rows(keep: int, window: Window) -> Column:
+    """True for the last ``keep`` rows of a window group: exactly a trip's last rows, or
+    with slices those of each slice, the trip's own among them."""
+    return F.lead(F.lit(1), keep).over(window).isNull()
