@@ -80,6 +80,8 @@ def test_time_shapes(spark):
         "  2026-05-06 14:00:39.1  ": datetime(2026, 5, 6, 14, 0, 39, 100000),
         "2026-05-06 14:00:39.123456": datetime(2026, 5, 6, 14, 0, 39, 123456),
         "2026-05-06": datetime(2026, 5, 6),
+        "2026-05-06T14:00:39Z": datetime(2026, 5, 6, 14, 0, 39),
+        "2026-5-6 4:00:39": datetime(2026, 5, 6, 4, 0, 39),
         "garbage": datetime(2026, 5, 7),
         "2026-13-45 99:00:00": datetime(2026, 5, 7),
         "": datetime(2026, 5, 7),

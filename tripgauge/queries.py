@@ -273,12 +273,14 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def history_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents of the first half of the period merged into nothing, then the rest."""
+    """Documents of the first half of the period merged into nothing and stored, then
+    the rest merged into those."""
     documents, now = _documents(spark, sf), instant("2024-01-02 00:00:00")
-    half = instant("2024-01-01 00:21:36")
-    stored = spark.createDataFrame([], HISTORY)
-    for part in (F.col("event_time") < half, F.col("event_time") >= half):
-        stored = merge_history(stored, documents.filter(part).drop("event_time"), now, KEEP)
+    half, path = instant("2024-01-01 00:21:36"), scratch_dir(spark, "history")
+    early = documents.filter(F.col("event_time") < half).drop("event_time")
+    late = documents.filter(F.col("event_time") >= half).drop("event_time")
+    merge_history(spark.createDataFrame([], HISTORY), early, now, KEEP).write.parquet(f"{path}/stored")
+    stored = merge_history(spark.read.schema(HISTORY).parquet(f"{path}/stored"), late, now, KEEP)
     return stored.select(
         "trip_id", "avg_speed_kmh", "max_speed_kmh", "global_risk_score", F.posexplode("points").alias("pos", "p")
     ).select(
