@@ -14,7 +14,9 @@ from tripgauge.profiles import RETENTION_SECONDS
 from tripgauge.schema import TELEMETRY
 from tripgauge.sources.files import delete_directory
 
-SLOT_SECONDS = 60
+# Long enough that a backfill does not scatter into many files, short against the
+# retention it prunes for.
+SLOT_SECONDS = 300
 EPOCH = datetime(1970, 1, 1)
 
 _STORED = T.StructType([
@@ -26,7 +28,7 @@ _STORED = T.StructType([
 
 class SampleStore:
     """Parquet partitioned by batch, which makes a repeated batch replace itself, and
-    by minute of arrival, which lets a read skip everything past its retention."""
+    by arrival in five-minute slots, which lets a read skip everything past its retention."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -63,7 +65,7 @@ class SampleStore:
         return retain(recent, F.timestamp_micros(F.lit(micros)), ttl_seconds)
 
     def newest_arrival(self) -> datetime | None:
-        """Looked up in the newest minute only, which the partition values tell."""
+        """Looked up in the newest slot only, which the partition values tell."""
         slot = self.all().agg(F.max("ingest_slot")).head()[0]
         if slot is None:
             return None
