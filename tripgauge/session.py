@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,9 +25,13 @@ def build_session(app_name: str = "tripgauge", master: str | None = None, **conf
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for tables a query writes: below the cluster's shared
-    ``spark.checkpoint.dir``, or a local temporary folder where that is unset."""
+    """A fresh folder for tables a query writes, which driver and executors all see: below
+    ``spark.checkpoint.dir``, or below the warehouse folder where that is unset. A
+    warehouse on the driver's own disk serves only a local master."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return tempfile.mkdtemp(prefix=f"tripgauge-{name}-")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        master = spark.sparkContext.master
+        if shared.startswith("file:") and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{shared.rstrip('/')}/tripgauge/{name}-{uuid.uuid4()}"
