@@ -1,32 +1,67 @@
-"""A corpus pipeline of five stages; each works on what the one before kept."""
+"""A corpus pipeline of five stages; each works on all that the one before kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripgauge.llm.common import table
+from tripgauge.llm.bpe import decode_documents, encode_documents
+from tripgauge.llm.common import stage, table
 from tripgauge.llm.exact import exact_dedup
 from tripgauge.llm.mixing import mix
+from tripgauge.llm.queries import TOXIC, VOCABULARY
+from tripgauge.llm.simhash import simhash_classes
+from tripgauge.llm.toxicity import score_toxicity, toxicity_model
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the score that the numbered query calls toxic. The lexicon is learned
+    from those of ``labels`` that aren't held out."""
+    model = toxicity_model(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model, score="toxicity").filter(F.col("toxicity") < TOXIC).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each class of linked fingerprints. Rows without an
+    id can't be told apart and stay."""
+    classes = simhash_classes(docs.select("doc_id", "text"))
+    dropped = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of sources takes it."""
     return mix(docs)
 
 
-STAGES = [("exact dedup", drop_copies), ("mixing", mix_sources)]
-# Learned decisions and fingerprints can't be written in SQL.
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, their number and the digest of what they decode to."""
+    encoded = encode_documents(docs.select("doc_id", "lang", "source", "text"), VOCABULARY).drop("text")
+    return decode_documents(encoded, VOCABULARY).select(
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("bpe", tokenize),
+]
+# Learned weights and fingerprints can't be written in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tripgauge.llm.common import stage
-
     docs = table(spark, sf_dir, "documents")
-    for i, (name, step) in enumerate(STAGES):
+    for i, (_, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = stage(docs, f"pipeline-{i}")

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm.common import table
+from tripgauge.llm.bpe import token_digests
+from tripgauge.llm.common import held_out, table
 from tripgauge.llm.exact import exact_groups
 from tripgauge.llm.mixing import mix_plan
+from tripgauge.llm.quality import CUT, quality_model, score_quality
+from tripgauge.llm.simhash import simhash_classes
+from tripgauge.llm.toxicity import score_toxicity, toxicity_model
+
+TOXIC = 0.3
+VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +34,41 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return _predicted(score_quality(docs, model), CUT)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return _predicted(score_toxicity(docs, model), TOXIC)
+
+
+def _predicted(scored: DataFrame, cut: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= cut).cast("int").alias("predicted"),
+    )
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_simhash": op6_simhash,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
+    "op10_bpe": op10_bpe,
 }
