@@ -35,6 +35,31 @@ WITH d AS (
 SELECT doc_id, size, source_size, target::DOUBLE AS target,
        (size * least(floor(i * ratio + u) - floor((i - 1) * ratio + u), 2))::BIGINT AS taken
 FROM r
+""",
+    "op2_topk": """
+WITH e AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, e.vec_id, list_inner_product(q.v::DOUBLE[], e.v::DOUBLE[])::BIGINT AS score
+  FROM e q JOIN e ON q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score
+FROM p WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20
+""",
+    "op3_warc": """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), d AS (
+  SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM f
 """,
     "op5_exact_dedup": r"""
 WITH d AS (

@@ -11,7 +11,9 @@ from tripgauge.llm.exact import exact_groups
 from tripgauge.llm.mixing import mix_plan
 from tripgauge.llm.quality import CUT, quality_model, score_quality
 from tripgauge.llm.simhash import simhash_classes
+from tripgauge.llm.topk import quantised, top_k
 from tripgauge.llm.toxicity import score_toxicity, toxicity_model
+from tripgauge.llm.warc import archive, read_bundles
 
 TOXIC = 0.3
 VOCABULARY = "word_bpe_49k.json"
@@ -28,6 +30,28 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = archive(table(spark, sf_dir, "pages"))
+    records = read_bundles(index, folder)
+
+    def page(name: str):
+        number = F.regexp_extract(name, "^urn:page:(-?[0-9]+)$", 1)
+        return F.when(number != "", number.cast("long"))
+
+    return records.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The result shows the digest of every text, so all are hashed in the one scan.
     groups = exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
@@ -66,6 +90,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_topk": op2_topk,
+    "op3_warc": op3_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
     "op8_quality": op8_quality,
