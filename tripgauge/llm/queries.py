@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripgauge.llm.bpe import token_digests
 from tripgauge.llm.common import held_out, table
 from tripgauge.llm.exact import exact_groups
+from tripgauge.llm.lm import score_texts
 from tripgauge.llm.mixing import mix_plan
 from tripgauge.llm.quality import CUT, quality_model, score_quality
 from tripgauge.llm.simhash import simhash_classes
@@ -52,6 +53,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The result shows the digest of every text, so all are hashed in the one scan.
     groups = exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
@@ -92,6 +97,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
     "op3_warc": op3_warc,
+    "op4_lm": op4_lm,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
     "op8_quality": op8_quality,
