@@ -12,6 +12,7 @@ from tripgauge.llm.lm import score_texts
 from tripgauge.llm.mixing import mix_plan
 from tripgauge.llm.quality import CUT, quality_model, score_quality
 from tripgauge.llm.simhash import simhash_classes
+from tripgauge.llm.suffix import remove_repeats
 from tripgauge.llm.topk import quantised, top_k
 from tripgauge.llm.toxicity import score_toxicity, toxicity_model
 from tripgauge.llm.warc import archive, read_bundles
@@ -68,6 +69,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model(docs, table(spark, sf_dir, "labels"))
@@ -100,6 +105,7 @@ QUERIES = {
     "op4_lm": op4_lm,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op7_repeats": op7_repeats,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
