@@ -61,11 +61,25 @@ class KeySpace:
             for a, b in zip(starts, [*starts[1:], len(keys)], strict=True)
         ]
 
-    def unpack(self, data: bytes) -> np.ndarray:
-        rows = np.frombuffer(data, np.uint8).reshape(-1, self.width)
-        out = np.zeros((len(rows), 8), np.uint8)
-        out[:, : self.width] = rows
-        return out.view("<u8").ravel()
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    rows = np.frombuffer(data, np.uint8).reshape(n, -1)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : rows.shape[1]] = rows
+    return out.view("<u8").ravel()
+
+
+def squeezed(data: bytes) -> bytes:
+    """Counts are mostly small and alike, so that replies shrink to a fraction."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(data) if data else b""
+
+
+def unsqueezed(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data) if data else b""
 
 
 def smallest(counts: np.ndarray) -> np.ndarray:
@@ -84,7 +98,7 @@ def requests_table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def count_keys(requests: DataFrame, space: KeySpace) -> DataFrame:
+def count_keys(requests: DataFrame) -> DataFrame:
     """Replies to ``requests``: for each row the totals of its keys over all blocks, in their order,
     and a bit per key that is set in one row only, for the block that owns it. A row of
     block -1 has the number of keys with a count above zero as its only total."""
@@ -92,7 +106,8 @@ def count_keys(requests: DataFrame, space: KeySpace) -> DataFrame:
     def add_up(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
         rows = table.to_pydict()
-        keys = [space.unpack(k) for k in rows["keys"]]
+        sizes = [len(c) // s for c, s in zip(rows["counts"], rows["size"], strict=True)]
+        keys = [unpacked(k, n) for k, n in zip(rows["keys"], sizes, strict=True)]
         counts = np.concatenate([unsigned(c, s) for c, s in zip(rows["counts"], rows["size"], strict=True)])
         every = np.concatenate(keys)
         distinct, first, place = np.unique(every, return_index=True, return_inverse=True)
@@ -103,10 +118,10 @@ def count_keys(requests: DataFrame, space: KeySpace) -> DataFrame:
         for part in keys:
             end = at + len(part)
             packed = smallest(totals[at:end])
-            out.append((packed.tobytes(), packed.itemsize, np.packbits(own[at:end]).tobytes()))
+            out.append((squeezed(packed.tobytes()), packed.itemsize, squeezed(np.packbits(own[at:end]).tobytes())))
             at = end
         known = np.array([np.count_nonzero(sums)], "<u8")
-        out.append((known.tobytes(), 8, b""))
+        out.append((squeezed(known.tobytes()), 8, b""))
         kind, bucket = rows["kind"][0], rows["bucket"][0]
         n = len(out)
         return pa.table({
@@ -128,9 +143,9 @@ def replies_of(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
                                  strict=True)
         if k == kind
     )
-    totals = [unsigned(t, s).astype(np.int64) for _, t, s, _ in rows]
+    totals = [unsigned(unsqueezed(t), s).astype(np.int64) for _, t, s, _ in rows]
     owner = [
-        np.unpackbits(np.frombuffer(o, np.uint8), count=len(t)).astype(bool)
+        np.unpackbits(np.frombuffer(unsqueezed(o), np.uint8), count=len(t)).astype(bool)
         for t, (_, _, _, o) in zip(totals, rows, strict=True)
     ]
     if not rows:

@@ -20,16 +20,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.llm.common import held_out, pieces_of, stage
-from tripgauge.llm.keycount import REQUEST, KeySpace, count_keys, mixed, replies_of, requests_table
+from tripgauge.llm.blocks import co_located, text_blocks
+from tripgauge.llm.common import held_out, stage
+from tripgauge.llm.keycount import REQUEST, KeySpace, count_keys, mixed, replies_of, requests_table, unsqueezed
 
 BLOCK_BYTES = 6 << 20
 # k: how many observations the root's weights stand for. t: the most that a state is trusted.
 PRIOR = 5.0
 TRUST = 0.5
 WORD, PAIR = 1, 2
-# Six bytes a key beside the bucket's bits.
-KEY_BYTES = 6
+# Bytes of a key beside the bucket's bits. Words are counted exactly but for one in 2^29
+# that meets another's key; of pairs that may befall one in 2^21.
+WORD_BYTES, PAIR_BYTES = 6, 5
 # No word, as it is a space character.
 END = b"\n"
 
@@ -69,32 +71,21 @@ def _hash(words: list[bytes]) -> np.ndarray:
 class BlockGrams:
     """Keys of the words and pairs of a block."""
 
-    def __init__(self, texts: pa.ChunkedArray, space: KeySpace):
+    def __init__(self, texts: pa.ChunkedArray, of_words: KeySpace, of_pairs: KeySpace):
         self.text = text = BlockText(texts)
         own = text.hashes[text.token]
         before = np.roll(own, 1)
         # The state at the start of a text is that of the end token.
         before[text.starts] = text.hashes[-1]
-        self.words, at = np.unique(space.reduce(mixed(text.hashes)), return_inverse=True)
+        self.words, at = np.unique(of_words.reduce(mixed(text.hashes)), return_inverse=True)
         self.word = at[text.token]
         self.end = at[-1]
         pairs = mixed(before * np.uint64(0x9E3779B97F4A7C15) + own)
-        self.pairs, self.pair = np.unique(space.reduce(pairs), return_inverse=True)
+        self.pairs, self.pair = np.unique(of_pairs.reduce(pairs), return_inverse=True)
         self.state = np.roll(self.word, 1)
         self.state[text.starts] = self.end
 
 
-def text_blocks(docs: DataFrame, block_bytes: int, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, int]:
-    """``doc_id, text, block``, blocks of about ``block_bytes``, and the bytes of all texts."""
-    size = F.octet_length(F.coalesce(text, F.lit(""))) + 1
-    blocks = pieces_of(docs, size, block_bytes)
-    block = F.pmod(F.xxhash64(doc_id, text), F.lit(blocks)).cast("int")
-    narrow = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), block.alias("block")
-    )
-    return narrow, blocks * block_bytes
-
-
 def score_texts(
     docs: DataFrame,
     modulus: int = 7,
@@ -107,22 +98,23 @@ def score_texts(
     base_score, score``. Learns from rows that aren't held out: those whose crc32 of the id
     leaves another remainder; a null id counts as ''. Null texts are empty: one token, the
     end. Repeated rows count as often as they occur. Without rows to learn from every word
-    is unknown and equally likely. Keys of words and pairs are hashes of 55 bits or more."""
-    blocks, total_bytes = text_blocks(docs.select("doc_id", "text"), block_bytes)
-    blocks = blocks.withColumn("held_out", held_out(F.col("doc_id"), modulus, remainder))
-    space = KeySpace.for_keys(total_bytes // 6, KEY_BYTES)
+    is unknown and equally likely."""
+    dealt, n = text_blocks(docs.select("doc_id", "text"), block_bytes)
+    blocks = co_located(dealt.withColumn("held_out", held_out(F.col("doc_id"), modulus, remainder)), n)
+    expected = n * block_bytes // 6
+    of_words, of_pairs = KeySpace.for_keys(expected, WORD_BYTES), KeySpace.for_keys(expected, PAIR_BYTES)
 
     def ask(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        grams = BlockGrams(table["text"], space)
+        grams = BlockGrams(table["text"], of_words, of_pairs)
         learnt = np.repeat(~np.asarray(table["held_out"]), grams.text.lengths).astype(np.int64)
         words = np.bincount(grams.word, weights=learnt, minlength=len(grams.words)).astype(np.int64)
         pairs = np.bincount(grams.pair, weights=learnt, minlength=len(grams.pairs)).astype(np.int64)
-        rows = space.pack(WORD, block, grams.words, words) + space.pack(PAIR, block, grams.pairs, pairs)
+        rows = of_words.pack(WORD, block, grams.words, words) + of_pairs.pack(PAIR, block, grams.pairs, pairs)
         return requests_table(rows)
 
     requests = blocks.groupBy("block").applyInArrow(ask, REQUEST)
-    replies = stage(count_keys(requests, space), "lm-counts")
+    replies = stage(count_keys(requests), "lm-counts")
     vocabulary = _sum_known(replies.filter(f"block = -1 AND kind = {WORD}"))
     # Every training text's tokens, from the counts the blocks were told of: each key has one owner.
     owned = _owned_total(replies.filter(f"block >= 0 AND kind = {WORD}"))
@@ -137,7 +129,7 @@ def score_texts(
         if not table.num_rows:
             return pa.table({n: pa.array([], t) for n, t in zip(names, [
                 id_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)})
-        grams = BlockGrams(table["text"], space)
+        grams = BlockGrams(table["text"], of_words, of_pairs)
         words, _ = replies_of(told, WORD)
         pairs, _ = replies_of(told, PAIR)
         # Arcs of the root, and of each state with its failure arc folded in.
@@ -167,7 +159,7 @@ def score_texts(
 def _sum_known(rows: DataFrame) -> int:
     def known(batches):
         for batch in batches:
-            n = sum(int.from_bytes(t, "little") for t in batch["totals"].to_pylist())
+            n = sum(int.from_bytes(unsqueezed(t), "little") for t in batch["totals"].to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
     return rows.select("totals").mapInArrow(known, "n long").agg(F.sum("n")).head()[0] or 0
@@ -180,8 +172,8 @@ def _owned_total(rows: DataFrame) -> int:
         for batch in batches:
             n = 0
             for totals, size, owner in zip(*(batch[c].to_pylist() for c in ("totals", "size", "owner")), strict=True):
-                t = np.frombuffer(totals, f"<u{size}").astype(np.int64)
-                n += int(t[np.unpackbits(np.frombuffer(owner, np.uint8), count=len(t)).astype(bool)].sum())
+                t = np.frombuffer(unsqueezed(totals), f"<u{size}").astype(np.int64)
+                n += int(t[np.unpackbits(np.frombuffer(unsqueezed(owner), np.uint8), count=len(t)).astype(bool)].sum())
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
     return rows.select("totals", "size", "owner").mapInArrow(owned, "n long").agg(F.sum("n")).head()[0] or 0

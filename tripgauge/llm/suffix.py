@@ -21,16 +21,15 @@ round of plain doubling would shuffle tens of times the input; this shuffles les
 from __future__ import annotations
 
 import hashlib
-import uuid
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tripgauge.llm.blocks import co_located, text_blocks
 from tripgauge.llm.common import stage
 from tripgauge.llm.keycount import REQUEST, KeySpace, count_keys, mixed, replies_of, requests_table
-from tripgauge.llm.lm import text_blocks
 
 LENGTH = 200
 GRAM = 32
@@ -147,10 +146,10 @@ def remove_repeats(
     removed bytes), ``kept_sha256`` and ``kept``, the bytes that stay. Nulls count as empty
     texts, and matches never cross texts. Repeated rows, null ids included, are texts
     of their own and so repeats of each other. Strings are told apart by 64-bit hashes."""
-    blocks, total = text_blocks(docs.select("doc_id", "text"), block_bytes)
+    blocks, n = text_blocks(docs.select("doc_id", "text"), block_bytes)
     # Written once by block: all rounds read it without moving text again.
-    by_block = _co_located(blocks, max(1, total // block_bytes))
-    space = KeySpace.for_keys(total // 64, KEY_BYTES)
+    by_block = co_located(blocks, n)
+    space = KeySpace.for_keys(n * block_bytes // 64, KEY_BYTES)
 
     def first_round(table: pa.Table) -> pa.Table:
         s = Stretches(table["text"], space, length, gram)
@@ -168,9 +167,9 @@ def remove_repeats(
         return requests_table(space.pack(WINDOW, table["block"][0].as_py(), keys, counts))
 
     requests = by_block.groupBy("block").applyInArrow(first_round, REQUEST)
-    ranked = stage(count_keys(requests, space), "repeats-anchors").filter("block >= 0")
+    ranked = stage(count_keys(requests), "repeats-anchors").filter("block >= 0")
     asked = by_block.groupBy("block").cogroup(ranked.groupBy("block")).applyInArrow(second_round, REQUEST)
-    windows = stage(count_keys(asked, space), "repeats-windows").filter("block >= 0")
+    windows = stage(count_keys(asked), "repeats-windows").filter("block >= 0")
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
@@ -213,12 +212,3 @@ def _removed(s: Stretches, told: pa.Table, space: KeySpace) -> np.ndarray:
             np.add.at(edges, again, 1)
             np.add.at(edges, again + b.length, -1)
     return np.cumsum(edges[:-1]) > 0
-
-
-def _co_located(blocks: DataFrame, n: int) -> DataFrame:
-    """The texts as a table in the warehouse that is bucketed by block, so that rounds joined
-    to it by block shuffle their own rows only."""
-    name, files = f"tripgauge_blocks_{uuid.uuid4().hex}", max(1, min(n, 4096))
-    by_block = blocks.repartition(files, "block")
-    by_block.write.bucketBy(files, "block").sortBy("block").format("parquet").saveAsTable(name)
-    return blocks.sparkSession.table(name)
