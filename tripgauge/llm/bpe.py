@@ -19,6 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # Words remembered at once; beyond that the memory starts anew.
 MEMORY = 500_000
@@ -144,7 +145,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str =
     """``docs`` with the token ids of ``text`` as ``array<int>``; null texts get none. A
     column of that name is replaced."""
     kept = [c for c in docs.columns if c != ids]
-    schema = docs.select(*kept).schema.add(ids, "array<int>")
+    schema = docs.select(*kept).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = codec(_vocabulary(path))
@@ -159,7 +160,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str =
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of ``ids``; a column of that name is replaced."""
     kept = [c for c in encoded.columns if c != text]
-    schema = encoded.select(*kept).schema.add(text, "string")
+    schema = encoded.select(*kept).schema.add(text, T.StringType())
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = codec(_vocabulary(path))

@@ -54,6 +54,8 @@ class KeySpace:
         return rows
 
     def buckets(self, keys: np.ndarray) -> list[tuple[int, slice]]:
+        if not len(keys):
+            return []
         bucket = (keys >> self._shift()).astype(np.int64)
         starts = np.flatnonzero(np.diff(bucket, prepend=-1))
         return [
