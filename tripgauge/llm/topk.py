@@ -118,22 +118,23 @@ def top_k(
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), "vec_id", "v"
     )
     asked = queries.select(
-        F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v",
+        F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block"),
+        F.col("vec_id").alias("q_id"), F.col("v").alias("q"),
     ).withColumn("home", F.pmod(F.col("block"), F.lit(shards)))
 
     def search(key, rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame({"block": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
         if not len(rows) or not len(wanted):
             return out
-        width = max(rows["v"].map(len).max(), wanted["v"].map(len).max())
-        data, asked = _matrix(rows["v"], width), _matrix(wanted["v"], width)
+        width = max(rows["v"].map(len).max(), wanted["q"].map(len).max())
+        data, asked = _matrix(rows["v"], width), _matrix(wanted["q"], width)
         largest = float(max(np.abs(data).max(initial=0), np.abs(asked).max(initial=0)))
         kind = np.float64 if largest * largest * max(1, width) < 2**53 else object
         tree = KDTree(rows["vec_id"].to_numpy(np.int64), data.astype(kind))
-        found = tree.search(asked.astype(kind), wanted["vec_id"].to_numpy(np.int64), k, wanted["bound"].to_numpy())
+        found = tree.search(asked.astype(kind), wanted["q_id"].to_numpy(np.int64), k, wanted["bound"].to_numpy())
         records = [
             (b, q, i, int(s))
-            for b, q, best in zip(wanted["block"], wanted["vec_id"], found, strict=True) for s, i in best
+            for b, q, best in zip(wanted["block"], wanted["q_id"], found, strict=True) for s, i in best
         ]
         return pd.DataFrame(records, columns=list(out.columns)) if records else out
 
@@ -151,11 +152,11 @@ def top_k(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(NO_BOUND)).alias("bound")
     )
     others = (
-        asked.join(bounds, F.col("vec_id") == F.col("query_id"), "left")
+        asked.join(bounds, F.col("q_id") == F.col("query_id"), "left")
         .withColumn("bound", F.coalesce("bound", F.lit(NO_BOUND)))
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
         .filter("shard <> home")
-        .select("block", "vec_id", "v", "home", "shard", "bound")
+        .select("block", "q_id", "q", "home", "shard", "bound")
     )
     grid = data.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).filter(
         F.col("shard") != F.pmod(F.col("block"), F.lit(shards))
