@@ -43,6 +43,22 @@ def test_duplicate_keys(telemetry):
     assert [r.accel for r in kinematics(df, LEGACY).orderBy("seq").collect()] == [0.0, 10.0, 0.0]
 
 
+def test_the_later_write_wins_whatever_its_sequence(telemetry):
+    from pyspark.sql import functions as F
+
+    df = telemetry([("A", 0, 50.0, -12.0, -77.0, 9)])
+    later = telemetry([("A", 0, 99.0, -12.0, -77.0, 1)]).withColumn(
+        "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 SECOND"))
+    assert dedup_lww(df.unionByName(later)).head().speed_kmh == 99.0
+    batches = df.withColumn("batch_id", F.lit(1)).unionByName(
+        later.withColumns({"batch_id": F.lit(2), "ingested_at": F.col("ingested_at") - F.expr("INTERVAL 1 SECOND")}))
+    assert dedup_lww(batches).head().speed_kmh == 99.0
+    for column in ("seq", "ingested_at"):
+        bare = df.withColumn(column, F.lit(None).cast(df.schema[column].dataType))
+        kept = dedup_lww(bare).head()
+        assert (kept.speed_kmh, kept.lat, kept[column]) == (50.0, -12.0, None)
+
+
 def test_dedup_keeps_nulls_of_the_winner(telemetry):
     df = telemetry([("A", 0, 50.0), ("A", 0, None)])
     assert dedup_lww(df).head().speed_kmh is None

@@ -55,7 +55,7 @@ def test_fleet_report_document(golden):
     assert report["basic"]["samples"] == 8 and report["basic"]["speed_limit"] == 80.0
     assert report["risk"]["score"] == 42.5 and report["risk"]["brake_threshold"] == -12.0
     assert report["risk"]["weights"] == {"speeding": 0.3, "variance": 0.3, "braking": 0.4}
-    assert report["lineage"]["java_home"]
+    assert report["lineage"]["engine"].startswith("Spark ")
 
 
 def test_trip_report_document(golden):

@@ -61,10 +61,22 @@ def test_slices_are_even_also_inside_one_instant(uneven):
     assert max(r["count"] for r in counts) <= 200
 
 
-def test_slice_count_is_bounded(uneven):
-    slices = plan_slices(uneven, slice_rows=1, max_slices=8)
-    assert slices.assign(uneven, long_trips_only=True).select("trip_id", "slice").distinct().count() <= 16
-    assert same_rows(kinematics(uneven, CURRENT, slices=WHOLE_TRIPS), kinematics(uneven, CURRENT, slices=slices))
+def test_many_equally_long_trips_are_all_cut(telemetry):
+    df = telemetry([(f"T{k}", float(i), float(i % 90)) for k in range(20) for i in range(300)])
+    slices = plan_slices(df, slice_rows=30)
+    counts = slices.assign(df, long_trips_only=True).groupBy("trip_id", "slice").count().collect()
+    assert len({r.trip_id for r in counts}) == 20 and max(r["count"] for r in counts) <= 60
+    assert same_rows(kinematics(df, CURRENT, slices=WHOLE_TRIPS), kinematics(df, CURRENT, slices=slices))
+
+
+def test_rows_without_trip_or_sequence_are_cut_too(telemetry):
+    df = telemetry([(None, float(i), float(i % 90)) for i in range(400)])
+    df = df.unionByName(telemetry([("N", float(i), float(i % 90)) for i in range(400)]).withColumn(
+        "seq", F.lit(None).cast("long")))
+    slices = plan_slices(df, slice_rows=20)
+    counts = slices.assign(df, long_trips_only=True).groupBy("trip_id", "slice").count().collect()
+    assert {r.trip_id for r in counts} == {None, "N"} and max(r["count"] for r in counts) <= 60
+    assert same_rows(kinematics(df, CURRENT, slices=WHOLE_TRIPS), kinematics(df, CURRENT, slices=slices))
 
 
 def test_short_trips_need_no_slices(uneven):

@@ -13,6 +13,7 @@ from tripgauge.plans.runs import run_fleet, run_trips
 from tripgauge.plans.trip_report import scored_trips
 from tripgauge.schema import AUDIT
 from tripgauge.sources.sinks import append_audit, append_report, read_reports
+from tripgauge.operators.quality import dedup_lww
 from tripgauge.sources.telemetry import append_telemetry, normalize, read_csv, read_telemetry, write_clustered
 
 CSV = """id_viaje,tiempo,velocidad_kmh
@@ -40,6 +41,23 @@ def test_csv(spark, csv_file, infer):
     assert rows[0].lat is None
 
 
+def test_csv_goes_by_the_names_in_the_header(spark, tmp_path):
+    path = tmp_path / "other.csv"
+    path.write_text("velocidad_kmh,latitud,id_viaje,tiempo,note\n80.5,-12.5,T1,2026-05-06 14:00:00.000+0000,x\n")
+    row = read_csv(spark, str(path)).head()
+    assert (row.trip_id, row.speed_kmh, row.lat, row.note, row.event_time.hour) == ("T1", 80.5, -12.5, "x", 14)
+    path.write_text("velocidad_kmh,tiempo\n80.5,2026-05-06 14:00:00\n")
+    with pytest.raises(ValueError, match="id_viaje"):
+        read_csv(spark, str(path))
+
+
+def test_two_appends_keep_the_later_write(spark, telemetry, tmp_path):
+    for speed in (50.0, 99.0):
+        rows = telemetry([("A", 0, speed)]).drop("seq", "ingested_at")
+        append_telemetry(normalize(rows), str(tmp_path / "t"))
+    assert dedup_lww(read_telemetry(spark, "parquet", str(tmp_path / "t"))).head().speed_kmh == 99.0
+
+
 def test_csv_missing(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="nowhere.csv"):
         read_csv(spark, str(tmp_path / "nowhere.csv"))

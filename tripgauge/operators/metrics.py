@@ -12,6 +12,7 @@ from tripgauge.functions.columns import (
     tail,
 )
 from tripgauge.operators.kinematics import kinematics
+from tripgauge.operators.quality import moment_order
 from tripgauge.operators.slicing import WHOLE_TRIPS
 from tripgauge.profiles import KEEP_POINTS, Profile
 
@@ -53,10 +54,11 @@ def trip_metrics(enriched: DataFrame, profile: Profile, keep_points: int | None
 
 
 def last_position(df: DataFrame) -> DataFrame:
-    """Position of each trip's newest sample."""
-    newest = F.max_by(F.struct("lat", "lon"), F.struct("event_time", "seq"))
-    return df.groupBy("trip_id").agg(newest.alias("p")).select(
-        "trip_id", F.col("p.lat").alias("last_lat"), F.col("p.lon").alias("last_lon")
+    """Position of each trip's newest sample. The order is one number and the columns are
+    picked one by one, which keeps this in a hash aggregate."""
+    newest = moment_order("event_time", "seq")
+    return df.groupBy("trip_id").agg(
+        F.max_by("lat", newest).alias("last_lat"), F.max_by("lon", newest).alias("last_lon")
     )
 
 

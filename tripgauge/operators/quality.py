@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgauge.profiles import LAT_MAX, LAT_MIN, LON_MAX, LON_MIN, RETENTION_SECONDS
 
 
+LONG_MIN = -(2**63)
+# Microseconds around 1970 that write times are told apart in.
+TIME_REACH = 2**61
+
+
 class EmptyInputError(ValueError):
     """The input holds no rows and the profile treats that as an error."""
 
@@ -25,16 +32,29 @@ def retain(df: DataFrame, as_of: Column, ttl_seconds: int = RETENTION_SECONDS) -
     return df.filter(F.col("ingested_at") > as_of - F.make_interval(secs=F.lit(ttl_seconds)))
 
 
+def moment_order(time: str, seq: str) -> Column:
+    """Time and sequence as one number that sorts as the two do, null lowest. Times reach
+    over 70,000 years around 1970 beside the 64 bits of the sequence."""
+    micros = F.coalesce(F.unix_micros(time), F.lit(LONG_MIN))
+    within = F.greatest(F.lit(-TIME_REACH), F.least(F.lit(TIME_REACH), micros)).cast("decimal(19,0)")
+    number = F.coalesce(F.col(seq), F.lit(LONG_MIN)).cast("decimal(19,0)")
+    return (within * F.lit(Decimal(2**64)) + number).cast("decimal(38,0)")
+
+
 def dedup_lww(df: DataFrame) -> DataFrame:
-    """One row per trip and time, the one written last. Copies collapse on the map
-    side, so a heavily repeated key reaches the shuffle as one row per task. Columns
-    are picked one by one: of fixed width, they keep this in a hash aggregate, where a
-    struct would need its input sorted."""
+    """One row per trip and time, the one written last: by write time, then by
+    ``batch_id`` where there is one, and by ``seq`` only among those. What is null counts
+    as earliest. Copies collapse on the map side, so a heavily repeated key reaches the
+    shuffle as one row per task. Columns are picked one by one, and the order is a
+    number: of fixed width, they keep this in a hash aggregate, where a struct would need
+    its input sorted. Only with ``batch_id`` the order is a struct."""
     keys = ["trip_id", "event_time"]
-    picked = [
-        F.max("seq").alias(c) if c == "seq" else F.max_by(c, "seq").alias(c)
-        for c in df.columns if c not in keys
-    ]
+    if "batch_id" in df.columns:
+        parts = F.unix_micros("ingested_at"), F.col("batch_id").cast("long"), F.col("seq")
+        order = F.struct(*[F.coalesce(c, F.lit(LONG_MIN)) for c in parts])
+    else:
+        order = moment_order("ingested_at", "seq")
+    picked = [F.max_by(c, order).alias(c) for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(*picked).select(*df.columns)
 
 

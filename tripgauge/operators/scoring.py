@@ -1,28 +1,25 @@
-"""Risk score from speeding, acceleration variance and hard braking."""
+"""Risk score: signals turned to points, each up to 100, and added up by weight."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripgauge.functions.columns import stable_round
 from tripgauge.profiles import Profile
 
-# Points per unit of each signal; every part stops at 100.
-PER_SPEEDING, PER_VARIANCE, PER_BRAKE = 5.0, 2.0, 10.0
-FULL = 100.0
+def risk_score(metrics: DataFrame, profile: Profile) -> DataFrame:
+    """Add ``risk_score``, 0 to 100 with two decimals. ``profile.signals`` says which
+    columns count, for how many points per unit, and at what weight."""
 
+    def capped(column):
+        return F.least(column, F.lit(100.0))
 
-def risk_score(metrics: DataFrame, profile: Profile) -> DataFrame:
-    """Add ``risk_score``, 0 to 100 with two decimals."""
-    full = F.lit(FULL)
-    speeding = F.least(F.col("speeding_alerts") * F.lit(PER_SPEEDING), full)
-    variance = F.least(F.col("accel_variance") / F.lit(profile.variance_divisor) * F.lit(PER_VARIANCE), full)
-    braking = F.least(F.col("hard_brakes") * F.lit(PER_BRAKE), full)
-    weighted = (
-        variance * F.lit(profile.weight_variance)
-        + speeding * F.lit(profile.weight_speeding)
-        + braking * F.lit(profile.weight_braking)
-    )
-    clamped = F.greatest(F.lit(0.0), F.least(weighted, full))
-    return metrics.withColumn("risk_score", stable_round(clamped, 2, profile.half_even))
+    parts = [
+        capped(F.col(column) / F.lit(unit) * F.lit(points)) * F.lit(weight)
+        for column, unit, points, weight in profile.signals
+    ]
+    total = F.greatest(F.lit(0.0), capped(reduce(lambda a, b: a + b, parts)))
+    return metrics.withColumn("risk_score", stable_round(total, 2, profile.half_even))

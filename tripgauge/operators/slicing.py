@@ -3,39 +3,29 @@
 A window over ``trip_id`` sorts a whole trip in one task. Here a trip with more than
 ``slice_rows`` samples is cut into consecutive slices of its order, each slice
 becomes its own window group, and the few rows a look-back needs from earlier slices
-are copied in front of it. Trips below the limit keep the plain window and its single
-exchange; when no trip is long, nothing of this shows in the plan.
+are copied in front of it. Every long trip is cut, however many there are, the rows
+without a trip included. When no trip is long, nothing of this shows in the plan.
 
-What reaches the driver and is broadcast is bounded by ``max_slices``, whatever the
-size of the data. Cut points are estimated from a sample, as a range partitioner
-does; they decide only where a trip is cut, never what a row's result is.
+Cut points are a table of one row per long trip, estimated from a sample as a range
+partitioner does; they decide only where a trip is cut, never what a row's result is.
+They are written once, so that all uses cut alike, and joined like any other table.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tripgauge.session import scratch_dir
 
 SLICE_ROWS = 2_000_000
-MAX_SLICES = 8192
 SAMPLES_PER_SLICE = 128
 
 LONG_MIN = -(2**63)
 
-# A slice starts at time t and sequence s.
-_CUT = T.StructType([T.StructField("t", T.LongType()), T.StructField("s", T.LongType())])
-_LOOKUP = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("stride", T.IntegerType()),
-    T.StructField("coarse", T.ArrayType(_CUT)),
-    T.StructField("fine", T.ArrayType(T.ArrayType(_CUT))),
-])
-
 
 @dataclass(frozen=True)
 class TripSlices:
@@ -50,11 +40,14 @@ class TripSlices:
     def needed(self) -> bool:
         return self.lookup is not None
 
+    def named(self) -> Column:
+        """The trip as a text that is never null, to join by."""
+        return F.coalesce(F.concat(F.lit("="), F.col(self.key).cast("string")), F.lit("~"))
+
     def assign(self, df: DataFrame, long_trips_only: bool = False) -> DataFrame:
         """Add each row's ``slice``, 0 for short trips. It follows from the row alone, so
         any rows of the trip may be given, also fewer than the cuts were planned on."""
-        t = F.coalesce(F.unix_micros(self.time), F.lit(LONG_MIN))
-        s = F.coalesce(F.col(self.seq), F.lit(LONG_MIN))
+        t, s = _place(self.time, self.seq)
 
         def reached(cut: Column) -> Column:
             return (cut["t"] < t) | ((cut["t"] == t) & (cut["s"] <= s))
@@ -63,12 +56,12 @@ class TripSlices:
         group = F.size(F.filter("coarse", reached)) - 1
         within = F.size(F.filter(F.get("fine", F.col("group")), reached)) - 1
         how = "inner" if long_trips_only else "left"
-        lookup = F.broadcast(self.lookup.withColumnRenamed("key", self.key))
         return (
-            df.join(lookup, self.key, how)
+            df.withColumn("_trip", self.named())
+            .join(self.lookup, "_trip", how)
             .withColumn("group", group)
             .withColumn("slice", F.coalesce(F.col("group") * F.col("stride") + within, F.lit(0)))
-            .drop("group", "stride", "coarse", "fine")
+            .drop("_trip", "group", "stride", "coarse", "fine")
         )
 
 
@@ -76,68 +69,58 @@ class TripSlices:
 WHOLE_TRIPS = TripSlices(None, "trip_id", "event_time", "seq")
 
 
+def _place(time: str, seq: str) -> tuple[Column, Column]:
+    """A row's place in its trip; nulls come first, as they sort."""
+    return F.coalesce(F.unix_micros(time), F.lit(LONG_MIN)), F.coalesce(F.col(seq), F.lit(LONG_MIN))
+
+
 def plan_slices(
     df: DataFrame,
     key: str = "trip_id",
     time: str = "event_time",
     seq: str = "seq",
     slice_rows: int = SLICE_ROWS,
-    max_slices: int = MAX_SLICES,
 ) -> TripSlices:
-    """Find the long trips and where to cut them.
+    """Find the long trips and where to cut them, each into pieces of about ``slice_rows``.
 
-    One narrow job counts rows per trip (combined on the map side). At most
-    ``max_slices`` trips are cut, the longest ones; a trip beyond those holds less
-    than 1/``max_slices`` of the rows and stays whole.
-    """
+    One narrow job counts rows per trip, combined on the map side, and only whether
+    there is a long one reaches the driver. Their rows are sampled alike, so that a
+    trip's sample grows with its pieces and stays far below a slice."""
     whole = TripSlices(None, key, time, seq)
     heavy = (
-        df.groupBy(key)
+        df.groupBy(whole.named().alias("_trip"))
         .agg(F.count(F.lit(1)).alias("rows"))
-        .filter((F.col("rows") > slice_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc("rows"), key)
-        .limit(max_slices)
-        .collect()
+        .filter(F.col("rows") > slice_rows)
+        .withColumn("pieces", F.ceil(F.col("rows") / slice_rows))
     )
-    total = sum(r["rows"] for r in heavy)
-    target = max(slice_rows, math.ceil(total / max_slices))
-    pieces = {r[key]: math.ceil(r["rows"] / target) for r in heavy if r["rows"] > target}
-    if not pieces:
+    if heavy.isEmpty():
         return whole
-
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(list(pieces.items()), f"{key} string, pieces int")
-    fraction = min(1.0, SAMPLES_PER_SLICE * sum(pieces.values()) / total)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("t", "s"))
-    size = F.count(F.lit(1)).over(Window.partitionBy(key))
-
+    t, s = _place(time, seq)
+    by_trip = Window.partitionBy("_trip")
+    rank = F.row_number().over(by_trip.orderBy("t", "s"))
     share = F.col("pieces") / F.col("size")
     starts_piece = F.floor(F.col("rank") * share) > F.floor((F.col("rank") - 1) * share)
-    cuts = (
-        df.select(key, F.unix_micros(time).alias("t"), F.col(seq).alias("s"))
-        .join(F.broadcast(wanted), key)
-        .sample(fraction, seed=7)
-        .dropna(subset=["t", "s"])
-        .withColumn("rank", rank)
-        .withColumn("size", size)
+    cut = F.struct("t", "s")
+    first = F.struct(F.lit(LONG_MIN).alias("t"), F.lit(LONG_MIN).alias("s"))
+    fine = F.transform(
+        F.sequence(F.lit(1), F.size("bounds"), F.col("stride")), lambda i: F.slice("bounds", i, F.col("stride"))
+    )
+    lookup = (
+        df.select(whole.named().alias("_trip"), t.alias("t"), s.alias("s"))
+        .sample(min(1.0, SAMPLES_PER_SLICE / slice_rows), seed=7)
+        .join(heavy, "_trip")
+        .withColumns({"rank": rank, "size": F.count(F.lit(1)).over(by_trip)})
         .filter(starts_piece & (F.col("rank") < F.col("size")))
-        .select(key, "t", "s")
-        .collect()
+        .groupBy("_trip")
+        .agg(F.array_sort(F.collect_set(cut)).alias("cuts"))
+        .withColumn("bounds", F.array_distinct(F.concat(F.array(first), "cuts")))
+        .withColumn("stride", F.greatest(F.floor(F.sqrt(F.size("bounds"))).cast("int"), F.lit(1)))
+        .withColumn("fine", fine)
+        .select("_trip", "stride", F.transform("fine", lambda g: F.get(g, F.lit(0))).alias("coarse"), "fine")
     )
-    by_trip: dict[str, set[tuple[int, int]]] = {}
-    for cut in cuts:
-        by_trip.setdefault(cut[key], set()).add((cut["t"], cut["s"]))
-    if not by_trip:
-        return whole
-    rows = [_lookup_row(trip, points) for trip, points in by_trip.items()]
-    return TripSlices(spark.createDataFrame(rows, _LOOKUP), key, time, seq)
-
-
-def _lookup_row(trip: str, points: set[tuple[int, int]]) -> tuple:
-    bounds = [(LONG_MIN, LONG_MIN), *sorted(points)]
-    stride = max(1, math.isqrt(len(bounds)))
-    fine = [bounds[i:i + stride] for i in range(0, len(bounds), stride)]
-    return trip, stride, [group[0] for group in fine], fine
+    path = scratch_dir(df.sparkSession, "slices")
+    lookup.write.parquet(path)
+    return TripSlices(df.sparkSession.read.schema(lookup.schema).parquet(path), key, time, seq)
 
 
 def over_trips(
@@ -162,34 +145,23 @@ def _rows_before_slices(df: DataFrame, lookback: int, columns: list[str], slices
     """For every slice but a trip's first, the ``lookback`` rows ahead of it, with
     ``slice`` set to the slice they precede.
 
-    The last ``lookback`` rows of each slice are gathered per trip, at most
-    ``lookback`` times the number of slices. What precedes a slice is the end of the
-    gathered rows up to it, also when a slice holds fewer rows than the look-back."""
+    These are among the last ``lookback`` rows of each slice. Numbered along the trip,
+    the ones wanted by a slice are the numbers just below those of its own, also where
+    a slice before it holds fewer rows than the look-back; they are fetched by number."""
     key, order = slices.key, [slices.time, slices.seq]
     carried = [*order, *[c for c in columns if c not in order]]
-    latest = Window.partitionBy(key, "slice").orderBy(*[F.desc(c) for c in order])
-    rows = slices.assign(df.select(key, *carried), long_trips_only=True)
-    item = F.struct("slice", *order, F.struct(*carried).alias("row"))
-    gathered = (
+    rows = slices.assign(df.select(key, *carried), long_trips_only=True).withColumn("_trip", slices.named())
+    latest = Window.partitionBy("_trip", "slice").orderBy(*[F.desc(c) for c in order])
+    along = Window.partitionBy("_trip").orderBy("slice", *order)
+    ends = (
         rows.withColumn("rn", F.row_number().over(latest))
         .filter(F.col("rn") <= lookback)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(item)).alias("ends"))
-    )
-
-    def precedes(i: Column) -> Column:
-        before = F.slice("ends", F.greatest(i - (lookback - 1), F.lit(1)), F.least(F.lit(lookback), i))
-        target = F.get("ends", i)["slice"]
-        return F.transform(before, lambda e: F.struct(target.alias("slice"), e["row"].alias("row")))
-
-    at_start = F.filter(
-        F.sequence(F.lit(0), F.size("ends") - 1),
-        lambda i: (i > 0) & (F.get("ends", i)["slice"] != F.get("ends", i - 1)["slice"]),
-    )
-    return (
-        gathered.select(key, F.explode(F.flatten(F.transform(at_start, precedes))).alias("c"))
-        .select(key, "c.slice", "c.row.*")
+        .withColumn("at", F.row_number().over(along))
     )
+    firsts = ends.groupBy("_trip", "slice").agg(F.min("at").alias("first")).filter("first > 1")
+    number = F.explode(F.sequence(F.greatest(F.col("first") - lookback, F.lit(1)), F.col("first") - 1))
+    wanted = firsts.select("_trip", "slice", number.alias("at"))
+    return wanted.join(ends.drop("slice", "rn"), ["_trip", "at"]).select(key, "slice", *carried)
 
 
 def trip_ordinal(df: DataFrame, slices: TripSlices, name: str = "ordinal") -> DataFrame:
@@ -198,21 +170,21 @@ def trip_ordinal(df: DataFrame, slices: TripSlices, name: str = "ordinal") -> Da
     if not slices.needed:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(slices.key).orderBy(*order)))
     key = slices.key
-    rows = slices.assign(df)
-    earlier = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice of a long trip, so at most max_slices plus one per long trip.
+    rows = slices.assign(df).withColumn("_trip", slices.named())
+    earlier = Window.partitionBy("_trip").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per slice of a long trip.
     offsets = (
         slices.assign(df, long_trips_only=True)
-        .groupBy(key, "slice")
+        .groupBy(slices.named().alias("_trip"), "slice")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(key, "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+        .select("_trip", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
     )
     local = F.row_number().over(Window.partitionBy(key, "slice").orderBy(*order))
     return (
         rows.withColumn(name, local)
-        .join(F.broadcast(offsets), [key, "slice"], "left")
+        .join(offsets, ["_trip", "slice"], "left")
         .withColumn(name, (F.col(name) + F.coalesce("offset", F.lit(0))).cast("long"))
-        .drop("slice", "offset")
+        .drop("slice", "offset", "_trip")
     )
 
 

@@ -4,12 +4,6 @@ from __future__ import annotations
 
 import pyspark
 
-from tripgauge.plans.trip_report import (
-    LINEAGE_ETL,
-    LINEAGE_PRINCIPLES,
-    LINEAGE_TRIP_SINK,
-    LINEAGE_VARIANCE,
-)
 
 TELEMETRY = """
 tel AS (
@@ -129,11 +123,11 @@ docs AS (
 
 def _lineage_lines() -> str:
     values = [
-        ("MOTOR_PROCESAMIENTO", f"PySpark {pyspark.__version__} (JVM Native)"),
-        ("PATRON_ETL", LINEAGE_ETL),
-        ("ALGORITMO_VARIANZA", LINEAGE_VARIANCE),
-        ("PATRON_PERSISTENCIA", LINEAGE_TRIP_SINK),
-        ("PRINCIPIOS", LINEAGE_PRINCIPLES),
+        ("MOTOR_PROCESAMIENTO", f"Spark {pyspark.__version__}"),
+        ("PATRON_ETL", "lag and deltas along each trip, long trips in slices"),
+        ("ALGORITMO_VARIANZA", "population variance from the means of x and x squared"),
+        ("PATRON_PERSISTENCIA", "Keyed Parquet log, one replacement per trip"),
+        ("PRINCIPIOS", "DataFrame operators, one profile per run"),
     ]
     rows = ", ".join(
         f"({i}, '[2024-01-02T03:04:05] [INFO] {label}: {value}')" for i, (label, value) in enumerate(values)
@@ -192,6 +186,12 @@ ORACLE: dict[str, str] = {
         SELECT trip_id, event_us, speed_kmh + 10, seq + 1000000000000 FROM tel WHERE event_us >= {HALF_US})
       SELECT trip_id, event_us, speed_kmh, seq FROM written
       QUALIFY row_number() OVER (PARTITION BY trip_id, event_us ORDER BY seq DESC) = 1""",
+    "lww_rewrites": f"""WITH {TELEMETRY},
+      written AS (SELECT trip_id, event_us, speed_kmh, seq, event_us AS ingested_us FROM tel UNION ALL
+        SELECT trip_id, event_us, speed_kmh + 10, CASE WHEN seq % 2 = 0 THEN -seq END, event_us + 60000000
+        FROM tel WHERE seq % 3 = 0)
+      SELECT trip_id, event_us, speed_kmh, seq, ingested_us FROM written
+      QUALIFY row_number() OVER (PARTITION BY trip_id, event_us ORDER BY ingested_us DESC, seq DESC NULLS LAST) = 1""",
     "report_upsert": f"""WITH {TELEMETRY}, {_kin('ok', '3.6')}, {_metrics('kin')},
       early AS (SELECT * FROM ok WHERE event_us < {NEW_YEAR} + 900000000),
       {_kin('early', '3.6', 'ekin')}, {_metrics('ekin', 'emet')},
@@ -252,7 +252,7 @@ ORACLE: dict[str, str] = {
       CAST(NULL AS VARCHAR) AS status UNION ALL
       SELECT 'TRIP-NONE', 'ping', NULL, 'empty_collection'""",
     "normalized": f"WITH {TELEMETRY} SELECT trip_id, event_us, lat, lon, speed_kmh, seq, true AS no_write_time FROM tel",
-    "csv_scan": f"WITH {TELEMETRY} SELECT trip_id, event_us // 1000 * 1000 AS event_us, speed_kmh FROM tel",
+    "csv_scan": f"WITH {TELEMETRY} SELECT trip_id, event_us // 1000 * 1000 AS event_us, speed_kmh, lat, lon FROM tel",
     "stream_retained_risk": f"""WITH {TELEMETRY},
       live AS (SELECT * FROM ok WHERE event_us > (SELECT max(event_us) FROM tel) - 600000000),
       {_kin('live', '3.6')}, {_metrics('kin')}

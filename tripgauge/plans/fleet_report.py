@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +50,5 @@ def build_fleet_report(df: DataFrame, profile: Profile = LEGACY, as_of: Column |
             F.lit(LINEAGE_VARIANCE).alias("variance"),
             F.lit(LINEAGE_FLEET_SINK).alias("persistence"),
             F.lit(LINEAGE_PRINCIPLES).alias("principles"),
-            F.lit(os.environ.get("JAVA_HOME", "N/A")).alias("java_home"),
-            F.lit(os.environ.get("HADOOP_HOME", "N/A")).alias("hadoop_home"),
         ).alias("lineage"),
     )

@@ -16,6 +16,9 @@ DEFAULT_LAT, DEFAULT_LON = -12.0464, -77.0428
 # Position the web page falls back to.
 PAGE_LAT, PAGE_LON = -12.046374, -77.042793
 
+# Points per unit of each signal of the score.
+PER_SPEEDING, PER_VARIANCE, PER_BRAKE = 5.0, 2.0, 10.0
+
 RETENTION_SECONDS = 600
 KEEP_POINTS = 100
 
@@ -41,6 +44,15 @@ class Profile:
     def __post_init__(self) -> None:
         self.validate()
 
+    @property
+    def signals(self) -> tuple[tuple[str, float, float, float], ...]:
+        """Column, its unit, points per unit and weight of each signal of the score."""
+        return (
+            ("accel_variance", self.variance_divisor, PER_VARIANCE, self.weight_variance),
+            ("speeding_alerts", 1.0, PER_SPEEDING, self.weight_speeding),
+            ("hard_brakes", 1.0, PER_BRAKE, self.weight_braking),
+        )
+
     def validate(self) -> None:
         total = self.weight_speeding + self.weight_variance + self.weight_braking
         if abs(total - 1.0) >= WEIGHT_TOLERANCE:

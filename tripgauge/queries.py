@@ -193,6 +193,23 @@ def lww_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("trip_id", micros("event_time").alias("event_us"), "speed_kmh", "seq")
 
 
+def lww_rewrites(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third sample is written again a minute later, by a writer whose sequence starts
+    anew or is missing; the later write counts."""
+    telemetry = telemetry_from_events(spark, sf)
+    anew = F.when(F.col("seq") % 2 == 0, -F.col("seq"))
+    again = telemetry.filter(F.col("seq") % 3 == 0).withColumns({
+        "speed_kmh": F.col("speed_kmh") + 10.0,
+        "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 MINUTE"),
+        "seq": anew,
+    })
+    kept = dedup_lww(telemetry.unionByName(again))
+    return kept.select(
+        "trip_id", micros("event_time").alias("event_us"), "speed_kmh", "seq",
+        micros("ingested_at").alias("ingested_us"),
+    )
+
+
 def _reports(spark: SparkSession, sf: str, keep: int = KEEP) -> DataFrame:
     return trip_reports(
         telemetry_from_events(spark, sf), as_of=instant("2024-01-02 03:04:05"), keep_points=keep
@@ -443,15 +460,17 @@ def normalized(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Telemetry written as CSV in the external layout and read back."""
+    """Telemetry written as CSV with columns in an order of its own and read back by name."""
     path = scratch_dir(spark, "csv")
     telemetry_from_events(spark, sf).select(
-        F.col("trip_id").alias("id_viaje"),
-        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSZ").alias("tiempo"),
+        F.col("lat").alias("latitud"),
         F.col("speed_kmh").alias("velocidad_kmh"),
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSZ").alias("tiempo"),
+        F.col("lon").alias("longitud"),
+        F.col("trip_id").alias("id_viaje"),
     ).write.option("header", True).csv(path)
     rows = read_csv(spark, path)
-    return rows.select("trip_id", micros("event_time").alias("event_us"), "speed_kmh")
+    return rows.select("trip_id", micros("event_time").alias("event_us"), "speed_kmh", "lat", "lon")
 
 
 def clustered_store(spark: SparkSession, sf: str) -> DataFrame:
@@ -517,6 +536,7 @@ QUERIES: dict[str, Query] = {
     "trip_report_flat": trip_report_flat,
     "retention_window": retention_window,
     "lww_dedup": lww_dedup,
+    "lww_rewrites": lww_rewrites,
     "report_upsert": report_upsert,
     "history_merge": history_merge,
     "timestamp_parse": timestamp_parse,

@@ -37,15 +37,24 @@ def read_csv(
     infer: bool = False,
     timestamp_format: str = CSV_TIMESTAMP_FORMAT,
 ) -> DataFrame:
-    """CSV with a header row. Columns are taken by position from ``schema``, or
-    ``id_viaje, tiempo, velocidad_kmh`` without one; ``infer`` reads the types off the
-    data, at the cost of one more pass."""
+    """CSV with a header row, which says what each column is, in any order. Types follow
+    from the names: those of ``schema``, or of the telemetry columns; others are text.
+    Columns of ``schema``, or ``id_viaje, tiempo, velocidad_kmh`` without one, must be
+    there. ``infer`` reads the types off the data, at the cost of one more pass."""
     reader = spark.read.option("header", True).option("timestampFormat", timestamp_format)
-    if infer:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.schema(schema or CSV_SCHEMA)
     try:
+        header = spark.read.option("header", True).csv(path).columns
+        required = [f.name for f in (schema or CSV_SCHEMA).fields]
+        missing = [c for c in required if c not in header and EXTERNAL_NAMES.get(c) not in header]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        if infer:
+            reader = reader.option("inferSchema", True)
+        else:
+            types = {**_TYPES_BY_NAME, **{f.name: f.dataType for f in (schema or CSV_SCHEMA).fields}}
+            named = [T.StructField(c, types.get(c, T.StringType())) for c in header]
+            # A file whose header differs is an error and not read by position.
+            reader = reader.schema(T.StructType(named)).option("enforceSchema", False)
         df = normalize(reader.csv(path))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -61,6 +70,10 @@ CSV_SCHEMA = T.StructType([
     T.StructField("tiempo", T.TimestampType()),
     T.StructField("velocidad_kmh", T.DoubleType()),
 ])
+_TYPES_BY_NAME = {
+    **{f.name: f.dataType for f in TELEMETRY.fields},
+    **{old: TELEMETRY[new].dataType for old, new in EXTERNAL_NAMES.items() if new in TELEMETRY.fieldNames()},
+}
 
 
 def append_telemetry(df: DataFrame, path: str) -> None:

@@ -100,7 +100,7 @@ class Cycle:
         if self.scope == "batch":
             arrived = store.all(batch_id).filter(F.col("batch_id") == batch_id)
             live = live.join(arrived.select("trip_id").distinct(), "trip_id", "left_semi")
-        return live.drop("batch_id", "ingest_slot")
+        return live.drop("ingest_slot")
 
     def _score(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -110,7 +110,7 @@ class Cycle:
             return
         # Planned before removing copies, which only lowers the counts it goes by.
         slices = plan_slices(live, slice_rows=self.slice_rows)
-        scored = scored_trips(dedup_lww(live), self.profile, self.keep_points, slices)
+        scored = scored_trips(dedup_lww(live).drop("batch_id"), self.profile, self.keep_points, slices)
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             audit = audit_rows(scored, str(batch_id)).select(*AUDIT.fieldNames())
