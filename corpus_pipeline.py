@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm.bpe import decode_documents, encode_documents
+from tripgauge.llm.bpe import encode_documents
 from tripgauge.llm.common import stage, table
 from tripgauge.llm.exact import exact_dedup
 from tripgauge.llm.mixing import mix
@@ -41,10 +41,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number and the digest of what they decode to."""
-    encoded = encode_documents(docs.select("doc_id", "lang", "source", "text"), VOCABULARY).drop("text")
-    return decode_documents(encoded, VOCABULARY).select(
-        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    encoded = encode_documents(
+        docs.select("doc_id", "lang", "source", "text"), VOCABULARY, decoded_sha256="decoded_sha256"
+    )
+    return encoded.select(
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded_sha256"
     )
 
 

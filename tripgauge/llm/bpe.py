@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Words remembered at once; beyond that the memory starts anew.
-MEMORY = 500_000
+MEMORY = 200_000
+# Rows held encoded or decoded at once.
+AT_ONCE = 256
 # The letters, numbers and spaces below U+0250.
 _L, _N, _S = "a-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", "\\t-\\r \x85\xa0"
 # Latin text in lower case, cut as the vocabulary's own pattern does.
@@ -141,18 +143,28 @@ def _vocabulary(path: str) -> str:
     return public_tokenizers.path(path)
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of ``text`` as ``array<int>``; null texts get none. A
-    column of that name is replaced."""
-    kept = [c for c in docs.columns if c != ids]
+def encode_documents(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded_sha256: str | None = None
+) -> DataFrame:
+    """``docs`` with the token ids of ``text`` as ``array<int>``; null texts get none. With
+    ``decoded_sha256`` also, under that name, the digest of what the ids decode to.
+    Columns of these names are replaced. A few rows at a time are held encoded."""
+    added = [ids, *([decoded_sha256] if decoded_sha256 else [])]
+    kept = [c for c in docs.columns if c not in added]
     schema = docs.select(*kept).schema.add(ids, T.ArrayType(T.IntegerType()))
+    if decoded_sha256:
+        schema = schema.add(decoded_sha256, T.StringType())
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = codec(_vocabulary(path))
         for batch in batches:
-            found = batch[kept].copy()
-            found[ids] = [bpe.encode(t).astype(np.int32) for t in batch[text]]
-            yield found
+            for at in range(0, len(batch), AT_ONCE):
+                part = batch[at:at + AT_ONCE]
+                found = part[kept].copy()
+                found[ids] = [bpe.encode(t).astype(np.int32) for t in part[text]]
+                if decoded_sha256:
+                    found[decoded_sha256] = [hashlib.sha256(bpe.decode(i).encode()).hexdigest() for i in found[ids]]
+                yield found
 
     return docs.mapInPandas(encode, schema)
 
@@ -165,9 +177,11 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", text: str
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = codec(_vocabulary(path))
         for batch in batches:
-            found = batch[kept].copy()
-            found[text] = [bpe.decode(() if i is None else i) for i in batch[ids]]
-            yield found
+            for at in range(0, len(batch), AT_ONCE):
+                part = batch[at:at + AT_ONCE]
+                found = part[kept].copy()
+                found[text] = [bpe.decode(() if i is None else i) for i in part[ids]]
+                yield found
 
     return encoded.mapInPandas(decode, schema)
 

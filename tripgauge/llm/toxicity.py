@@ -29,6 +29,8 @@ from tripgauge.llm.labels import FIT_ROWS, fit_sample
 MOST_TERMS = 5000
 LEAST_SUPPORT = 4
 LEAST_WEIGHT = 2.5
+# Words remembered folded.
+MEMORY = 200_000
 STEMS = range(4, 9)
 EDGES = ".,;:!?\"'()[]{}<>*#%&$-_/\\…«»„“”‘’¿¡|~`^+="
 
@@ -45,22 +47,36 @@ _LETTERS = str.maketrans({**LOOK_ALIKE, **{c: None for c in INVISIBLE}})
 _SIGNS = str.maketrans(SIGNS)
 
 
+class _Folded(dict):
+    """Folded words by the word as written, made when first asked for."""
+
+    def __missing__(self, word: str) -> str:
+        folded = fold_word(word)
+        if len(word) <= 64:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[word] = folded
+        return folded
+
+
+_folded = _Folded()
+
+
+def fold_word(word: str) -> str:
+    """A word folded, without punctuation around it; empty where nothing is left."""
+    if not word.isascii():
+        word = unicodedata.normalize("NFKC", word)
+    word = word.lower()
+    if not word.isascii():
+        word = word.translate(_LETTERS)
+    word = word.strip(EDGES)
+    # A number stays one; signs become letters only beside letters.
+    return word if word.isdigit() else word.translate(_SIGNS)
+
+
 def fold(text: str | None) -> list[str]:
-    """The folded words of a text, without punctuation around them."""
-    if not text:
-        return []
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
-    text = text.lower()
-    if not text.isascii():
-        text = text.translate(_LETTERS)
-    words = []
-    for word in text.split():
-        word = word.strip(EDGES)
-        if word:
-            # A number stays one; signs become letters only beside letters.
-            words.append(word if word.isdigit() else word.translate(_SIGNS))
-    return words
+    """The folded words of a text."""
+    return [w for w in map(_folded.__getitem__, (text or "").split()) if w]
 
 
 def joined(words: list[str]) -> str:
