@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tripgauge.functions.columns import first_truthy_number, parse_time
 from tripgauge.operators.history import merge_history, replace_documents
 from tripgauge.schema import HISTORY, INCOMING_DOCUMENT
+from tripgauge.plans.trip_report import trip_reports
 from tripgauge.sources.keyed_log import KeyedLog
+from tripgauge.sources.sinks import read_histories, upsert_histories
 
 def now():
     return F.lit("2026-05-07 00:00:00").cast("timestamp")
@@ -62,6 +64,38 @@ def test_merge_keeps_the_newest(spark):
     assert len(kept["A"].points) == 100 and kept["A"].avg_speed_kmh == 2.0 and kept["C"].avg_speed_kmh == 9.0
 
 
+def test_absent_fields_keep_what_is_stored(spark):
+    schema = "doc_seq long, trip_id string, basic struct<avg_speed_kmh double, max_speed_kmh double>, " \
+             "risk struct<score double>, position struct<lat double, lon double>, " \
+             "points array<struct<time string, speed double>>"
+    rows = [
+        (1, "A", (5.0, 6.0), (7.0,), (1.0, 2.0), [("2026-05-06 14:00:02", 3.0)]),
+        (2, "A", None, (8.0,), None, None),
+        (None, "B", None, None, (3.0, 4.0), []),
+    ]
+    merged = by_key(merge_history(empty(spark), spark.createDataFrame(rows, schema), now()))
+    a, b = merged["A"], merged["B"]
+    assert (a.basic.avg_speed_kmh, a.risk.score, a.position.lat, len(a.points)) == (5.0, 8.0, 1.0, 1)
+    # The headline figures are those of the last document.
+    assert (a.avg_speed_kmh, a.global_risk_score) == (None, 8.0)
+    assert (b.position.lon, b.basic, b.points) == (4.0, None, [])
+
+
+def test_stored_histories(spark, golden, tmp_path):
+    path = str(tmp_path / "histories")
+    reports = trip_reports(golden).withColumn("doc_seq", F.lit(1).cast("long"))
+    upsert_histories(reports, path, 0)
+    first = by_key(read_histories(spark, path))
+    assert first["T1"].lineage.engine and first["T1"].basic.samples == 5 and len(first["T1"].points) == 5
+    late = documents(spark, ("T1", 9.0, 9.0, [point("2026-05-07 00:00:00", "7")]))
+    for _ in range(2):
+        upsert_histories(late, path, 1)
+    got = by_key(read_histories(spark, path))
+    assert [p.avg_speed_kmh for p in got["T1"].points][-1] == 7.0 and len(got["T1"].points) == 6
+    assert (got["T1"].batch_id, got["T1"].created_seq, got["T1"].basic.avg_speed_kmh) == (1, 0, 9.0)
+    assert got["T1"].position == first["T1"].position and got["T2"] == first["T2"]
+
+
 def test_replay_duplicates_unless_deduped(spark):
     batch = documents(spark, ("A", 1.0, 1.0, [point("2026-05-06 14:00:02", "7"), point("2026-05-06 14:00:03", "8")]))
     once = merge_history(empty(spark), batch, now())

@@ -8,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripgauge.functions.columns import parse_time
+from tripgauge.operators.history import latest_by_key, latest_fields
 from tripgauge.operators.metrics import last_samples
 from tripgauge.operators.quality import dedup_lww
 from tripgauge.operators.slicing import plan_slices
 from tripgauge.plans import serving
 from tripgauge.plans.fleet_report import scored_fleet
 from tripgauge.plans.trip_report import audit_view, scored_trips, trip_reports
+from tripgauge.sources.keyed_log import BUCKET, KeyedLog
 from tripgauge.sources.telemetry import write_bucketed
 
 SHUFFLE = re.compile(r"(?<!Broadcast)Exchange (hash|range|single|Single)")
@@ -67,6 +69,31 @@ def test_bounds_and_columns_reach_the_scan(spark, stored):
     assert "ingested_at" not in text
 
 
+def test_whole_documents_are_not_sorted_by_aggregates(stored):
+    reports = trip_reports(stored).withColumns({"batch_id": F.lit(1), "doc_seq": F.lit(1)})
+    documents = reports.select("trip_id", "doc_seq", "batch_id", "basic", "risk", "position")
+    for df in (
+        latest_by_key(documents, "trip_id", "batch_id", "created_seq"),
+        latest_fields(documents),
+        serving.latest_per_trip(documents.withColumn("processed_at", F.col("doc_seq"))),
+    ):
+        assert "SortAggregate" not in plan(df)
+    assert plan(serving.latest_per_trip(stored, "event_time")).count("WindowGroupLimit") == 2
+
+
+def test_lookup_reads_one_bucket(spark, golden, tmp_path):
+    log = KeyedLog(spark, str(tmp_path / "log"), golden.schema)
+    first = golden.dropDuplicates(["trip_id"])
+    log.write(first, 0)
+    log.compact(0)
+    log.write(first, 1)
+    found = log.latest(key="T1")
+    pruned = re.findall(rf"PartitionFilters: \[[^\]]*{BUCKET}#\d+ = \d+", found._jdf.queryExecution().toString())
+    assert len(pruned) == 2
+    assert [(r.trip_id, r.batch_id, r.created_seq) for r in found.collect()] == [("T1", 1, 0)]
+    assert log.latest(key="none").isEmpty()
+
+
 def test_top_rows_are_cut_before_the_shuffle(stored):
     text = plan(last_samples(stored, 5))
     assert text.count("WindowGroupLimit") == 2

@@ -53,4 +53,4 @@ def test_series_and_logs(golden):
     lines = [r.text for r in serving.sample_log(reports).orderBy("line").collect()]
     assert lines[0] == "[2026-05-06 14:00:03.5] [OK] VEL: 78.0 km/h | ACEL: -3.33 m/s²"
     lineage = [r.text for r in serving.lineage_log(reports).orderBy("line").collect()]
-    assert len(lineage) == 5 and "[INFO] MOTOR_PROCESAMIENTO: PySpark" in lineage[0]
+    assert len(lineage) == 5 and "[INFO] MOTOR_PROCESAMIENTO: Spark" in lineage[0]

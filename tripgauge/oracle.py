@@ -156,6 +156,26 @@ ORACLE: dict[str, str] = {
     "skew_safe_trip_risk": TRIP_RISK,
     "clustered_store": TRIP_RISK,
     "stream_trip_risk": TRIP_RISK,
+    "stream_late_rows": TRIP_RISK,
+    "stream_replay": f"""{TRIPS} SELECT t.*, runs FROM ({FINAL}) t
+      JOIN (SELECT trip_id, 5 - min(seq % 5) AS runs FROM ok GROUP BY trip_id) USING (trip_id)""",
+    "report_stream": f"""{TRIPS}, first AS (SELECT * FROM ok WHERE seq % 2 = 0), {_kin('first', '3.6', 'fkin')},
+      {_metrics('fkin', 'fmet')}
+      SELECT trip_id, 'pipeline_update' AS event, samples, risk_score AS score FROM fmet UNION ALL
+      SELECT trip_id, 'pipeline_update', samples, risk_score FROM met""",
+    "stored_runs": f"""{TRIPS}, early AS (SELECT * FROM ok WHERE event_us < {HALF_US}), {_kin('early', '3.6', 'ekin')},
+      {_metrics('ekin', 'emet')},
+      runs AS (SELECT *, 1 AS run FROM emet UNION ALL SELECT *, 3 FROM met)
+      SELECT trip_id, CAST(run AS BIGINT) AS run, speeding_alerts, hard_brakes, risk_score,
+        first_value(samples) OVER w AS samples, CAST(first_value(run) OVER w AS BIGINT) AS batch_id,
+        CAST(min(run) OVER (PARTITION BY trip_id) AS BIGINT) AS created_seq
+      FROM runs WINDOW w AS (PARTITION BY trip_id ORDER BY run DESC)""",
+    "stored_fleet": f"""WITH {TELEMETRY} SELECT count(*) AS samples, round(max(speed_kmh), 2) AS max_speed_kmh,
+      count(*) FILTER (WHERE speed_kmh > 80) AS speeding_alerts, true AS has_id FROM tel""",
+    "default_position": f"""WITH {TELEMETRY}, newest AS (SELECT trip_id, max_by(lat, (event_us, seq)) AS lat,
+      max_by(lon, (event_us, seq)) AS lon, CAST(substr(trip_id, 6) AS BIGINT) % 2 = 0 AS known FROM tel GROUP BY trip_id)
+      SELECT trip_id, CASE WHEN known THEN lat ELSE -12.0464 END::DOUBLE AS lat,
+        CASE WHEN known THEN lon ELSE -77.0428 END::DOUBLE AS lon FROM newest""",
     "incremental_trip_risk": TRIP_RISK,
     "audit_rows": f"{TRIPS} {FINAL.replace('samples, ', '').replace(' FROM', ', ' + chr(39) + 'run-1' + chr(39) + ' AS run_id FROM')}",
     "fleet_report_legacy": f"""{FLEET} SELECT samples, avg_speed_kmh, max_speed_kmh, speeding_alerts,
@@ -203,12 +223,15 @@ ORACLE: dict[str, str] = {
       SELECT trip_id, speeding_alerts, hard_brakes, max_speed_kmh, risk_score, 1, 1 FROM emet
       WHERE trip_id NOT IN (SELECT trip_id FROM upd)""",
     "history_merge": f"""{_documents()},
-      named AS (SELECT * FROM docs WHERE seq % 50 <> 0),
-      newest AS (SELECT trip_id, max_by(speed_kmh, ((event_us >= {HALF_US}), seq)) AS s FROM named GROUP BY trip_id),
-      ranked AS (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY point_us DESC,
-          (event_us >= {HALF_US}) DESC, seq DESC) AS back,
+      named AS (SELECT *, (event_us >= {NEW_YEAR} + 864000000)::INT + (event_us >= {NEW_YEAR} + 1728000000)::INT AS part
+        FROM docs WHERE seq % 50 <> 0),
+      newest AS (SELECT trip_id, max_by(speed_kmh, (part, seq)) AS s, max_by(lat, (part, seq)) FILTER (seq % 3 <> 0) AS lat,
+        'doc-' || max_by(seq, (part, seq)) FILTER (seq % 5 = 0) AS engine, max(part) AS batch_id,
+        min(part) AS created_seq FROM named GROUP BY trip_id),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY point_us DESC, part DESC, seq DESC) AS back,
         count(*) OVER (PARTITION BY trip_id) AS n FROM named)
-      SELECT trip_id, s AS avg_speed_kmh, s + 1 AS max_speed_kmh, least(s, 100) AS global_risk_score,
+      SELECT trip_id, s AS avg_speed_kmh, s + 1 AS max_speed_kmh, least(s, 100) AS global_risk_score, newest.lat,
+        engine, CAST(batch_id AS BIGINT) AS batch_id, CAST(created_seq AS BIGINT) AS created_seq,
         CAST(least(n, 20) - back AS INTEGER) AS pos, point_us, speed_kmh AS point_speed
       FROM ranked JOIN newest USING (trip_id) WHERE back <= 20""",
     "timestamp_parse": f"""{_documents()} SELECT seq AS doc_seq,
@@ -246,11 +269,16 @@ ORACLE: dict[str, str] = {
     "sample_log": f"{KEPT} SELECT trip_id, CAST(back - 1 AS INTEGER) AS line, {SAMPLE_LINE} AS text FROM pts",
     "lineage_log": f"{TRIPS} SELECT trip_id, line, text FROM met, {_lineage_lines()}",
     "report_json_fields": f"""{KEPT} SELECT met.trip_id, '2024-01-02T03:04:05' AS analyzed_at, samples,
-      risk_score AS score, 0.4::DOUBLE AS w_variance, time_text AS oldest_time
-      FROM met JOIN pts ON pts.trip_id = met.trip_id AND position = 1""",
-    "feed_snapshot": """SELECT 'TRIP-7' AS asked, 'pipeline_update' AS event, 'TRIP-7' AS trip_id,
-      CAST(NULL AS VARCHAR) AS status UNION ALL
-      SELECT 'TRIP-NONE', 'ping', NULL, 'empty_collection'""",
+      risk_score AS score, 0.4::DOUBLE AS w_variance, o.time_text AS oldest_time, o.speed_kmh AS oldest_speed,
+      CAST(least(samples, 20) AS INTEGER) AS n_points, 'tripgauge' AS project, '2024-01-02T03:04:05' AS processed_at,
+      avg2 AS avg_speed_kmh, round(max_speed_kmh, 2) AS max_speed_kmh, speeding_alerts, 90::DOUBLE AS speed_limit,
+      round(variance, 2) AS accel_variance, hard_brakes, -4.5::DOUBLE AS brake_threshold, z.lat, z.lon,
+      'DataFrame operators, one profile per run' AS principles
+      FROM met JOIN pts o ON o.trip_id = met.trip_id AND o.position = 1
+      JOIN pts z ON z.trip_id = met.trip_id AND z.back = 1""",
+    "feed_snapshot": f"""WITH {TELEMETRY} SELECT asked, CASE WHEN trip_id IS NULL THEN 'ping' ELSE 'pipeline_update' END
+      AS event, trip_id, CASE WHEN trip_id IS NULL THEN 'empty_collection' END AS status
+      FROM (VALUES ('TRIP-7'), ('TRIP-NONE')) a(asked) LEFT JOIN (SELECT DISTINCT trip_id FROM ok) ON trip_id = asked""",
     "normalized": f"WITH {TELEMETRY} SELECT trip_id, event_us, lat, lon, speed_kmh, seq, true AS no_write_time FROM tel",
     "csv_scan": f"WITH {TELEMETRY} SELECT trip_id, event_us // 1000 * 1000 AS event_us, speed_kmh, lat, lon FROM tel",
     "stream_retained_risk": f"""WITH {TELEMETRY},

@@ -20,18 +20,19 @@ def run_trips(
     reports_path: str,
     batch_id: int,
     profile: Profile = CURRENT,
+    maintain_every: int | None = 100,
     **jdbc: str,
 ) -> bool:
     """Score every trip once, append the audit rows and put the reports in place. The
-    scored trips are kept across both writes. False, and nothing written, without
-    input rows."""
+    scored trips are kept across both writes. Every ``maintain_every`` batches old
+    reports are folded together. False, and nothing written, without input rows."""
     if not require_rows(telemetry, profile.on_empty):
         return False
     slices = plan_slices(telemetry)
     scored = scored_trips(dedup_lww(telemetry), profile, KEEP_POINTS, slices).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         append_audit(scored, audit_target, str(batch_id), **jdbc)
-        upsert_reports(build_report(scored, profile), reports_path, batch_id)
+        upsert_reports(build_report(scored, profile), reports_path, batch_id, maintain_every)
     finally:
         scored.unpersist()
     return True

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,9 +61,9 @@ def latest_for_trip(reports: DataFrame, trip_id: str, by: str = "created_seq") -
 
 
 def latest_per_trip(updates: DataFrame, by: str = "processed_at") -> DataFrame:
-    """The newest update of every trip, combined on the map side."""
-    rest = [c for c in updates.columns if c != "trip_id"]
-    return updates.groupBy("trip_id").agg(F.max_by(F.struct(*rest), F.col(by)).alias("d")).select("trip_id", "d.*")
+    """The newest update of every trip; a task passes on one row per trip."""
+    newest = Window.partitionBy("trip_id").orderBy(F.desc(by))
+    return updates.withColumn("_nth", F.row_number().over(newest)).filter(F.col("_nth") == 1).drop("_nth")
 
 
 def update_buffer(updates: DataFrame, n: int = BUFFER_SIZE) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripgauge.functions.columns import (
@@ -19,25 +19,28 @@ from tripgauge.functions.columns import (
     stable_round,
     time_text,
 )
-from tripgauge.operators.history import merge_history, replace_documents
+from tripgauge.operators.history import replace_documents
 from tripgauge.operators.kinematics import kinematics, rolling_stats
 from tripgauge.operators.metrics import last_points, last_position
 from tripgauge.operators.quality import dedup_lww, filter_coordinates, retain
 from tripgauge.operators.slicing import plan_slices, trip_ordinal
 from tripgauge.plans import serving
 from tripgauge.plans.fleet_report import build_fleet_report, scored_fleet
+from tripgauge.plans.runs import run_fleet, run_trips
 from tripgauge.plans.trip_report import audit_view, clean, enriched_samples, scored_trips, trip_reports
 from tripgauge.profiles import CURRENT, LAT_MAX, LAT_MIN, LEGACY, LON_MAX, LON_MIN
-from tripgauge.schema import HISTORY
 from tripgauge.session import scratch_dir
-from tripgauge.sources.adapters import stream_events, telemetry_from_events
-from tripgauge.sources.sinks import audit_rows
+from tripgauge.sources.adapters import arrivals, telemetry_from_events
+from tripgauge.sources.sinks import audit_rows, read_audit, read_histories, read_reports, upsert_histories
 from tripgauge.sources.telemetry import append_telemetry, normalize, read_csv, read_telemetry, write_clustered
-from tripgauge.streaming.cycle import Cycle, start_cycle
+from tripgauge.streaming.cycle import Cycle, run_cycle, start_cycle
+from tripgauge.streaming.feed import report_feed
 from tripgauge.streaming.incremental import start_incremental, state_log, state_metrics
 
 # Trips of the test tables are short; this many points makes the cut visible.
 KEEP = 20
+# Batches of the streamed queries; the retention spans more than one of them.
+ARRIVALS = 5
 # Low enough to slice every trip of the test tables.
 SLICE_ALL = 16
 TRIP = "TRIP-7"
@@ -284,25 +287,26 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
             F.col("speed_kmh").alias("avg_speed_kmh"), (F.col("speed_kmh") + 1.0).alias("max_speed_kmh")
         ).alias("basic"),
         F.struct(F.least("speed_kmh", F.lit(100.0)).alias("score")).alias("risk"),
+        F.when(shape != 0, F.struct("lat", "lon")).alias("position"),
+        F.when(F.col("seq") % 5 == 0, F.struct(F.concat(F.lit("doc-"), F.col("seq")).alias("engine"))).alias("lineage"),
         F.array(point).alias("points"),
         "event_time",
     )
 
 
 def history_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents of the first half of the period merged into nothing and stored, then
-    the rest merged into those."""
-    documents, now = _documents(spark, sf), instant("2024-01-02 00:00:00")
-    half, path = instant("2024-01-01 00:21:36"), scratch_dir(spark, "history")
-    early = documents.filter(F.col("event_time") < half).drop("event_time")
-    late = documents.filter(F.col("event_time") >= half).drop("event_time")
-    merge_history(spark.createDataFrame([], HISTORY), early, now, KEEP).write.parquet(f"{path}/stored")
-    stored = merge_history(spark.read.schema(HISTORY).parquet(f"{path}/stored"), late, now, KEEP)
-    return stored.select(
-        "trip_id", "avg_speed_kmh", "max_speed_kmh", "global_risk_score", F.posexplode("points").alias("pos", "p")
+    """Documents merged into the stored histories in three batches, by time."""
+    documents, path = _documents(spark, sf), scratch_dir(spark, "history")
+    first, second = (F.col("event_time") >= instant(f"2024-01-01 00:{at}") for at in ("14:24", "28:48"))
+    for batch_id, chosen in enumerate((~first, first & ~second, second)):
+        batch = documents.filter(chosen).drop("event_time")
+        upsert_histories(batch, path, batch_id, instant("2024-01-02 00:00:00"), KEEP)
+    return read_histories(spark, path).select(
+        "trip_id", "avg_speed_kmh", "max_speed_kmh", "global_risk_score", "position.lat", "lineage.engine",
+        "batch_id", "created_seq", F.posexplode("points").alias("pos", "p"),
     ).select(
-        "trip_id", "avg_speed_kmh", "max_speed_kmh", "global_risk_score", "pos",
-        micros("p.timestamp").alias("point_us"), F.col("p.avg_speed_kmh").alias("point_speed"),
+        "trip_id", "avg_speed_kmh", "max_speed_kmh", "global_risk_score", "lat", "engine", "batch_id", "created_seq",
+        "pos", micros("p.timestamp").alias("point_us"), F.col("p.avg_speed_kmh").alias("point_speed"),
     )
 
 
@@ -432,6 +436,20 @@ def report_json_fields(spark: SparkSession, sf: str) -> DataFrame:
         field("$.risk.score").cast("double").alias("score"),
         field("$.risk.weights.variance").cast("double").alias("w_variance"),
         field("$.points[0].time").alias("oldest_time"),
+        field("$.points[0].speed").cast("double").alias("oldest_speed"),
+        F.json_array_length(field("$.points")).alias("n_points"),
+        field("$.project").alias("project"),
+        field("$.processed_at").alias("processed_at"),
+        field("$.avg_speed_kmh").cast("double").alias("avg_speed_kmh"),
+        field("$.basic.max_speed_kmh").cast("double").alias("max_speed_kmh"),
+        field("$.basic.speeding_alerts").cast("long").alias("speeding_alerts"),
+        field("$.basic.speed_limit").cast("double").alias("speed_limit"),
+        field("$.risk.accel_variance").cast("double").alias("accel_variance"),
+        field("$.risk.hard_brakes").cast("long").alias("hard_brakes"),
+        field("$.risk.brake_threshold").cast("double").alias("brake_threshold"),
+        field("$.position.lat").cast("double").alias("lat"),
+        field("$.position.lon").cast("double").alias("lon"),
+        field("$.lineage.principles").alias("principles"),
     )
 
 
@@ -459,16 +477,21 @@ def normalized(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Telemetry written as CSV with columns in an order of its own and read back by name."""
-    path = scratch_dir(spark, "csv")
-    telemetry_from_events(spark, sf).select(
+def _write_csv(telemetry: DataFrame, path: str) -> None:
+    """CSV with columns in an order of its own."""
+    telemetry.select(
         F.col("lat").alias("latitud"),
         F.col("speed_kmh").alias("velocidad_kmh"),
         F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSZ").alias("tiempo"),
         F.col("lon").alias("longitud"),
         F.col("trip_id").alias("id_viaje"),
     ).write.option("header", True).csv(path)
+
+
+def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Telemetry written as CSV and read back by name."""
+    path = scratch_dir(spark, "csv")
+    _write_csv(telemetry_from_events(spark, sf), path)
     rows = read_csv(spark, path)
     return rows.select("trip_id", micros("event_time").alias("event_us"), "speed_kmh", "lat", "lon")
 
@@ -481,22 +504,56 @@ def clustered_store(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_metrics(scored_trips(read_telemetry(spark, "parquet", f"{store}/clustered")))
 
 
+def _by_time(telemetry: DataFrame) -> Column:
+    """Which of ``ARRIVALS`` equal stretches of the whole period a sample falls into."""
+    at = F.unix_micros("event_time")
+    first, last = telemetry.agg(F.min(at), F.max(at)).head()
+    return F.floor((at - F.lit(first)) * F.lit(ARRIVALS) / F.lit((last or 0) - (first or 0) + 1))
+
+
+def _cycle_over(spark: SparkSession, sf: str, name: str, part: Callable[[DataFrame], Column], **settings) -> Cycle:
+    """The repeating run over events that arrive in parts, one batch each."""
+    path = scratch_dir(spark, name)
+    cycle = Cycle(path, keep_points=KEEP, on_error="raise", **settings)
+    telemetry = telemetry_from_events(spark, sf)
+    for samples in arrivals(telemetry, f"{path}/arrived", part(telemetry), ARRIVALS):
+        start_cycle(samples, cycle, f"{path}/checkpoint", None).awaitTermination()
+    return cycle
+
+
+def _final_audit(spark: SparkSession, cycle: Cycle) -> DataFrame:
+    """Every trip's newest audit row, with the sample count of its newest report."""
+    newest = Window.partitionBy("trip_id").orderBy(F.desc(F.col("run_id").cast("long")))
+    rows = cycle.audit(spark).withColumn("nth", F.row_number().over(newest)).filter(F.col("nth") == 1)
+    counts = cycle.reports(spark).latest().select("trip_id", F.col("basic.samples").cast("long").alias("samples"))
+    return rounded_metrics(rows.join(counts, "trip_id"))
+
+
 def stream_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
     """The repeating run over the events as a stream, read back from its audit table."""
-    path = scratch_dir(spark, "cycle")
-    cycle = Cycle(path, ttl_seconds=None, keep_points=KEEP, on_error="raise")
-    start_cycle(stream_events(spark, sf), cycle, f"{path}/checkpoint", None).awaitTermination()
-    newest = cycle.audit(spark).groupBy("trip_id").agg(F.max_by(F.struct("*"), F.col("run_id").cast("long")).alias("a"))
-    rows = newest.select("a.*").join(cycle.reports(spark).latest().select("trip_id", "basic.samples"), "trip_id")
-    return rounded_metrics(rows.withColumn("samples", F.col("samples").cast("long")))
+    return _final_audit(spark, _cycle_over(spark, sf, "cycle", _by_time, ttl_seconds=None))
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with arrivals out of order: every batch falls between the samples of the
+    ones before."""
+    return _final_audit(spark, _cycle_over(spark, sf, "late", lambda _: F.col("seq") % ARRIVALS, ttl_seconds=None))
+
+
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of which two are run again; each trip's final metrics and its audit rows."""
+    cycle = Cycle(scratch_dir(spark, "replay"), ttl_seconds=None, keep_points=KEEP, on_error="raise")
+    telemetry = telemetry_from_events(spark, sf)
+    for i in (*range(ARRIVALS), 1, ARRIVALS - 1):
+        run_cycle(telemetry.filter(F.col("seq") % ARRIVALS == i), cycle, i)
+    runs = cycle.audit(spark).groupBy("trip_id").agg(F.count(F.lit(1)).alias("runs"))
+    return _final_audit(spark, cycle).join(runs, "trip_id")
 
 
 def stream_retained_risk(spark: SparkSession, sf: str) -> DataFrame:
-    """The same over the last 600 seconds before the newest arrival."""
-    path = scratch_dir(spark, "retained")
-    cycle = Cycle(path, clock="data", keep_points=KEEP, on_error="raise")
-    start_cycle(stream_events(spark, sf), cycle, f"{path}/checkpoint", None).awaitTermination()
-    reports = cycle.reports(spark).latest()
+    """What the last batch reports of the 600 seconds before the newest arrival."""
+    cycle = _cycle_over(spark, sf, "retained", _by_time, clock="data")
+    reports = cycle.reports(spark).latest().filter(F.col("batch_id") == ARRIVALS - 1)
     return reports.select(
         "trip_id", "basic.samples", "basic.speeding_alerts", "risk.hard_brakes", "global_risk_score"
     )
@@ -505,11 +562,63 @@ def stream_retained_risk(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics carried from batch to batch, after the whole stream."""
     path = scratch_dir(spark, "incremental")
-    state = state_log(spark, f"{path}/state")
-    start_incremental(stream_events(spark, sf), state, f"{path}/checkpoint").awaitTermination()
+    state, telemetry = state_log(spark, f"{path}/state"), telemetry_from_events(spark, sf)
+    for samples in arrivals(telemetry, f"{path}/arrived", _by_time(telemetry), ARRIVALS):
+        start_incremental(samples, state, f"{path}/checkpoint").awaitTermination()
     return rounded_metrics(state_metrics(state.latest()))
 
 
+def report_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The live feed as a stream: one event per report of two cycles."""
+    path, telemetry = scratch_dir(spark, "feed"), telemetry_from_events(spark, sf)
+    cycle = Cycle(path, ttl_seconds=None, keep_points=1, on_error="raise")
+    for i in range(2):
+        run_cycle(telemetry.filter(F.col("seq") % 2 == i), cycle, i)
+    feed = report_feed(cycle.reports(spark)).writeStream.option("checkpointLocation", f"{path}/checkpoint")
+    feed.trigger(availableNow=True).start(f"{path}/emitted", format="parquet").awaitTermination()
+    emitted = spark.read.schema("trip_id string, event string, data string").parquet(f"{path}/emitted")
+    return emitted.select(
+        "trip_id", "event",
+        F.get_json_object("data", "$.basic.samples").cast("long").alias("samples"),
+        F.get_json_object("data", "$.global_risk_score").cast("double").alias("score"),
+    )
+
+
+def stored_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """One-shot runs over the first half, over nothing and over all; the reports in store
+    after them and the audit rows each left."""
+    path, telemetry = scratch_dir(spark, "runs"), telemetry_from_events(spark, sf)
+    half = telemetry.filter(F.col("event_time") < instant("2024-01-01 00:21:36"))
+    for batch_id, samples in enumerate((half, telemetry.filter(F.lit(False)), telemetry), 1):
+        run_trips(samples, f"{path}/audit", f"{path}/reports", batch_id)
+    audit = read_audit(spark, f"{path}/audit").select(
+        "trip_id", F.col("run_id").cast("long").alias("run"), "speeding_alerts", "hard_brakes", "risk_score"
+    )
+    reports = read_reports(spark, f"{path}/reports").select(
+        "trip_id", F.col("basic.samples").cast("long").alias("samples"), "batch_id", "created_seq"
+    )
+    return audit.join(reports, "trip_id")
+
+
+def stored_fleet(spark: SparkSession, sf: str) -> DataFrame:
+    """The legacy report of a CSV file, appended to its table and read back."""
+    path = scratch_dir(spark, "fleet")
+    _write_csv(telemetry_from_events(spark, sf), f"{path}/csv")
+    run_fleet(spark, f"{path}/csv", f"{path}/reports")
+    report = spark.read.parquet(f"{path}/reports")
+    return report.select(
+        "basic.samples", "basic.max_speed_kmh", "basic.speeding_alerts", F.col("report_id").isNotNull().alias("has_id")
+    )
+
+
+def default_position(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports where the newest sample of every other trip has no position."""
+    telemetry = telemetry_from_events(spark, sf)
+    known = F.when(F.substring_index("trip_id", "-", -1).cast("long") % 2 == 0, True)
+    blank = telemetry.withColumns({c: F.when(known, F.col(c)) for c in ("lat", "lon")})
+    return trip_reports(blank, LEGACY, keep_points=1).select("trip_id", "position.lat", "position.lon")
+
+
 def trip_ordinals(spark: SparkSession, sf: str) -> DataFrame:
     telemetry = telemetry_from_events(spark, sf)
     numbered = trip_ordinal(telemetry, plan_slices(telemetry))
@@ -564,6 +673,12 @@ QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "clustered_store": clustered_store,
     "stream_trip_risk": stream_trip_risk,
+    "stream_late_rows": stream_late_rows,
+    "stream_replay": stream_replay,
     "stream_retained_risk": stream_retained_risk,
     "incremental_trip_risk": incremental_trip_risk,
+    "report_stream": report_stream,
+    "stored_runs": stored_runs,
+    "stored_fleet": stored_fleet,
+    "default_position": default_position,
 }

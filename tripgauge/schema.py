@@ -121,13 +121,8 @@ HISTORY_POINT = T.StructType([
     T.StructField("max_speed_kmh", T.DoubleType()),
 ])
 
+# Every field of a report, with points as the merge stores them.
 HISTORY = T.StructType([
-    T.StructField("trip_id", T.StringType()),
-    T.StructField("basic", INCOMING_DOCUMENT["basic"].dataType),
-    T.StructField("risk", INCOMING_DOCUMENT["risk"].dataType),
-    T.StructField("avg_speed_kmh", T.DoubleType()),
-    T.StructField("max_speed_kmh", T.DoubleType()),
-    T.StructField("global_risk_score", T.DoubleType()),
-    T.StructField("processed_at", T.TimestampType()),
+    *[field for field in TRIP_REPORT.fields if field.name != "points"],
     T.StructField("points", T.ArrayType(HISTORY_POINT)),
 ])

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripgauge.schema import TELEMETRY
+
 EPOCH_2024_MICROS = 1_704_067_200_000_000
 TIME_SCALE = 1000
 
@@ -25,11 +29,12 @@ def telemetry_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_telemetry(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events file as a stream."""
-    return as_telemetry(
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+def arrivals(telemetry: DataFrame, path: str, part: Column, parts: int) -> Iterator[DataFrame]:
+    """Telemetry that lands in ``path`` part after part, by the number ``part`` gives each
+    row. After each one the stream of all that has landed."""
+    for i in range(parts):
+        telemetry.filter(part == i).write.mode("append").parquet(path)
+        yield telemetry.sparkSession.readStream.schema(TELEMETRY).parquet(path)
 
 
 def as_telemetry(events: DataFrame) -> DataFrame:

@@ -4,30 +4,41 @@ A batch lands in its own directory, so repeating it after a failure overwrites
 exactly what the failed attempt left. Reading the table resolves the newest row per
 key. ``compact`` folds old batches into a snapshot that counts only once it is listed
 in the commit table, which is written last: a run that dies between leaves the
-previous snapshot and its batches in force.
+previous snapshot and its batches in force. Batches and snapshots are partitioned by a
+hash of the key, so that a lookup of one key opens one part of each.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgauge.operators.history import latest_by_key
 from tripgauge.sources.files import delete_directory
 
+BUCKET = "key_bucket"
+BUCKETS = 16
+
 _COMMIT = T.StructType([T.StructField("upto", T.LongType())])
 
 
 class KeyedLog:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "trip_id"):
+    """``buckets`` belongs to what is stored and can't change later."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, key: str = "trip_id", buckets: int = BUCKETS
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
+        self.buckets = buckets
         self.schema = schema
-        self.schema_with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        self._snapshot = T.StructType([*self.schema_with_batch.fields, T.StructField("created_seq", T.LongType())])
+        in_bucket = T.StructField(BUCKET, T.IntegerType())
+        batch = T.StructField("batch_id", T.LongType())
+        self.stored_schema = T.StructType([*schema.fields, batch, in_bucket])
+        self._snapshot = T.StructType([*schema.fields, batch, T.StructField("created_seq", T.LongType()), in_bucket])
 
     @property
     def batches_path(self) -> str:
@@ -35,29 +46,30 @@ class KeyedLog:
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Store one batch; a key appears in it at most once."""
-        columns = self.schema.fieldNames()
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.batches_path}/batch_id={batch_id}")
+        self._write(df.select(*self.schema.fieldNames()), f"{self.batches_path}/batch_id={batch_id}")
 
     def history(self) -> DataFrame:
         """Every row of every batch still kept as a batch, with ``batch_id``."""
-        return self._read(self.batches_path, self.schema_with_batch, self.batches_path)
+        return self._batches().drop(BUCKET)
 
-    def latest(self, before: int | None = None) -> DataFrame:
+    def latest(self, before: int | None = None, key: str | None = None) -> DataFrame:
         """The newest row per key, ``batch_id`` it came with and ``created_seq`` of the
-        key's first. ``before`` ignores that batch and later ones."""
+        key's first. ``before`` ignores that batch and later ones; ``key`` looks up one
+        key."""
         upto = self._last_commit(before)
-        batches = self.history()
+        rows = self._batches()
         if before is not None:
-            batches = batches.filter(F.col("batch_id") < before)
-        if upto is None:
-            return latest_by_key(batches, self.key, "batch_id", "created_seq")
-        folded = self.spark.read.schema(self._snapshot).parquet(f"{self.path}/snapshots/{upto}")
-        both = folded.unionByName(batches.filter(F.col("batch_id") > upto), allowMissingColumns=True)
-        return latest_by_key(both, self.key, "batch_id", "created_seq")
+            rows = rows.filter(F.col("batch_id") < before)
+        if upto is not None:
+            folded = self.spark.read.schema(self._snapshot).parquet(f"{self.path}/snapshots/{upto}")
+            rows = folded.unionByName(rows.filter(F.col("batch_id") > upto), allowMissingColumns=True)
+        if key is not None:
+            rows = rows.filter((F.col(BUCKET) == self._bucket(F.lit(key))) & (F.col(self.key) == key))
+        return latest_by_key(rows.drop(BUCKET), self.key, "batch_id", "created_seq")
 
     def compact(self, upto: int) -> None:
         """Fold batches up to and including ``upto`` into a snapshot."""
-        self.latest(before=upto + 1).write.mode("overwrite").parquet(f"{self.path}/snapshots/{upto}")
+        self._write(self.latest(before=upto + 1), f"{self.path}/snapshots/{upto}")
         commit = self.spark.createDataFrame([(upto,)], _COMMIT).coalesce(1)
         commit.write.mode("append").parquet(f"{self.path}/commits")
 
@@ -74,6 +86,23 @@ class KeyedLog:
         for row in older:
             delete_directory(self.spark, f"{self.path}/snapshots/{row['upto']}")
 
+    def maintain(self, batch_id: int, every: int | None) -> None:
+        """After each ``every`` batches fold and delete those more than ``every`` old."""
+        if every and batch_id and batch_id % every == 0:
+            self.compact(batch_id - every)
+            self.vacuum()
+
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.hash(key), F.lit(self.buckets))
+
+    def _write(self, df: DataFrame, path: str) -> None:
+        # Rebalanced, so that a bucket is one file of useful size, or several if large.
+        parts = df.withColumn(BUCKET, self._bucket(F.col(self.key))).hint("rebalance", F.col(BUCKET))
+        parts.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+    def _batches(self) -> DataFrame:
+        return self._read(self.batches_path, self.stored_schema, self.batches_path)
+
     def _last_commit(self, before: int | None) -> int | None:
         commits = self._read(f"{self.path}/commits", _COMMIT)
         if before is not None:

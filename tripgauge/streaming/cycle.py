@@ -70,23 +70,15 @@ class Cycle:
         self.samples(batch.sparkSession).write(batch, batch_id)
         try:
             self._score(batch, batch_id)
-            if self.maintain_every and batch_id and batch_id % self.maintain_every == 0:
-                self.maintain(batch.sparkSession, batch_id - self.maintain_every)
+            self.reports(batch.sparkSession).maintain(batch_id, self.maintain_every)
+            if self.ttl_seconds is not None and self.maintain_every and batch_id and batch_id % self.maintain_every == 0:
+                store = self.samples(batch.sparkSession)
+                store.expire(self._now(store), self.ttl_seconds)
         except Exception:
             if self.on_error == "raise":
                 raise
             log.exception("cycle %s failed; its samples stay stored for the next one", batch_id)
 
-    def maintain(self, spark: SparkSession, upto: int) -> None:
-        """Fold report batches up to ``upto`` into a snapshot, delete them and the
-        expired samples. Readers of the report feed should be past ``upto``."""
-        reports = self.reports(spark)
-        reports.compact(upto)
-        reports.vacuum()
-        if self.ttl_seconds is not None:
-            store = self.samples(spark)
-            store.expire(self._now(store), self.ttl_seconds)
-
     def _now(self, store: SampleStore) -> datetime:
         wall = datetime.now(timezone.utc).replace(tzinfo=None)
         return wall if self.clock == "wall" else store.newest_arrival() or wall

@@ -14,11 +14,11 @@ FEED_SECONDS = 1
 
 def report_feed(reports: KeyedLog, files_per_trigger: int | None = None) -> DataFrame:
     """Streaming rows ``trip_id, event, data``, one per report written."""
-    reader = reports.spark.readStream.schema(reports.schema_with_batch)
+    reader = reports.spark.readStream.schema(reports.stored_schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stored = reader.parquet(reports.batches_path)
-    return report_json(stored.drop("batch_id"), "data").select("trip_id", F.lit(UPDATE_EVENT).alias("event"), "data")
+    stored = reader.parquet(reports.batches_path).select(*reports.schema.fieldNames())
+    return report_json(stored, "data").select("trip_id", F.lit(UPDATE_EVENT).alias("event"), "data")
 
 
 def start_feed(
@@ -33,7 +33,7 @@ def start_feed(
     none, as a JSON row to ``target``. An unchanged report is emitted again."""
 
     def poll(_: DataFrame, batch_id: int) -> None:
-        emitted = feed_snapshot(reports.latest(), trip_id)
+        emitted = feed_snapshot(reports.latest(key=trip_id), trip_id)
         emitted.write.mode("overwrite").json(f"{target}/batch_id={batch_id}")
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()

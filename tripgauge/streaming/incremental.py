@@ -106,7 +106,7 @@ def state_metrics(state: DataFrame, profile: Profile = CURRENT) -> DataFrame:
 
 def incremental_metrics(log: KeyedLog, profile: Profile = CURRENT) -> DataFrame:
     """Streaming rows of scored metrics, one per trip and batch it took part in."""
-    stored = log.spark.readStream.schema(log.schema_with_batch).parquet(log.batches_path)
+    stored = log.spark.readStream.schema(log.stored_schema).parquet(log.batches_path)
     return state_metrics(stored, profile)
 
 
@@ -117,12 +117,16 @@ def start_incremental(
     profile: Profile = CURRENT,
     slice_rows: int = SLICE_ROWS,
     interval: str | None = None,
+    maintain_every: int | None = 100,
 ) -> StreamingQuery:
-    """Keep ``log`` up to date from a stream of telemetry."""
+    """Keep ``log`` up to date from a stream of telemetry. Every ``maintain_every``
+    batches old ones are folded together, so that the state stays one row per trip and
+    few batches; readers of ``incremental_metrics`` should be past those."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         later = summarise(enriched_samples(batch, profile, slice_rows=slice_rows), profile)
         log.write(extend(log.latest(before=batch_id), later, profile), batch_id)
+        log.maintain(batch_id, maintain_every)
 
     writer = samples.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
