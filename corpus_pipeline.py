@@ -10,7 +10,7 @@ from tripgauge.llm.common import stage, table
 from tripgauge.llm.exact import exact_dedup
 from tripgauge.llm.mixing import mix
 from tripgauge.llm.queries import TOXIC, VOCABULARY
-from tripgauge.llm.simhash import simhash_classes
+from tripgauge.llm.simhash import simhash_dedup
 from tripgauge.llm.toxicity import score_toxicity, toxicity_model
 
 
@@ -18,7 +18,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the score that the numbered query calls toxic. The lexicon is learned
     from those of ``labels`` that aren't held out."""
     model = toxicity_model(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model, score="toxicity").filter(F.col("toxicity") < TOXIC).select(*docs.columns)
+    score = "toxicity"
+    while score in map(str.lower, docs.columns):
+        score += "_"
+    return score_toxicity(docs, model, score=score).filter(F.col(score) < TOXIC).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +30,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each class of linked fingerprints. Rows without an
-    id can't be told apart and stay."""
-    classes = simhash_classes(docs.select("doc_id", "text"))
-    dropped = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    """The document of the smallest id of each class of linked fingerprints."""
+    return simhash_dedup(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

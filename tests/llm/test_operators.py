@@ -68,8 +68,11 @@ def test_mix(docs):
         assert rs[0]["mix_source_size"] == sum(r["mix_size"] for r in rs)
         taken = sum(r["mix_copies"] * r["mix_size"] for r in rs)
         assert abs(taken - rs[0]["mix_target"]) <= max(r["mix_size"] for r in rs)
-    mixed = mixing.mix(docs, pieces=2)
-    assert mixed.columns == docs.columns
+    more = docs.withColumns({"mix_start": F.lit("s"), "MIX_copy": F.lit("t"), "n": F.lit("u")})
+    mixed = mixing.mix(more, pieces=2)
+    assert mixed.columns == more.columns
+    assert {(r["mix_start"], r["MIX_copy"], r["n"]) for r in mixed.collect()} == {("s", "t", "u")}
+    assert {r["mix_size"] for r in mixed.collect()} <= {"y", None}
     assert mixed.count() == sum(r["mix_copies"] for r in plan)
 
 
@@ -113,6 +116,22 @@ def test_exact(docs, digest_all):
     assert {r["doc_id"] for r in kept.collect()} == {w[0] for w in want if w[3]} | {None}
 
 
+@pytest.mark.parametrize("dedup", [exact.exact_dedup, simhash.simhash_dedup])
+def test_dedup_keeps_other_texts_of_an_id_and_clashing_columns(spark, dedup):
+    a, b, c = passage(21, 30), passage(22, 30), passage(23, 30)
+    rows = [(1, a), (2, b), (3, a), (3, c), (4, None), (5, ""), (None, a), (6, b), (6, b)]
+    names = ["dropped_id", "k0", "c1", "len", "own_hash", "fp", "keep_id", "component_id", "a.b"]
+    docs = spark.createDataFrame(
+        [(*r, *("x" * len(names))) for r in rows], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    )
+    kept = dedup(docs)
+    assert kept.columns == docs.columns
+    want = [(1, a), (2, b), (3, c), (4, None), (None, a)]
+    assert sorted(map(repr, kept.collect())) == sorted(
+        repr(r) for r in docs.collect() if (r["doc_id"], r["text"]) in want
+    )
+
+
 # simhash
 
 def plain_fingerprint(text):

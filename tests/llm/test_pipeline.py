@@ -4,6 +4,7 @@ smallest tables."""
 import collections
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -69,6 +70,12 @@ def test_against_sql(spark, name):
     assert got and sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_toxicity_stage_keeps_a_column_of_that_name(spark):
+    docs = table(spark, SMALL, "documents").withColumn("Toxicity", F.lit("mine"))
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, SMALL)
+    assert kept.columns == docs.columns and {r["Toxicity"] for r in kept.select("Toxicity").collect()} == {"mine"}
+
+
 def test_all_are_registered():
     assert {n for n in entry.queries() if n.startswith("op")} == set(QUERIES) and len(QUERIES) == 10
     assert "pipeline" in entry.queries()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,17 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
+def without(docs: DataFrame, dropped: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """``docs`` less the rows whose ``keys`` are, one by one, the columns of a row of
+    ``dropped``. A null key equals none. Names of the two may clash."""
+    names = [f"k{i}" for i in range(len(keys))]
+    own = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
+    marked = docs.select(
+        *(k.alias(n) for n, k in zip(names, keys, strict=True)), *(c.alias(n) for n, c in own.items())
+    )
+    return marked.join(dropped.toDF(*names), names, "left_anti").select(*own).toDF(*docs.columns)
+
+
 def pieces_of(df: DataFrame, amount: Column, per_piece: int) -> int:
     """How many pieces of ``per_piece`` the sum of ``amount`` makes, 1 at least."""
     total = df.agg(F.sum(amount)).head()[0] or 0

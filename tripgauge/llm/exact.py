@@ -9,10 +9,12 @@ execution splits where it is skewed. Only built-in expressions are used.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.llm.common import SPACES, stage
+from tripgauge.llm.common import SPACES, stage, without
 
 PREFIX_CHARS = 64
 
@@ -28,6 +30,7 @@ def exact_groups(
     doc_id: str = "doc_id",
     prefix_chars: int = PREFIX_CHARS,
     digest_all: bool = False,
+    carry: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept`` and
     ``text_sha256`` of the normalised text.
@@ -36,8 +39,8 @@ def exact_groups(
     prefix already make a text unique, unless ``digest_all``: then every text is
     hashed in the first scan and nothing is read twice. Rows that share a ``doc_id`` and
     a text are both kept or both dropped. A row with a null ``doc_id`` is kept only where
-    its group has no other id, and names no ``keep_id`` then. Further columns of ``docs``
-    are ignored, and no rows give no rows.
+    its group has no other id, and names no ``keep_id`` then. Of further columns only
+    those of ``carry`` come along, and no rows give no rows.
     """
     norm = normalised(F.col(text))
     digest = F.sha2(norm.cast("binary"), 256)
@@ -46,6 +49,7 @@ def exact_groups(
         F.octet_length(norm).cast("long").alias("len"),
         F.xxhash64(F.substring(norm, 1, prefix_chars)).alias("prefix"),
         *([digest.alias("text_sha256")] if digest_all else []),
+        *carry,
     )
     rows = stage(narrow, "exact")
 
@@ -60,11 +64,12 @@ def exact_groups(
             F.octet_length(norm).cast("long").alias("len"),
             F.xxhash64(F.substring(norm, 1, prefix_chars)).alias("prefix"),
             F.col(text).alias("content"),
+            *carry,
         )
-        survivors = full.join(same_prefix, ["len", "prefix"], "left_semi").select(
-            "doc_id", "len", "prefix", F.sha2(normalised(F.col("content")).cast("binary"), 256).alias("text_sha256")
+        survivors = full.join(same_prefix, ["len", "prefix"], "left_semi").withColumn(
+            "text_sha256", F.sha2(normalised(F.col("content")).cast("binary"), 256)
         )
-        survivors = stage(survivors, "exact-survivors")
+        survivors = stage(survivors.drop("content"), "exact-survivors")
     key = ["len", "prefix", "text_sha256"]
     groups = (
         survivors.groupBy(*key)
@@ -78,7 +83,9 @@ def exact_groups(
             "text_sha256", F.lit(None).cast("string")
         )
         every = survivors.join(groups, key, "left").unionByName(
-            singles.withColumns({"group_size": F.lit(None).cast("long"), "keep_id": F.lit(None).cast("long")})
+            singles.withColumns({
+                "group_size": F.lit(None).cast("long"), "keep_id": F.lit(None).cast(rows.schema["doc_id"].dataType),
+            })
         )
     alone = F.col("group_size").isNull()
     return every.select(
@@ -87,6 +94,7 @@ def exact_groups(
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
         "text_sha256",
+        *[c for c in rows.columns if c not in ("doc_id", "len", "prefix", "text_sha256")],
     )
 
 
@@ -95,9 +103,14 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the repeated texts, all columns as they were. Rows with a null
-    ``doc_id`` can't be told apart by it and stay."""
-    dropped = exact_groups(docs.select(doc_id, text), text, doc_id).filter("NOT kept").select(
-        F.col("doc_id").alias("dropped_id")
-    ).dropna().distinct()
-    return docs.join(dropped, docs[doc_id] == F.col("dropped_id"), "left_anti")
+    """``docs`` without the repeated texts, all columns as they were. A dropped row is known
+    by its ``doc_id``, the bytes of its text and the hash of its first characters, so that
+    another text of the same id stays. Rows with a null ``doc_id`` can't be told apart and
+    stay."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    size, start = F.octet_length(body), F.xxhash64(F.substring(body, 1, PREFIX_CHARS))
+    groups = exact_groups(
+        docs.select(doc_id, text), text, doc_id, carry=(size.alias("own_size"), start.alias("own_start"))
+    )
+    dropped = groups.filter("NOT kept").select("doc_id", "own_size", "own_start").distinct()
+    return without(docs, dropped, (F.col(doc_id), size, start))

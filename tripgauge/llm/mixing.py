@@ -80,8 +80,9 @@ def mix_plan(
     Null texts have size 0 and null is a source of its own, as is the empty string. Rows
     without words may be taken too, they change no sum. Rows alike in source, size and
     ``doc_id`` may swap their copies. Columns of ``docs`` keep their names; any that
-    start with ``mix_`` are replaced. Reruns agree, however the rows are partitioned.
+    start with ``mix_`` are left out. Reruns agree, however the rows are partitioned.
     """
+    docs = docs.drop(*(c for c in docs.columns if c.lower().startswith("mix_")))
     rows = docs.withColumns({
         "mix_key": source_key(F.col(source)),
         "mix_size": word_count(F.col(text)),
@@ -123,13 +124,16 @@ def mix_plan(
         .join(places, cell)
         .withColumn("mix_ratio", ratio)
         .withColumn("mix_copies", F.least(crossed, F.lit(cap)).cast("long"))
-        .select(*[c for c in docs.columns if not c.startswith("mix_")],
-                "mix_size", "mix_source_size", "mix_target", "mix_copies")
+        .select(*docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_copies")
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents, each as often as it is taken, in the columns of ``docs``."""
-    plan = mix_plan(docs, **options).filter("mix_copies > 0")
+def mix(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", **options
+) -> DataFrame:
+    """The mixed documents, each as often as it is taken, in all columns of ``docs``, whatever
+    their names."""
+    at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    plan = mix_plan(docs.toDF(*at.values()), at[text], at[doc_id], at[source], **options).filter("mix_copies > 0")
     repeated = plan.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    return repeated.select(*at.values()).toDF(*at)

@@ -15,14 +15,14 @@ that a hot one is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.llm.common import stage
+from tripgauge.llm.common import stage, without
 from tripgauge.llm.components import components
 
 SHINGLE = 3
@@ -58,14 +58,20 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` of every row, ``fp`` as a signed 64-bit integer."""
+def fingerprints(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    shingle: int = SHINGLE,
+    carry: Sequence[Column] = (),
+) -> DataFrame:
+    """``doc_id, fp`` of every row, ``fp`` as a signed 64-bit integer, and what to ``carry``."""
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"), *carry)
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -170,16 +176,21 @@ def _forest(bits: np.ndarray, radius: int) -> np.ndarray:
 
 
 def simhash_classes(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    carry: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fp`` and ``component_id``, the smallest
     ``doc_id`` of all documents it is linked to, however far.
 
     Null and empty texts have fingerprint zero and link like any other. Rows without a
     ``doc_id`` take part in links and get a class, but give none its name; a class of
-    such rows alone has a null one. Repeated rows are repeated in the result, further
-    columns are ignored, and no rows give no rows."""
-    prints = stage(fingerprints(docs, text, doc_id, shingle), "fingerprints")
+    such rows alone has a null one. Repeated rows are repeated in the result, of further
+    columns only those of ``carry`` come along, and no rows give no rows."""
+    prints = stage(fingerprints(docs, text, doc_id, shingle, carry), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components(near_links(distinct.select("fp"), radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -187,4 +198,16 @@ def simhash_classes(
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    carried = [c for c in prints.columns if c not in ("doc_id", "fp")]
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id", *carried)
+
+
+def simhash_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with one document of each class, that of the smallest ``doc_id``, all columns as
+    they were. A dropped row is known by its ``doc_id`` and a hash of its text, so that
+    another text of the same id stays. Rows with a null ``doc_id`` can't be told apart
+    and stay."""
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    classes = simhash_classes(docs.select(doc_id, text), text, doc_id, carry=(own.alias("own_hash"),))
+    dropped = classes.filter("doc_id <> component_id").select("doc_id", "own_hash").distinct()
+    return without(docs, dropped, (F.col(doc_id), own))
