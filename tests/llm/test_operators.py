@@ -406,6 +406,15 @@ def test_bpe_is_the_librarys(docs):
         assert (r["doc_id"], len(ids), packed, hashlib.sha256(decoded.encode()).hexdigest()) in digests
 
 
+def test_bpe_of_every_character_below_the_fast_paths_bound_is_the_librarys():
+    from tokenizers import Tokenizer
+
+    tokenizer, codec = Tokenizer.from_file(bpe._vocabulary(VOCABULARY)), bpe.codec(bpe._vocabulary(VOCABULARY))
+    for c in map(chr, range(0x250)):
+        for text in (c + "LI", "a" + c + "b", "Al" + c):
+            assert codec.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, (hex(ord(c)), text)
+
+
 # no rows
 
 def test_no_rows(docs):

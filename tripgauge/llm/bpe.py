@@ -78,8 +78,10 @@ class ForcedBoundaryBPE:
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalised."""
-        if text.isascii() or max(text) < "ɐ":  # no letter that could combine or be of a later Unicode
-            return _LATIN_WORDS.findall(text.lower())
+        lowered = text.lower()
+        # No letter that could combine or be of a later Unicode; some below the bound lower to one above.
+        if text.isascii() or max(text) < "ɐ" and max(lowered) < "ɐ":
+            return _LATIN_WORDS.findall(lowered)
         text = self.rules.normalizer.normalize_str(text)
         return [text[a:b] for _, (a, b) in self.rules.pre_tokenizer.pre_tokenize_str(text)]
 
