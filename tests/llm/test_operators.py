@@ -132,6 +132,13 @@ def test_dedup_keeps_other_texts_of_an_id_and_clashing_columns(spark, dedup):
     )
 
 
+def test_exact_dedup_tells_texts_of_an_id_apart_by_all_their_content(spark):
+    head = "x" * 100
+    rows = [(1, head + " one"), (2, head + " one"), (2, head + " two")]
+    kept = exact.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
 # simhash
 
 def plain_fingerprint(text):

@@ -104,13 +104,9 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the repeated texts, all columns as they were. A dropped row is known
-    by its ``doc_id``, the bytes of its text and the hash of its first characters, so that
-    another text of the same id stays. Rows with a null ``doc_id`` can't be told apart and
-    stay."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    size, start = F.octet_length(body), F.xxhash64(F.substring(body, 1, PREFIX_CHARS))
-    groups = exact_groups(
-        docs.select(doc_id, text), text, doc_id, carry=(size.alias("own_size"), start.alias("own_start"))
-    )
-    dropped = groups.filter("NOT kept").select("doc_id", "own_size", "own_start").distinct()
-    return without(docs, dropped, (F.col(doc_id), size, start))
+    by its ``doc_id`` and a digest of its whole text as it was, so that another text of the
+    same id stays. Rows with a null ``doc_id`` can't be told apart and stay."""
+    own = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    groups = exact_groups(docs.select(doc_id, text), text, doc_id, carry=(own.alias("own"),))
+    dropped = groups.filter("NOT kept").select("doc_id", "own").distinct()
+    return without(docs, dropped, (F.col(doc_id), own))
