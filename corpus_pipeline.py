@@ -9,8 +9,8 @@ from tripgauge.llm.bpe import encode_documents
 from tripgauge.llm.common import stage, table
 from tripgauge.llm.exact import exact_dedup
 from tripgauge.llm.mixing import mix
+from tripgauge.llm.near import near_dedup
 from tripgauge.llm.queries import TOXIC, VOCABULARY
-from tripgauge.llm.simhash import simhash_dedup
 from tripgauge.llm.toxicity import score_toxicity, toxicity_model
 
 
@@ -30,8 +30,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each class of linked fingerprints."""
-    return simhash_dedup(docs)
+    """One document of each class of texts that share most of their five-word shingles."""
+    return near_dedup(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,35 @@ def without(docs: DataFrame, dropped: DataFrame, keys: Sequence[Column]) -> Data
     return marked.join(dropped.toDF(*names), names, "left_anti").select(*own).toDF(*docs.columns)
 
 
+def one_of_each(docs: DataFrame, rows: DataFrame, doc_id: Column, own: Column) -> DataFrame:
+    """``docs`` with one row of each group: of the smallest ``doc_id``, null last, and of its
+    texts that of the smallest digest. ``rows`` has ``doc_id, own, group`` of rows that belong to
+    groups, ``own`` being a digest of the whole text; other rows of ``docs`` stay. Of rows
+    equal in both any one stays. Counts combine on the map side; names may clash."""
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "own")
+    counted = rows.groupBy("group", "doc_id", "own").agg(F.count(F.lit(1)).alias("n"))
+    first = counted.groupBy("group").agg(F.min(key).alias("first"), F.sum("n").alias("size")).filter("size > 1")
+    judged = stage(
+        counted.join(first, "group").select("doc_id", "own", (key == F.col("first")).alias("stays"), "n")
+        .filter("NOT stays OR n > 1"),
+        "copies",
+    )
+
+    def keys(i: Column, o: Column) -> list[Column]:
+        return [i.isNull().alias("k0"), F.coalesce(i.cast("string"), F.lit("")).alias("k1"), o.alias("k2")]
+
+    names = ["k0", "k1", "k2"]
+    columns = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
+    marked = docs.select(*keys(doc_id, own), *(c.alias(n) for n, c in columns.items()))
+    out = judged.select(*keys(F.col("doc_id"), F.col("own")), "stays")
+    rest = marked.join(out.select(*names), names, "left_anti").select(*columns)
+    again = (
+        marked.join(out.filter("stays").select(*names), names, "left_semi")
+        .groupBy(*names).agg(F.first(F.struct(*columns)).alias("row")).select("row.*")
+    )
+    return rest.unionByName(again).toDF(*docs.columns)
+
+
 def pieces_of(df: DataFrame, amount: Column, per_piece: int) -> int:
     """How many pieces of ``per_piece`` the sum of ``amount`` makes, 1 at least."""
     total = df.agg(F.sum(amount)).head()[0] or 0

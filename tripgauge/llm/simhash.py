@@ -82,14 +82,14 @@ def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """Links ``a, b`` that join all of ``fp`` in ``distinct`` which differ in ``radius`` bits or
-    fewer, directly or over others they are linked to as well."""
+def bucket_cells(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """``t, k, cell`` of each table's buckets and the columns of ``distinct``, ``fp`` the first of
+    them, in partitions sorted by cell."""
     masks = covering_masks(radius)
     tables = F.explode(F.array(*[
         F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks)
     ]))
-    entries = distinct.select("fp", tables.alias("e")).select("e.t", "e.k", "fp")
+    entries = distinct.select(*distinct.columns, tables.alias("e")).select("e.t", "e.k", *distinct.columns)
     large = (
         entries.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
         .select("t", "k", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
@@ -100,9 +100,18 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
         entries.join(large, ["t", "k"], "left")
         .withColumn("mine", F.coalesce(mine, F.lit(0)))
         .withColumn("cell", F.explode(F.coalesce(paired, F.array(F.lit(0).cast("long")))))
-        .select("t", "k", "cell", "fp")
+        .select("t", "k", "cell", *distinct.columns)
+    )
+    return (
+        cells.repartition("t", "k", "cell")
+        .sortWithinPartitions("t", "k", "cell", "fp")
+        .select(F.col("t").cast("long"), "k", "cell", *distinct.columns)
     )
 
+
+def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` that join all of ``fp`` in ``distinct`` which differ in ``radius`` bits or
+    fewer, directly or over others they are linked to as well."""
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
@@ -120,13 +129,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
         if rest is not None:
             yield _links(rest, radius)
 
-    return (
-        cells.repartition("t", "k", "cell")
-        .sortWithinPartitions("t", "k", "cell", "fp")
-        .select(F.col("t").cast("long"), "k", "cell", "fp")
-        .mapInPandas(compare, "a long, b long")
-        .distinct()
-    )
+    return bucket_cells(distinct.select("fp"), radius, block).mapInPandas(compare, "a long, b long").distinct()
 
 
 def _cell(one: Column, other: Column) -> Column:
