@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.test_operators import ascii_lower, passage, words
-from tripgauge.llm import near
+from tripgauge.llm import exact, near
 from tripgauge.llm.common import table
 
 SEVERAL = "/root/testdata/sf0.01"
@@ -68,7 +68,7 @@ def test_stage_against_brute_force_jaccard(spark):
     assert kept == set(first.values())
 
 
-@pytest.mark.parametrize("name", ["near dedup"])
+@pytest.mark.parametrize("name", ["exact dedup", "near dedup"])
 def test_stages_keep_one_row_of_each_group(spark, name):
     a, b, c = passage(21, 30), passage(22, 30), passage(23, 30)
     rows = [(1, a, "x"), (1, a, "y"), (1, a, "y"), (2, a, "x"), (None, a, "x"), (None, b, "x"), (None, b, "x"),
@@ -87,5 +87,5 @@ def test_stages_keep_one_row_of_each_group(spark, name):
 
 def test_no_rows_or_copies(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
-    for dedup in (near.near_dedup,):
+    for dedup in (lambda d: exact.exact_dedup(d, single=True), near.near_dedup):
         assert dedup(docs).count() == 2 and dedup(docs.filter("false")).count() == 0

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.llm.common import SPACES, stage, without
+from tripgauge.llm.common import SPACES, one_of_each, stage, without
 
 PREFIX_CHARS = 64
 
@@ -102,11 +102,15 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", single: bool = False) -> DataFrame:
     """``docs`` without the repeated texts, all columns as they were. A dropped row is known
     by its ``doc_id`` and a digest of its whole text as it was, so that another text of the
-    same id stays. Rows with a null ``doc_id`` can't be told apart and stay."""
+    same id stays. Repeats of a kept row and rows with a null ``doc_id`` stay as well, unless
+    ``single``: then one row of each group stays, null ids last."""
     own = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
     groups = exact_groups(docs.select(doc_id, text), text, doc_id, carry=(own.alias("own"),))
+    if single:
+        rows = groups.filter("group_size > 1").select("doc_id", "own", F.col("text_sha256").alias("group"))
+        return one_of_each(docs, rows, F.col(doc_id), own)
     dropped = groups.filter("NOT kept").select("doc_id", "own").distinct()
     return without(docs, dropped, (F.col(doc_id), own))
