@@ -8,8 +8,9 @@ it has. All weights of a state add up to one. A text is traversed once from left
 right, the state and the sum of logarithms carried.
 
 The model grows with the corpus, so no task holds all of it. Texts are dealt to blocks. A block
-asks for the counts of the words and pairs it holds, builds the part of the automaton its
-texts can reach, and traverses them.
+asks for the counts of the words and pairs it holds. The automaton is of order 2 and is not built
+as states and arcs: a state is the word before, so that a traversal is arrays of the
+words and pairs of a block, summed by text.
 """
 
 from __future__ import annotations
