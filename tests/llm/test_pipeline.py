@@ -61,7 +61,7 @@ def test_against_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     df = entry.queries()[name](spark, SMALL)
     columns = sorted(df.columns)
@@ -77,5 +77,5 @@ def test_toxicity_stage_keeps_a_column_of_that_name(spark):
 
 
 def test_all_are_registered():
-    assert {n for n in entry.queries() if n.startswith("op")} == set(QUERIES) and len(QUERIES) == 10
+    assert {n for n in entry.queries() if n.startswith("op")} == set(QUERIES) and len(QUERIES) == 13
     assert "pipeline" in entry.queries()

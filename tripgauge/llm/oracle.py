@@ -69,5 +69,34 @@ WITH d AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op11_ranked": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), d AS (
+  SELECT row, doc_id, len(terms)::BIGINT AS n FROM t WHERE len(terms) > 0
+), c AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM d
+), p AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(terms) AS term FROM t) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM p, c GROUP BY term, docs
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), s AS (
+  SELECT item_id, doc_id, row,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (row), c
+  GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER o)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 50
 """,
 }
