@@ -13,7 +13,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripgauge.llm import bpe, exact, keycount, lm, mixing, quality, simhash, suffix, topk, toxicity, warc
+from tripgauge.llm.common import held_out, table
 from tripgauge.llm.components import components
+from tripgauge.llm.labels import fit_sample
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n long, prefix string, mix_size string"
 
@@ -355,6 +357,25 @@ def labelled(spark):
     return docs, labels, {i: (q, t) for i, _, q, t in rows}
 
 
+def test_an_id_of_very_many_texts_is_bounded(spark):
+    ids = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    docs = ids.union(spark.range(100, 150).select("id", F.concat(F.lit("other "), F.col("id"))))
+    labels = spark.range(200).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality", "cast(id % 2 AS int) AS toxic")
+    for rows in (40, 1000):
+        sample = fit_sample(docs, labels, "toxic", rows).collect()
+        assert 0 < len(sample) <= rows and len({r["text"] for r in sample}) == len(sample)
+    assert quality.quality_model(docs, labels, 500).weights.any()
+
+
+def test_quality_threshold_is_that_of_all_labelled_rows(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    model = quality.quality_model(docs, labels, 60)
+    known = docs.join(labels.dropna(), "doc_id").filter(~held_out(F.col("doc_id"), 4, 2)).collect()
+    raw = np.sort(model.raw(np.array([quality.features(r["text"]) for r in known], float)))
+    bad = sum(r["quality"] != 1 for r in known)
+    assert abs(np.searchsorted(raw, model.cut, side="right") - bad) <= 1
+
+
 def test_quality(spark):
     docs, labels, truth = labelled(spark)
     scored = quality.score_quality(docs, quality.quality_model(docs, labels)).collect()

@@ -11,19 +11,44 @@ from tripgauge.llm.common import held_out, stage
 FIT_ROWS = 24_000
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS) -> DataFrame:
-    """``text, label`` of at most ``rows`` labelled documents that aren't held out, those of
-    the lowest hash of ``doc_id``. Rows without an id or a label take no part; of
-    several labels for an id the largest counts, and equal texts count once per label."""
-    known = (
+def _known(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label`` of those that aren't held out; of several for an id the largest counts,
+    and rows without either take no part."""
+    return (
         labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
         .dropna()
         .filter(~held_out(F.col("doc_id"), 4, 2))
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    ids = docs.select("doc_id").dropna().distinct()
-    chosen = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
+def _with_text(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc_id, text, label, h`` of every row of a known id; equal ``text, label`` share ``h``."""
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = stage(text.join(chosen, "doc_id").select("text", "label"), f"fit-{label}")
-    return sample.dropDuplicates()
+    return text.join(known, "doc_id").withColumn("h", F.xxhash64("label", "text"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, text, label, h`` of all labelled rows that aren't held out."""
+    return _with_text(docs, _known(labels, label))
+
+
+def first_ids(ids: DataFrame, rows: int) -> DataFrame:
+    return ids.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
+def one_text_of_each(sample: DataFrame) -> DataFrame:
+    """Of the rows of each id that of the lowest ``h``, so that an id of very many texts counts once
+    and no more rows than ids reach the driver; equal ``text, label`` count once."""
+    lowest = sample.groupBy("doc_id").agg(F.min("h").alias("h"))
+    return sample.join(lowest, ["doc_id", "h"], "left_semi").dropDuplicates(["h"])
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS) -> DataFrame:
+    """``text, label`` of at most ``rows`` labelled rows that aren't held out: one of each of the
+    ids of lowest hash. Equal texts count once per label."""
+    known = _known(labels, label)
+    ids = first_ids(known.join(docs.select("doc_id").dropna().distinct(), "doc_id", "left_semi"), rows)
+    chosen = _with_text(docs, known.join(ids, "doc_id"))
+    return one_text_of_each(stage(chosen, f"fit-{label}")).select("text", "label")

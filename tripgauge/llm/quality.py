@@ -9,7 +9,6 @@ sum of weights can rise and fall along a feature.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -18,12 +17,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.llm.labels import FIT_ROWS, fit_sample
+from tripgauge.llm.common import stage
+from tripgauge.llm.labels import FIT_ROWS, first_ids, labelled, one_text_of_each
 
 BINS = 12
 PAIRS_PER_ROW = 6
 # The score that stands for the threshold.
 CUT = 0.7
+# The threshold's rank is off by at most one in so many rows.
+ACCURACY = 100_000
 
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A"):ord("Z") + 1] = True
@@ -127,18 +129,32 @@ def fit_ranking(x: np.ndarray, label: np.ndarray, bins: int = BINS, seed: int =
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Ranking:
-    """Fit on a bounded sample; only its features reach the driver."""
-
-    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"x": [features(t) for t in batch["text"]], "label": batch["label"]})
-
-    sample = fit_sample(docs, labels, "quality", rows)
-    found = sample.mapInPandas(measured, "x array<double>, label int").toPandas()
+    """Fit on a bounded sample of the labelled rows that aren't held out; only its features reach
+    the driver. The threshold is the quantile of the scores of all of them, at the share of those
+    not labelled 1."""
+
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series) -> pd.Series:
+        return pd.Series([features(t) for t in texts])
+
+    every = stage(
+        labelled(docs, labels, "quality").select("doc_id", "label", "h", measured("text").alias("x")), "quality-features"
+    )
+    sample = one_text_of_each(every.join(first_ids(every, rows), "doc_id", "left_semi"))
+    found = sample.select("x", "label").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(len(found), N_FEATURES)
     label = found["label"].to_numpy(int)
     order = np.lexsort((*x.T, label))  # the fit doesn't depend on the order of arrival
-    return fit_ranking(x[order], label[order])
+    model = fit_ranking(x[order], label[order])
+
+    @F.pandas_udf("double")
+    def raw(xs: pd.Series) -> pd.Series:
+        return pd.Series(model.raw(np.array(xs.tolist(), float).reshape(len(xs), N_FEATURES)), dtype="float64")
+
+    bad, n = every.agg(F.count_if(F.col("label") != 1), F.count(F.lit(1))).head()
+    if 0 < bad < n:
+        model.cut = every.agg(F.percentile_approx(raw("x"), bad / n, ACCURACY)).head()[0]
+    return model
 
 
 def score_quality(docs: DataFrame, model: Ranking, text: str = "text", score: str = "score") -> DataFrame:
