@@ -1,14 +1,18 @@
 """Near dedup of the pipeline against brute force, and one row of each group of copies."""
 
 import collections
+import itertools
+import math
 import random
 
 import pytest
+import xxhash
 
 import corpus_pipeline
 from tests.llm.test_operators import ascii_lower, passage, words
 from tripgauge.llm import exact, near
 from tripgauge.llm.common import table
+from tripgauge.llm.simhash import covering_masks
 
 SEVERAL = "/root/testdata/sf0.01"
 
@@ -27,17 +31,23 @@ def edited(text, share, seed):
     return " ".join(x + "z" if r.random() < share else x for x in w)
 
 
-@pytest.mark.parametrize("similarity", [0.8, 0.97])
-def test_classes_are_those_of_brute_force(spark, similarity):
-    texts = [edited(passage(s, 700), e, 10 * s + k) for s in range(6) for k, e in enumerate([0, 0, .001, .002, .004, .006, .01])]
-    texts += ["", None, "a", "A"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    sets, prints = [plain_shingles(t) for t in texts], [near.shingle_print(t) for t in texts]
-    root = list(range(len(texts)))
-    failed = 0
+def plain_print(text):
+    counts = collections.Counter(words(ascii_lower(text)))
+    ones, total = [0.0] * 64, sum(math.sqrt(n) for n in counts.values())
+    for w, n in counts.items():
+        h = xxhash.xxh64_intdigest(w.encode(), 42)
+        for i in range(64):
+            ones[i] += math.sqrt(n) * (h >> i & 1)
+    return sum(1 << i for i in range(64) if 2 * ones[i] > total)
+
+
+def plain_classes(texts, similarity, radius=near.RADIUS):
+    """The first of each class, and how many candidates failed."""
+    sets, prints = [plain_shingles(t) for t in texts], [plain_print(t) for t in texts]
+    root, failed = list(range(len(texts))), 0
     for i in range(len(texts)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= near.RADIUS:
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
                 if jaccard(sets[i], sets[j]) >= similarity:
                     root = [root[j] if x == root[i] else x for x in root]
                 else:
@@ -45,27 +55,82 @@ def test_classes_are_those_of_brute_force(spark, similarity):
     first = {}
     for i, x in enumerate(root):
         first.setdefault(x, i)
+    return sorted(first.values()), failed
+
+
+def test_masks_keep_enough_bits():
+    for radius in (1, 2, 3, 4, 5, near.RADIUS):
+        assert min((m % (1 << 64)).bit_count() for m in covering_masks(radius)) >= 20
+    with pytest.raises(ValueError):
+        covering_masks(7)
+
+
+@pytest.mark.parametrize("block", [3, 512])
+@pytest.mark.parametrize("similarity", [0.8, 0.97])
+def test_classes_are_those_of_brute_force(spark, similarity, block):
+    texts = [edited(passage(s, 700), e, 10 * s + k) for s in range(6) for k, e in enumerate([0, 0, .001, .002, .004, .006, .01])]
+    texts += ["", None, "a", "A"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    first, failed = plain_classes(texts, similarity)
     assert (failed > 0) == (similarity > 0.9)
-    assert sorted(r["doc_id"] for r in near.near_dedup(docs, similarity=similarity).collect()) == sorted(first.values())
+    kept = near.near_dedup(docs, similarity=similarity, block=block)
+    assert sorted(r["doc_id"] for r in kept.collect()) == first
+
+
+def test_many_that_resemble_one_text_and_many_that_fail(spark):
+    r = random.Random(8)
+    base, other = passage(31, 300).split(), passage(32, 300).split()
+    texts = [" ".join(base)]
+    for k in range(1000):  # a hub: each copy has one word of its own
+        w = list(base)
+        w[r.randrange(len(w))] = f"own{k}"
+        texts.append(" ".join(w))
+    for k in range(150):  # one template, filled in differently: alike by words, not by shingles
+        w = list(other)
+        for i in range(0, 300, 20):
+            w[i] = f"fill{r.randrange(40)}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = sorted(x["doc_id"] for x in near.near_dedup(docs, block=64).collect())
+    sets, prints = [plain_shingles(t) for t in texts], [plain_print(t) for t in texts]
+    root = list(range(len(texts)))
+    failed = 0
+    for i in range(1001, len(texts)):
+        for j in range(1001, i):
+            if (prints[i] ^ prints[j]).bit_count() <= near.RADIUS:
+                if jaccard(sets[i], sets[j]) >= .8:
+                    root = [root[j] if x == root[i] else x for x in root]
+                else:
+                    failed += 1
+    assert failed > 1000
+    assert kept == [0, *sorted({root.index(root[i]) for i in range(1001, len(texts))})]
 
 
-def test_stage_against_brute_force_jaccard(spark):
-    docs = table(spark, SEVERAL, "documents")
-    rows = {r["doc_id"]: plain_shingles(r["text"]) for r in docs.collect()}
+def test_recall_of_the_stage(spark):
+    """Of all pairs of different texts of that similarity; copies are always found."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    ids = {" ".join(words(ascii_lower(r["text"]))): r["doc_id"] for r in docs.collect()}
+    rows = {i: plain_shingles(t) for t, i in ids.items()}
     places = collections.defaultdict(list)
     for i, found in rows.items():
         for s in found:
             places[s].append(i)
-    close = {(a, b) for ids in places.values() for a in ids for b in ids if a < b}
-    pairs = [p for p in close if jaccard(rows[p[0]], rows[p[1]]) >= near.SIMILARITY]
+    # A shingle of more texts is a shared passage; similar texts share others as well.
+    shared = collections.Counter(p for found in places.values() if len(found) < 60 for p in itertools.combinations(found, 2))
+    pairs = [p for p in shared if jaccard(rows[p[0]], rows[p[1]]) >= near.SIMILARITY]
     group = {r["doc_id"]: r["group"] for r in near.near_rows(docs).collect()}
-    found = sum(group[a] == group[b] for a, b in pairs)
-    assert len(pairs) == 103 and found >= 101
-    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, SEVERAL).collect()}
-    first = {}
-    for i, g in group.items():
-        first[g] = min(i, first.get(g, i))
-    assert kept == set(first.values())
+    assert len(pairs) > 40 and sum(group[a] == group[b] for a, b in pairs) >= 0.9 * len(pairs)
+    # Every class hangs together by links of that similarity.
+    classes = collections.defaultdict(list)
+    for i in rows:
+        classes[group[i]].append(rows[i])
+    for sets in classes.values():
+        left, queue = sets[1:], sets[:1]
+        while queue:
+            at = queue.pop()
+            reached = [s for s in left if jaccard(at, s) >= near.SIMILARITY]
+            left, queue = [s for s in left if s not in reached], queue + reached
+        assert not left
 
 
 @pytest.mark.parametrize("name", ["exact dedup", "near dedup"])
@@ -81,7 +146,7 @@ def test_stages_keep_one_row_of_each_group(spark, name):
     norm = collections.Counter((r["doc_id"], " ".join((r["text"] or "").split())) for r in got)
     # The text of id 4 has another first shingle: 26 of 27 are shared, which is above 0.8.
     want = {(1, a), (None, b), (3, c), (None, "")} | ({(4, "x " + c)} if name == "exact dedup" else set())
-    near_by = {(4, "x " + c)} if (near.shingle_print(c) ^ near.shingle_print("x " + c)).bit_count() > near.RADIUS else set()
+    near_by = {(4, "x " + c)} if (plain_print(c) ^ plain_print("x " + c)).bit_count() > near.RADIUS else set()
     assert set(norm) == want | near_by and set(norm.values()) == {1}
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tests.llm.test_operators import VOCABULARY, plain_components, plain_fingerprint
+from tests.llm.test_near import plain_classes
+from tests.llm.test_operators import VOCABULARY
 from tripgauge.llm import bpe, mixing
 from tripgauge.llm.common import stage, table
+from tripgauge.llm.near import SIMILARITY
 from tripgauge.llm.oracle import ORACLE
 from tripgauge.llm.queries import QUERIES, TOXIC
 from tripgauge.llm.toxicity import toxicity_model
@@ -37,8 +39,8 @@ def test_stages(spark):
                 first.setdefault(" ".join((r["text"] or "").replace("\n", " ").split(" ")), r["doc_id"])
             want = list(first.values())
         elif name == "near dedup":
-            prints = [plain_fingerprint(r["text"]) for r in before]
-            want = list(set(plain_components([r["doc_id"] for r in before], prints)))
+            first, _ = plain_classes([r["text"] for r in sorted(before)], SIMILARITY)
+            want = [sorted(before)[i]["doc_id"] for i in first]
         elif name == "mixing":
             plan = mixing.mix_plan(spark.createDataFrame(before, docs.schema)).collect()
             want = [r["doc_id"] for r in plan for _ in range(r["mix_copies"])]

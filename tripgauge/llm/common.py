@@ -58,7 +58,10 @@ def one_of_each(docs: DataFrame, rows: DataFrame, doc_id: Column, own: Column) -
     )
 
     def keys(i: Column, o: Column) -> list[Column]:
-        return [i.isNull().alias("k0"), F.coalesce(i.cast("string"), F.lit("")).alias("k1"), o.alias("k2")]
+        # Without nulls, so that both joins below shuffle the same rows and share one shuffle.
+        return [
+            i.isNull().alias("k0"), F.coalesce(i.cast("string"), F.lit("")).alias("k1"), F.coalesce(o, F.lit("")).alias("k2")
+        ]
 
     names = ["k0", "k1", "k2"]
     columns = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}

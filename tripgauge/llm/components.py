@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from tripgauge.llm.common import stage
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``links`` (``a, b``), ``root`` being the smallest node
     it is linked to, however far. Nodes without a link to another are left out.
 
     Rounds of large-star and small-star: each node hangs its larger neighbours, then its
     smaller ones and itself, below the smallest of them. The longest path shrinks
-    by powers, so few rounds do. A round is a minimum per node, combined on the map
+    by powers, so few rounds do; they go on until one changes nothing. A round is a minimum per node, combined on the map
     side, and a join back that adaptive execution splits at a hot node; every round is a
     written table. Only sums reach the driver.
     """
     edges = stage(_normal(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))), "links")
     seen = _fingerprint(edges)
-    for _ in range(most_rounds):
-        if not seen[0]:
-            break
+    while seen[0]:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
@@ -37,8 +35,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
         edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
     )

@@ -51,4 +51,5 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_R
     known = _known(labels, label)
     ids = first_ids(known.join(docs.select("doc_id").dropna().distinct(), "doc_id", "left_semi"), rows)
     chosen = _with_text(docs, known.join(ids, "doc_id"))
-    return one_text_of_each(stage(chosen, f"fit-{label}")).select("text", "label")
+    sample = one_text_of_each(stage(chosen, f"labelled-{label}")).select("text", "label")
+    return stage(sample, f"fit-{label}")

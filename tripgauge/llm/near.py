@@ -1,51 +1,114 @@
 """Near-duplicates by similarity of word shingles, candidates by covering hashing.
 
-Fingerprints of distinct texts that differ in ``radius`` bits or fewer are candidates; two texts
-are linked where the Jaccard similarity of their shingle sets is high enough. Along the
-candidates' spanning links one link of each text is verified at a time, until all links lie
-within a class or have failed. Where one failed, the other candidates that lead from class to
-class are verified too, so that no candidate that could join two classes goes unseen.
+A text's fingerprint is made of its words, each by the square root of how often it occurs: an edited
+word moves few of its bits, where it would change as many shingles as they are long. Distinct texts
+whose fingerprints differ in ``radius`` bits or fewer are candidates; two texts are linked where the
+Jaccard similarity of their shingle sets is high enough, and classes are what links join.
+
+Candidates that hang together make a region. A region is dealt to blocks of at most about ``BLOCK``
+texts, each of which settles all its pairs in one task, on sorted numbers of shingles. Of a larger
+region one text per class and block goes on to the next round, where classes of several blocks meet.
+Where a region then still has several classes, the pairs that lead from class to class are settled
+as well, block against block, those within the largest class left out. So every candidate pair is either
+verified or lies within a class, no pair is written down, and a text that many others resemble is
+compared block by block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import chain
+from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgauge.llm.common import one_of_each, stage
 from tripgauge.llm.components import components
-from tripgauge.llm.simhash import bucket_cells, majority, near_links
+from tripgauge.llm.simhash import near_links
 
 SHINGLE = 5
 RADIUS = 6
 SIMILARITY = 0.8
+# Texts of a region that one task settles.
+BLOCK = 512
 
 
-def shingles(text: str | None, n: int = SHINGLE) -> set[bytes]:
-    """The distinct shingles of ``n`` words, in lower case; of fewer words all are one."""
-    words = (text or "").encode().lower().split()
-    if len(words) <= n:
-        return {b" ".join(words)} if words else set()
-    return {b" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
+def words_of(text: str | None) -> list[bytes]:
+    """In lower case; on bytes, these lower and split by ASCII letters and spaces only."""
+    return (text or "").encode().lower().split()
+
 
+def shingle_set(text: str | None, n: int = SHINGLE) -> np.ndarray:
+    """The 64-bit numbers of the distinct shingles of ``n`` words, sorted; of fewer words all
+    are one, of none there is none."""
+    from xxhash import xxh64_intdigest
 
-def jaccard(a: set, b: set) -> float:
-    both = len(a & b)
-    return both / max(1, len(a) + len(b) - both)
+    words = words_of(text)
+    if len(words) <= n:
+        found = [b" ".join(words)] if words else []
+    else:
+        found = [b" ".join(words[i:i + n]) for i in range(len(words) - n + 1)]
+    return np.unique(np.fromiter((xxh64_intdigest(s, 42) for s in found), np.uint64, len(found)))
 
 
-def shingle_print(text: str | None, n: int = SHINGLE) -> int:
-    """The fingerprint of the set of shingles as an unsigned integer, 0 without words."""
+def word_print(words: list[bytes]) -> int:
+    """The fingerprint as an unsigned integer, 0 without words."""
     from xxhash import xxh64_intdigest
 
-    found = shingles(text, n)
-    return majority(np.fromiter((xxh64_intdigest(s, 42) for s in found), np.uint64, len(found))) if found else 0
+    if not words:
+        return 0
+    counts = Counter(words)
+    hashes = np.fromiter((xxh64_intdigest(w, 42) for w in counts), "<u8", len(counts))
+    weights = np.sqrt(np.fromiter(counts.values(), np.float64, len(counts)))
+    ones = np.zeros(64)
+    for i in range(0, len(hashes), 1 << 16):
+        bits = np.unpackbits(hashes[i:i + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64)
+        ones += weights[i:i + (1 << 16)] @ bits
+    return int(np.packbits(2 * ones > weights.sum(), bitorder="little").view("<u8")[0])
+
+
+class Cell:
+    """Texts of one task: fingerprints, shingle sets, and ``root``, a number of the class of each."""
+
+    def __init__(self, fp: np.ndarray, sets: list[np.ndarray], root: np.ndarray, radius: int, similarity: float):
+        self.fp, self.root, self.radius, self.similarity = fp, root, radius, similarity
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        self.ends = np.cumsum(self.sizes)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        values, self.ids = np.unique(flat, return_inverse=True)
+        self.held = np.zeros(len(values), bool)
+
+    def settle(self, one: int, others: np.ndarray) -> list[int]:
+        """Link ``one`` to those of ``others`` it is close enough to and not yet in a class with;
+        the classes become one. The others that made a link."""
+        apart = np.bitwise_count(self.fp[others] ^ self.fp[one])
+        small, large = np.minimum(self.sizes[others], self.sizes[one]), np.maximum(self.sizes[others], self.sizes[one])
+        # No pair of sizes further apart can be similar enough.
+        ok = (apart <= self.radius) & (self.root[others] != self.root[one]) & (small >= self.similarity * large) & (small > 0)
+        near = others[ok][np.argsort(apart[ok], kind="stable")]
+        links = []
+        # The nearest of each class first: a link to it answers for all of them.
+        first = np.sort(np.unique(self.root[near], return_index=True)[1])
+        for tried in (near[first], np.delete(near, first)):
+            tried = tried[self.root[tried] != self.root[one]]
+            for other in tried[self._similar(one, tried)].tolist():
+                if self.root[other] != self.root[one]:
+                    self.root[self.root == self.root[other]] = self.root[one]
+                    links.append(other)
+        return links
+
+    def _similar(self, one: int, others: np.ndarray) -> np.ndarray:
+        if not len(others):
+            return np.zeros(0, bool)
+        mine = self.ids[self.ends[one] - self.sizes[one]:self.ends[one]]
+        self.held[mine] = True
+        spans = [self.ids[self.ends[o] - self.sizes[o]:self.ends[o]] for o in others.tolist()]
+        starts = np.cumsum([0, *map(len, spans[:-1])])
+        both = np.add.reduceat(self.held[np.concatenate(spans)].astype(np.int64), starts)
+        self.held[mine] = False
+        return both >= self.similarity * (len(mine) + self.sizes[others] - both)
 
 
 def near_rows(
@@ -55,122 +118,132 @@ def near_rows(
     shingle: int = SHINGLE,
     radius: int = RADIUS,
     similarity: float = SIMILARITY,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``doc_id, own, group`` of the rows of ``docs``: a digest of the text as it was, and the
-    class. Texts of the same words in lower case are one node, a 64-bit hash."""
-    kind = T.StructType([T.StructField("fp", T.LongType()), T.StructField("node", T.LongType())])
+    class, whose name is a digest of one of its texts. Texts of the same words in lower case are one.
+    Null and empty texts, and those of spaces only, are one class that nothing else is in. Repeated rows and rows without an id
+    are rows like any other, and no rows give no rows."""
+    kind = T.StructType([T.StructField("fp", T.LongType()), T.StructField("node", T.StringType())])
 
     @F.pandas_udf(kind)
     def marked(texts: pd.Series) -> pd.DataFrame:
-        from xxhash import xxh64_intdigest
+        from hashlib import sha256
 
-        words = (b" ".join((t or "").encode().lower().split()) for t in texts)
-        node = np.fromiter((xxh64_intdigest(w, 7) for w in words), np.uint64, len(texts))
-        fp = np.fromiter((shingle_print(t, shingle) for t in texts), np.uint64, len(texts))
-        return pd.DataFrame({"fp": fp.view(np.int64), "node": node.view(np.int64)})
+        words = [words_of(t) for t in texts]
+        fp = np.fromiter(map(word_print, words), np.uint64, len(texts))
+        return pd.DataFrame({"fp": fp.view(np.int64), "node": [sha256(b" ".join(w)).hexdigest() for w in words]})
 
-    @F.pandas_udf("boolean")
-    def similar(one: pd.Series, other: pd.Series) -> pd.Series:
-        pairs = zip(one, other, strict=True)
-        return pd.Series([jaccard(shingles(x, shingle), shingles(y, shingle)) >= similarity for x, y in pairs])
+    @F.pandas_udf("binary")
+    def shingle_bytes(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
 
-    raw = F.coalesce(F.col(text), F.lit(""))
+    raw = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     own = F.sha2(raw.cast("binary"), 256).alias("own")
     prints = stage(
-        docs.select(F.col(doc_id).alias("doc_id"), own, marked(F.col(text)).alias("m")).select("doc_id", "own", "m.*"),
+        docs.select(F.col(f"`{doc_id}`").alias("doc_id"), own, marked(raw).alias("m")).select("doc_id", "own", "m.*"),
         "near-prints",
     )
     nodes = stage(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("own").alias("own")), "near-nodes")
-    fps = nodes.groupBy("fp").agg(F.min("node").alias("head"))
-    between = near_links(fps.select("fp"), radius).select(F.col("a").alias("fp"), "b")
-    heads = between.join(fps, "fp").select(F.col("b").alias("fp"), F.col("head").alias("a")).join(fps, "fp").select(
-        "a", F.col("head").alias("b")
+    regions = components(near_links(stage(nodes.select("fp").distinct(), "near-fps"), radius))
+    placed = nodes.join(regions.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "node", "fp", "own", F.coalesce("root", "fp").alias("region")
     )
-    within = nodes.join(fps, "fp").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    links = stage(
-        heads.unionByName(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-        "near-links",
-    )
-    linked = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    wanted = nodes.join(linked, "node").select("node", "own")
-    content = stage(
-        docs.select(own, raw.alias("content")).join(wanted, "own").groupBy("node").agg(F.first("content").alias("content")),
-        "near-content",
+    several = placed.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stage(placed.join(several, "region"), "near-members")
+    sets = stage(
+        docs.select(own, raw.alias("content")).join(members, "own").groupBy("region", "n", "node", "fp")
+        .agg(F.first("content").alias("content"))
+        .select("region", "n", "node", "fp", shingle_bytes("content").alias("shingles")),
+        "near-sets",
     )
+    links = _links_of(sets, radius, similarity, block)
+    classes = components(links)
+    return prints.join(classes, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("group"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        one = content.select(F.col("node").alias("a"), F.col("content").alias("x"))
-        other = content.select(F.col("node").alias("b"), F.col("content").alias("y"))
-        both = pairs.select("a", "b").join(one, "a").join(other, "b")
-        return stage(both.select("a", "b", similar("x", "y").alias("ok")), "near-verified")
-
-    def classes(judged: DataFrame) -> DataFrame:
-        return stage(components(judged.filter("ok").select("a", "b")), "near-classes")
-
-    def crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """Those of ``pairs`` whose ends are of two classes."""
-        one = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        other = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        return pairs.join(one, "a", "left").join(other, "b", "left").filter(
-            F.coalesce("ra", "a") != F.coalesce("rb", "b")
-        ).select("a", "b")
-
-    pending, judged, roots = links, None, None
-    while judged is None or pending.head() is not None:
-        now = verified(pending.groupBy("b").agg(F.min("a").alias("a")))
-        judged = now if judged is None else judged.unionByName(now)
-        roots = classes(judged)
-        pending = stage(crossing(pending.join(judged, ["a", "b"], "left_anti"), roots), "near-pending")
-    if judged.filter("NOT ok").head() is not None:
-        regions = stage(components(links), "near-regions").withColumnRenamed("root", "region")
-        placed = regions.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = placed.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        open_ = stage(
-            placed.join(split.select("region"), "region", "left_semi").select("node", "root")
-            .join(nodes.select("node", "fp"), "node").select("fp", "node", "root"),
-            "near-open",
-        )
-        more = _crossing_pairs(open_, radius).join(judged, ["a", "b"], "left_anti")
-        roots = classes(judged.unionByName(verified(more)))
-    return prints.join(roots, "node", "left").select(
-        "doc_id", "own", F.coalesce("root", "node").alias("group")
-    )
 
+def _dealt(texts: DataFrame, block: int, salt: int) -> DataFrame:
+    """``texts`` of regions of ``n`` with the number of blocks of their region and their own ``block``."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    return texts.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")).cast("int")
+    )
 
-def _crossing_pairs(nodes: DataFrame, radius: int) -> DataFrame:
-    """All pairs ``a < b`` of ``node`` within the radius whose ``root`` differs."""
 
-    def of_cell(rows: np.ndarray) -> list[np.ndarray]:
-        found, fp = [], rows[:, 3].view(np.uint64)
-        roots, sizes = np.unique(rows[:, 5], return_counts=True)
-        if len(roots) > 1:  # the largest class is compared with, its members not with each other
-            for i in np.flatnonzero(rows[:, 5] != roots[np.argmax(sizes)]):
-                near = (np.bitwise_count(fp ^ fp[i]) <= radius) & (rows[:, 5] != rows[i, 5])
-                others = rows[near, 4]
-                found.append(np.column_stack([np.minimum(others, rows[i, 4]), np.maximum(others, rows[i, 4])]))
+def _counted(texts: DataFrame) -> DataFrame:
+    """``texts`` with ``n``, how many there are of their region."""
+    return texts.drop("n").join(texts.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region")
+
+
+def _links_of(sets: DataFrame, radius: int, similarity: float, block: int) -> DataFrame:
+    """Links ``a, b`` that join the texts of each class of ``region, n, node, fp, shingles``."""
+
+    def cell_of(rows: pd.DataFrame, root: np.ndarray) -> Cell:
+        fp = rows["fp"].to_numpy(np.int64).view(np.uint64)
+        return Cell(fp, [np.frombuffer(s, np.uint64) for s in rows["shingles"]], root, radius, similarity)
+
+    def within(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node", ignore_index=True)
+        cell = cell_of(rows, np.arange(len(rows)))
+        for i in range(1, len(rows)):
+            cell.settle(i, np.arange(i))
+        nodes = rows["node"].to_numpy()
+        _, first, of = np.unique(cell.root, return_index=True, return_inverse=True)
+        return pd.DataFrame({"region": rows["region"], "node": nodes, "head": nodes[first[of]], "blocks": rows["blocks"]})
+
+    kind = "region long, node string, head string, blocks int"
+    active, left, found, salt = sets, None, None, 0
+    while True:
+        judged = stage(_dealt(active, block, salt).groupBy("region", "block").applyInPandas(within, kind), "near-heads")
+        links = judged.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+        found = links if found is None else found.unionByName(links)
+        heads = judged.filter("blocks > 1 AND node = head").select("node")
+        now = heads.count()
+        # Rounds go on while they at least halve what is open.
+        if not now or left is not None and 2 * now > left:
+            break
+        active, left, salt = _counted(sets.filter(F.col("n") > block).join(heads, "node", "left_semi")), now, salt + 1
+    large = sets.filter(F.col("n") > block)
+    if large.head() is None:
+        return found
+    classes = components(found)
+    placed = large.join(classes, "node", "left").withColumn("class", F.coalesce("root", "node"))
+    sizes = placed.groupBy("region", "class").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("region").agg(
+        F.max(F.struct("size", "class")).getField("class").alias("largest"), F.count(F.lit(1)).alias("classes")
+    ).filter("classes > 1")
+    open_ = stage(placed.join(largest, "region").select("region", "n", "node", "fp", "shingles", "class", "largest"), "near-open")
+    if open_.head() is None:
         return found
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = np.zeros((0, 6), np.int64)
-        for last, batch in chain(((False, b) for b in batches), [(True, None)]):
-            rows = rest if last else np.concatenate([rest, np.ascontiguousarray(batch.to_numpy(np.int64))])
-            new = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
-            ends = [*new.tolist(), *([len(rows)] if last else [])]
-            found, at = [], 0
-            for end in ends:
-                if end - at > 1:
-                    found += of_cell(np.ascontiguousarray(rows[at:end].T).T)
-                at = end
-            rest = rows[at:]
-            if found:
-                out = np.concatenate(found)
-                yield pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
-
-    return bucket_cells(nodes, radius).mapInPandas(pairs, "a long, b long").distinct()
+    def across(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["side", "node"], ignore_index=True)
+        _, root = np.unique(rows["class"].to_numpy(str), return_inverse=True)
+        cell, names = cell_of(rows, root), rows["class"].to_numpy()
+        start = int((rows["side"] == 0).sum())
+        others = np.arange(start, len(rows))
+        pairs = [(names[i], names[j]) for i in range(start) for j in cell.settle(i, others)]
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    dealt = _dealt(open_, block, salt + 1)
+    outside = _dealt(_counted(open_.filter(F.col("class") != F.col("largest"))), block, salt + 2)
+    counts = dealt.groupBy("region").agg(F.max("blocks").alias("all_blocks")).join(
+        outside.groupBy("region").agg(F.max("blocks").alias("out_blocks")), "region"
+    )
+
+    def copies(texts: DataFrame, side: int, mine: str, other: str, most: str) -> DataFrame:
+        """Each text once per block of the other side."""
+        every: Column = F.explode(F.sequence(F.lit(0), F.col(most) - 1))
+        return texts.join(counts, "region").select(
+            "region", "node", "fp", "shingles", "class", F.lit(side).alias("side"), F.col("block").alias(mine), every.alias(other)
+        )
+
+    cells = copies(outside, 0, "i", "j", "all_blocks").unionByName(copies(dealt, 1, "j", "i", "out_blocks"))
+    return found.unionByName(stage(cells.groupBy("region", "i", "j").applyInPandas(across, "a string, b string"), "near-across"))
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of each class of near copies, all columns as they were: of the
     smallest ``doc_id``, null last."""
-    own = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    return one_of_each(docs, near_rows(docs.select(doc_id, text), text, doc_id, **options), F.col(doc_id), own)
+    own = F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256)
+    return one_of_each(docs, near_rows(docs.select(doc_id, text), text, doc_id, **options), F.col(f"`{doc_id}`"), own)

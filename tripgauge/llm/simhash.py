@@ -15,6 +15,7 @@ that a hot one is spread over many tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,7 +31,10 @@ RADIUS = 3
 # Members of a bucket compared in one go.
 BLOCK = 2048
 # Up to this many members all neighbours in a bucket are compared at once.
-SMALL = 12
+SMALL = 6
+# Entries of the tables that one task makes, and the share of fingerprints that tells large buckets.
+ENTRIES = 1_000_000
+SAMPLED = 16
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -75,38 +79,40 @@ def fingerprints(
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
-    """The masks of all tables, as signed 64-bit integers."""
+    """The masks of all tables, as signed 64-bit integers. Any vectors that aren't zero cover; where
+    there are more than bits, those of the upper half leave every mask enough bits."""
     n = (1 << (radius + 1)) - 1
-    vectors = [1 + i % n for i in range(bits)]
+    if n >= 2 * bits:
+        raise ValueError(f"a radius of {radius} is too large for {bits} bits")
+    vectors = [1 + i % n if n <= bits else n - bits + 1 + i for i in range(bits)]
     masks = (sum(1 << i for i, m in enumerate(vectors) if (m & v).bit_count() % 2) for v in range(1, n + 1))
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
 def bucket_cells(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``t, k, cell`` of each table's buckets and the columns of ``distinct``, ``fp`` the first of
-    them, in partitions sorted by cell."""
+    """``cell, fp`` of each table's buckets, in partitions sorted by both. Buckets and cells are
+    known by a 64-bit hash; two that meet are compared with each other for nothing.
+
+    Large buckets are told from a sample of the fingerprints. They decide only who compares
+    where: any two members of a bucket meet in some cell."""
     masks = covering_masks(radius)
-    tables = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks)
-    ]))
-    entries = distinct.select(*distinct.columns, tables.alias("e")).select("e.t", "e.k", *distinct.columns)
-    large = (
-        entries.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
-        .select("t", "k", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    tasks = max(1, math.ceil(distinct.count() * len(masks) / ENTRIES))
+    # Dealt before the tables multiply the rows; a number given is kept.
+    dealt = distinct.select("fp").repartition(tasks, "fp")
+    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
+    entries = dealt.select("fp", F.explode(keys).alias("k"))
+    sampled = dealt.filter(F.pmod(F.xxhash64("fp", F.lit(1)), F.lit(SAMPLED)) == 0).select(F.explode(keys).alias("k"))
+    large = stage(
+        sampled.groupBy("k").agg((F.count(F.lit(1)) * SAMPLED).alias("n")).filter(F.col("n") > block)
+        .select("k", F.ceil(F.col("n") / block).cast("int").alias("blocks")),
+        "large-buckets",  # of known size, so that the many entries are not dealt out to meet a few
     )
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    paired = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: _cell(F.col("mine"), other))
-    cells = (
-        entries.join(large, ["t", "k"], "left")
-        .withColumn("mine", F.coalesce(mine, F.lit(0)))
-        .withColumn("cell", F.explode(F.coalesce(paired, F.array(F.lit(0).cast("long")))))
-        .select("t", "k", "cell", *distinct.columns)
-    )
-    return (
-        cells.repartition("t", "k", "cell")
-        .sortWithinPartitions("t", "k", "cell", "fp")
-        .select(F.col("t").cast("long"), "k", "cell", *distinct.columns)
+    paired = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.xxhash64("k", _cell(F.col("mine"), other)))
+    cells = entries.join(large, "k", "left").withColumn("mine", mine).select(
+        F.explode(F.when(F.col("blocks").isNull(), F.array("k")).otherwise(paired)).alias("cell"), "fp"
     )
+    return cells.repartition("cell").sortWithinPartitions("cell", "fp")
 
 
 def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
@@ -121,7 +127,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
             if rest is not None:
                 rows = np.concatenate([rest, rows])
             # The last group may go on in the next batch.
-            new = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+            new = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
             cut = int(new[-1]) if len(new) else 0
             rest = rows[cut:]
             if cut:
@@ -129,7 +135,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
         if rest is not None:
             yield _links(rest, radius)
 
-    return bucket_cells(distinct.select("fp"), radius, block).mapInPandas(compare, "a long, b long").distinct()
+    return bucket_cells(distinct, radius, block).mapInPandas(compare, "a long, b long").distinct()
 
 
 def _cell(one: Column, other: Column) -> Column:
@@ -139,10 +145,10 @@ def _cell(one: Column, other: Column) -> Column:
 
 
 def _links(rows: np.ndarray, radius: int) -> pd.DataFrame:
-    """Links in rows of (table, key, cell, fingerprint) that are sorted by group."""
-    fp = np.ascontiguousarray(rows[:, 3])
+    """Links in rows of (cell, fingerprint) that are sorted by cell."""
+    fp = np.ascontiguousarray(rows[:, 1])
     bits = fp.view(np.uint64)
-    new = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
+    new = rows[1:, 0] != rows[:-1, 0]
     starts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(rows)]])
     sizes = np.diff(starts)
     group = np.repeat(np.arange(len(sizes)), sizes)
@@ -162,17 +168,19 @@ def _links(rows: np.ndarray, radius: int) -> pd.DataFrame:
 
 
 def _forest(bits: np.ndarray, radius: int) -> np.ndarray:
-    """A spanning forest of the links among distinct fingerprints: each one reached is
-    compared with those not reached yet, once."""
+    """Each of the distinct, sorted fingerprints that are linked, however far, with the smallest of
+    them: buckets of many tables then give the same links. Each one reached is compared with those
+    not reached yet, once."""
     links, left = [], bits
     while len(left):
-        queue, left = [left[-1]], left[:-1]
+        first, left = left[0], left[1:]
+        queue = [first]
         while queue and len(left):
             at = queue.pop()
             near = np.bitwise_count(left ^ at) <= radius
             if near.any():
                 reached = left[near]
-                links.append(np.column_stack([np.full(len(reached), at, np.uint64), reached]))
+                links.append(np.column_stack([np.full(len(reached), first, np.uint64), reached]))
                 queue.extend(reached)
                 left = left[~near]
     return np.concatenate(links) if links else np.zeros((0, 2), np.uint64)
@@ -194,7 +202,7 @@ def simhash_classes(
     such rows alone has a null one. Repeated rows are repeated in the result, of further
     columns only those of ``carry`` come along, and no rows give no rows."""
     prints = stage(fingerprints(docs, text, doc_id, shingle, carry), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = components(near_links(distinct.select("fp"), radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
