@@ -19,12 +19,14 @@ class EmptyInputError(ValueError):
     """The input holds no rows and the profile treats that as an error."""
 
 
+def position_inside() -> Column:
+    """Whether the position lies inside the inclusive bounds; null or false for null and NaN."""
+    return F.col("lat").between(F.lit(LAT_MIN), F.lit(LAT_MAX)) & F.col("lon").between(F.lit(LON_MIN), F.lit(LON_MAX))
+
+
 def filter_coordinates(df: DataFrame) -> DataFrame:
     """Rows whose position lies inside the inclusive bounds; null and NaN fall out."""
-    return df.filter(
-        F.col("lat").between(F.lit(LAT_MIN), F.lit(LAT_MAX))
-        & F.col("lon").between(F.lit(LON_MIN), F.lit(LON_MAX))
-    )
+    return df.filter(position_inside())
 
 
 def retain(df: DataFrame, as_of: Column, ttl_seconds: int = RETENTION_SECONDS) -> DataFrame:
@@ -47,15 +49,18 @@ def dedup_lww(df: DataFrame) -> DataFrame:
     as earliest. Copies collapse on the map side, so a heavily repeated key reaches the
     shuffle as one row per task. Columns are picked one by one, and the order is a
     number: of fixed width, they keep this in a hash aggregate, where a struct would need
-    its input sorted. Only with ``batch_id`` the order is a struct."""
+    its input sorted. With ``batch_id`` the first aggregate leaves one row of each batch, by time
+    and sequence within it, and the second takes the batch that wrote last."""
     keys = ["trip_id", "event_time"]
+
+    def latest(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+        picked = [F.max_by(c, order).alias(c) for c in rows.columns if c not in keys]
+        return rows.groupBy(*keys).agg(*picked)
+
     if "batch_id" in df.columns:
-        parts = F.unix_micros("ingested_at"), F.col("batch_id").cast("long"), F.col("seq")
-        order = F.struct(*[F.coalesce(c, F.lit(LONG_MIN)) for c in parts])
-    else:
-        order = moment_order("ingested_at", "seq")
-    picked = [F.max_by(c, order).alias(c) for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*picked).select(*df.columns)
+        of_batch = latest(df, [*keys, "batch_id"], moment_order("ingested_at", "seq"))
+        return latest(of_batch, keys, moment_order("ingested_at", "batch_id")).select(*df.columns)
+    return latest(df, keys, moment_order("ingested_at", "seq")).select(*df.columns)
 
 
 def require_rows(df: DataFrame, on_empty: str = "skip") -> bool:

@@ -163,6 +163,11 @@ ORACLE: dict[str, str] = {
       {_metrics('fkin', 'fmet')}
       SELECT trip_id, 'pipeline_update' AS event, samples, risk_score AS score FROM fmet UNION ALL
       SELECT trip_id, 'pipeline_update', samples, risk_score FROM met""",
+    "report_changes": f"""{TRIPS}, first AS (SELECT * FROM ok WHERE seq % 2 = 0), {_kin('first', '3.6', 'fkin')},
+      {_metrics('fkin', 'fmet')}
+      SELECT trip_id, 'pipeline_update' AS event, samples, risk_score AS score FROM fmet UNION ALL
+      SELECT m.trip_id, 'pipeline_update', m.samples, m.risk_score FROM met m LEFT JOIN fmet f USING (trip_id)
+      WHERE f.trip_id IS NULL OR f.samples <> m.samples""",
     "stored_runs": f"""{TRIPS}, early AS (SELECT * FROM ok WHERE event_us < {HALF_US}), {_kin('early', '3.6', 'ekin')},
       {_metrics('ekin', 'emet')},
       runs AS (SELECT *, 1 AS run FROM emet UNION ALL SELECT *, 3 FROM met)
@@ -177,6 +182,8 @@ ORACLE: dict[str, str] = {
       SELECT trip_id, CASE WHEN known THEN lat ELSE -12.0464 END::DOUBLE AS lat,
         CASE WHEN known THEN lon ELSE -77.0428 END::DOUBLE AS lon FROM newest""",
     "incremental_trip_risk": TRIP_RISK,
+    "keyed_trip_risk": TRIP_RISK,
+    "keyed_late_rows": TRIP_RISK,
     "audit_rows": f"{TRIPS} {FINAL.replace('samples, ', '').replace(' FROM', ', ' + chr(39) + 'run-1' + chr(39) + ' AS run_id FROM')}",
     "fleet_report_legacy": f"""{FLEET} SELECT samples, avg_speed_kmh, max_speed_kmh, speeding_alerts,
       80::DOUBLE AS speed_limit, accel_variance, accel_mean, accel_mean_square, hard_brakes,
@@ -287,3 +294,4 @@ ORACLE: dict[str, str] = {
       SELECT trip_id, CAST(samples AS INTEGER) AS samples, CAST(speeding_alerts AS INTEGER) AS speeding_alerts,
         CAST(hard_brakes AS INTEGER) AS hard_brakes, risk_score AS global_risk_score FROM met""",
 }
+ORACLE["keyed_retained_risk"] = ORACLE["stream_retained_risk"]

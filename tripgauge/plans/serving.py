@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,15 +73,17 @@ def update_buffer(updates: DataFrame, n: int = BUFFER_SIZE) -> DataFrame:
     return updates.orderBy(F.desc("processed_at"), F.desc("batch_id"), F.asc("trip_id")).limit(n)
 
 
-def report_json(reports: DataFrame, name: str = "document") -> DataFrame:
-    """Each report as a JSON document with ISO times; absent values stay as null."""
+def report_json(reports: DataFrame, name: str = "document", carry: Sequence[str] = ()) -> DataFrame:
+    """Each report as a JSON document with ISO times; absent values stay as null. The columns of
+    ``carry`` stay beside it."""
     times = {
         f.name: iso_time(F.col(f.name))
         for f in reports.schema.fields
         if isinstance(f.dataType, T.TimestampType)
     }
-    document = F.to_json(F.struct(*reports.columns), {"ignoreNullFields": "false"})
-    return reports.withColumns(times).select("trip_id", document.alias(name))
+    told = [c for c in reports.columns if c not in carry]
+    document = F.to_json(F.struct(*told), {"ignoreNullFields": "false"})
+    return reports.withColumns(times).select("trip_id", *carry, document.alias(name))
 
 
 def feed_snapshot(reports: DataFrame, trip_id: str, by: str = "created_seq") -> DataFrame:
@@ -142,10 +146,14 @@ def alert_flags(reports: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: the format of a line of the sample log.
+SAMPLE_LINE = "[%s] [OK] VEL: %.1f km/h | ACEL: %.2f m/s²"
+
+
 def sample_log(reports: DataFrame) -> DataFrame:
     """Log lines of each report's points, newest first, ``line`` from 0."""
     text = F.format_string(
-        "[%s] [OK] VEL: %.1f km/h | ACEL: %.2f m/s²",
+        SAMPLE_LINE,
         F.coalesce("p.time", F.lit("N/A")),
         number_or_zero(F.col("p.speed")),
         number_or_zero(F.col("p.accel")),

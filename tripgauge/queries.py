@@ -28,13 +28,15 @@ from tripgauge.plans import serving
 from tripgauge.plans.fleet_report import build_fleet_report, scored_fleet
 from tripgauge.plans.runs import run_fleet, run_trips
 from tripgauge.plans.trip_report import audit_view, clean, enriched_samples, scored_trips, trip_reports
-from tripgauge.profiles import CURRENT, LAT_MAX, LAT_MIN, LEGACY, LON_MAX, LON_MIN
+from tripgauge.profiles import CURRENT, LAT_MAX, LAT_MIN, LEGACY, LON_MAX, LON_MIN, RETENTION_SECONDS
 from tripgauge.session import scratch_dir
 from tripgauge.sources.adapters import arrivals, telemetry_from_events
+from tripgauge.sources.keyed_log import KeyedLog
 from tripgauge.sources.sinks import audit_rows, read_audit, read_histories, read_reports, upsert_histories
 from tripgauge.sources.telemetry import append_telemetry, normalize, read_csv, read_telemetry, write_clustered
 from tripgauge.streaming.cycle import Cycle, run_cycle, start_cycle
 from tripgauge.streaming.feed import report_feed
+from tripgauge.streaming.keyed_state import metric_log, start_carried, start_events, start_live, start_summaries
 from tripgauge.streaming.incremental import start_incremental, state_log, state_metrics
 
 # Trips of the test tables are short; this many points makes the cut visible.
@@ -568,6 +570,54 @@ def incremental_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_metrics(state_metrics(state.latest()))
 
 
+def keyed_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics carried in keyed state, one summary per trip and batch, after the whole stream."""
+    path = scratch_dir(spark, "carried")
+    log, telemetry = metric_log(spark, f"{path}/metrics"), telemetry_from_events(spark, sf)
+    for samples in arrivals(telemetry, f"{path}/arrived", _by_time(telemetry), ARRIVALS):
+        start_summaries(samples, path, f"{path}/checkpoint-summaries").awaitTermination()
+        start_carried(spark, path, log, f"{path}/checkpoint-state").awaitTermination()
+    return rounded_metrics(state_metrics(log.latest()))
+
+
+def _live_log(spark: SparkSession, sf: str, name: str, part: Callable[[DataFrame], Column], ttl: int | None) -> KeyedLog:
+    path = scratch_dir(spark, name)
+    log, telemetry = metric_log(spark, f"{path}/metrics"), telemetry_from_events(spark, sf)
+    for samples in arrivals(telemetry, f"{path}/arrived", part(telemetry), ARRIVALS):
+        start_live(samples, log, f"{path}/checkpoint", ttl_seconds=ttl).awaitTermination()
+    return log
+
+
+def keyed_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples kept in keyed state; every batch falls between the samples of the ones before."""
+    log = _live_log(spark, sf, "repaired", lambda _: F.col("seq") % ARRIVALS, None)
+    return rounded_metrics(state_metrics(log.latest()))
+
+
+def keyed_retained_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """What state holds of the 600 seconds before the newest arrival, the rest expired by timers."""
+    live = state_metrics(_live_log(spark, sf, "expiring", _by_time, RETENTION_SECONDS).latest()).filter("samples > 0")
+    return live.select(
+        "trip_id", F.col("samples").cast("int").alias("samples"), F.col("speeding_alerts").cast("int").alias("speeding_alerts"),
+        F.col("hard_brakes").cast("int").alias("hard_brakes"), F.col("risk_score").alias("global_risk_score"),
+    )
+
+
+def report_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The events of two cycles and one that repeats the second: reports that changed."""
+    path, telemetry = scratch_dir(spark, "changes"), telemetry_from_events(spark, sf)
+    cycle = Cycle(path, ttl_seconds=None, keep_points=1, on_error="raise")
+    for i in range(3):
+        run_cycle(telemetry.filter(F.col("seq") % 2 == i), cycle, i)
+    start_events(cycle.reports(spark), f"{path}/emitted", f"{path}/checkpoint", seconds=86_400).awaitTermination()
+    emitted = spark.read.schema("trip_id string, event string, data string").json(f"{path}/emitted")
+    return emitted.select(
+        "trip_id", "event",
+        F.get_json_object("data", "$.basic.samples").cast("long").alias("samples"),
+        F.get_json_object("data", "$.global_risk_score").cast("double").alias("score"),
+    )
+
+
 def report_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The live feed as a stream: one event per report of two cycles."""
     path, telemetry = scratch_dir(spark, "feed"), telemetry_from_events(spark, sf)
@@ -677,6 +727,10 @@ QUERIES: dict[str, Query] = {
     "stream_replay": stream_replay,
     "stream_retained_risk": stream_retained_risk,
     "incremental_trip_risk": incremental_trip_risk,
+    "keyed_trip_risk": keyed_trip_risk,
+    "keyed_late_rows": keyed_late_rows,
+    "keyed_retained_risk": keyed_retained_risk,
+    "report_changes": report_changes,
     "report_stream": report_stream,
     "stored_runs": stored_runs,
     "stored_fleet": stored_fleet,
