@@ -35,6 +35,8 @@ SMALL = 6
 # Entries of the tables that one task makes, and the share of fingerprints that tells large buckets.
 ENTRIES = 1_000_000
 SAMPLED = 16
+# Links that one task joins to a forest.
+LINKS = 50_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -135,7 +137,28 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
         if rest is not None:
             yield _links(rest, radius)
 
-    return bucket_cells(distinct, radius, block).mapInPandas(compare, "a long, b long").distinct()
+    found = stage(bucket_cells(distinct, radius, block).mapInPandas(compare, "a long, b long").distinct(), "near-links")
+    # Members of a large group meet in many tables; of their links each task keeps a forest.
+    tasks = max(1, math.ceil(found.count() / LINKS))
+    return found.repartition(tasks).mapInPandas(_spanning, "a long, b long")
+
+
+def _spanning(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of each node to the smallest of those that the given links join it with."""
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = above[up]
+            x = above[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+            a, b = root(a), root(b)
+            above[max(a, b)] = min(a, b)
+    pairs = [(root(x), x) for x in list(above)]
+    yield pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["a", "b"], dtype="int64")
 
 
 def _cell(one: Column, other: Column) -> Column:
