@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripgauge.functions.dates import lenient_time
 from tripgauge.profiles import Profile
 
 # Risk bands, acceleration bands and gauge scale.
@@ -96,8 +97,9 @@ def first_truthy_number(*texts: Column) -> Column:
 def parse_time(text: Column, as_of: Column) -> Column:
     """Timestamp from padded text, or ``as_of``. Spark's cast reads date and time joined
     by a space or a T, with or without a fraction, and shorter forms; unlike a chain of
-    patterns it raises no exception per row for those that do not match."""
-    return F.coalesce(F.trim(text).try_cast("timestamp"), as_of)
+    patterns it raises no exception per row for those that do not match. Only those are
+    then read as people write dates, with the day of ``as_of`` for what they leave out."""
+    return F.coalesce(F.trim(text).try_cast("timestamp"), lenient_time(text, as_of), as_of)
 
 
 def time_of_day(text: Column) -> Column:

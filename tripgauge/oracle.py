@@ -243,6 +243,8 @@ ORACLE: dict[str, str] = {
       FROM ranked JOIN newest USING (trip_id) WHERE back <= 20""",
     "timestamp_parse": f"""{_documents()} SELECT seq AS doc_seq,
       CASE WHEN seq % 5 = 4 THEN epoch_us(TIMESTAMP '2024-01-02') ELSE point_us END AS parsed_us FROM docs""",
+    "timestamp_parse_lenient": f"""WITH {TELEMETRY} SELECT seq, CASE WHEN seq % 9 = 8
+      THEN epoch_us(TIMESTAMP '2024-01-02') ELSE event_us // 1000000 * 1000000 END AS parsed_us FROM tel""",
     "latest_report": f"{STORED} SELECT * FROM stored ORDER BY created_seq DESC, trip_id LIMIT 1",
     "report_history": f"{STORED} SELECT * FROM stored ORDER BY created_seq DESC, trip_id LIMIT 50",
     "report_history_processed": f"{STORED} SELECT * FROM stored ORDER BY processed_us DESC, trip_id LIMIT 50",

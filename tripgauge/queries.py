@@ -323,6 +323,25 @@ def timestamp_parse(spark: SparkSession, sf: str) -> DataFrame:
     return texts.select("doc_seq", F.unix_micros(parsed).alias("parsed_us"))
 
 
+# Ways to write an instant, to the second.
+WRITTEN = (
+    "MMMM d, yyyy h:mm:ss a", "EEEE, dd MMM yyyy HH:mm:ss", "d-MMM-yyyy HH:mm:ss", "MM/dd/yyyy hh:mm:ssa",
+    "dd MMMM yyyy 'at' HH:mm:ss", "HH:mm:ss yyyy/MM/dd", "dd MMM yy HH:mm:ss", "EEE MMM d HH:mm:ss yyyy",
+)
+
+
+def timestamp_parse_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    """Every sample's time, to the second, in a form Spark's own cast doesn't read; each
+    ninth is no date at all."""
+    samples = telemetry_from_events(spark, sf)
+    form = F.col("seq") % (len(WRITTEN) + 1)
+    text = F.lit("about noon")
+    for i, pattern in enumerate(WRITTEN):
+        text = F.when(form == i, F.date_format("event_time", pattern)).otherwise(text)
+    parsed = parse_time(text, instant("2024-01-02 00:00:00"))
+    return samples.select("seq", F.unix_micros(parsed).alias("parsed_us"))
+
+
 def _headline(reports: DataFrame) -> DataFrame:
     return reports.select(
         "trip_id", "created_seq", micros("processed_at").alias("processed_us"), "global_risk_score", "position.lat"
@@ -699,6 +718,7 @@ QUERIES: dict[str, Query] = {
     "report_upsert": report_upsert,
     "history_merge": history_merge,
     "timestamp_parse": timestamp_parse,
+    "timestamp_parse_lenient": timestamp_parse_lenient,
     "latest_report": latest_report,
     "report_history": report_history,
     "report_history_processed": report_history_processed,
