@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from tripgauge.functions.columns import parse_time
 from tripgauge.operators.history import latest_by_key, latest_fields
+from tripgauge.operators.kinematics import kinematics, rolling_stats
 from tripgauge.operators.metrics import last_samples
 from tripgauge.operators.quality import dedup_lww
-from tripgauge.operators.slicing import plan_slices
+from tripgauge.operators.slicing import WHOLE_TRIPS, plan_slices, trip_ordinal
 from tripgauge.plans import serving
 from tripgauge.plans.fleet_report import scored_fleet
-from tripgauge.plans.trip_report import audit_view, scored_trips, trip_reports
+from tripgauge.plans.trip_report import audit_view, enriched_samples, scored_trips, trip_reports
+from tripgauge.profiles import CURRENT, LEGACY
 from tripgauge.sources.keyed_log import BUCKET, KeyedLog
-from tripgauge.sources.telemetry import write_bucketed
+from tripgauge.sources.telemetry import read_bucketed, write_bucketed
 
 SHUFFLE = re.compile(r"(?<!Broadcast)Exchange (hash|range|single|Single)")
 
@@ -47,8 +49,54 @@ def test_bucketed_table_needs_no_shuffle(spark, golden, tmp_path):
     assert shuffles(scored_trips(table)) == 0
     assert scored_trips(table).collect() and table.count() == 8
     spark.sql("DROP TABLE bucketed_golden")
-    with pytest.raises(ValueError, match="write_clustered"):
-        write_bucketed(golden, "bucketed_golden", str(tmp_path / "b"), 4, slice_rows=4)
+
+
+@pytest.fixture
+def by_slice(spark, telemetry, tmp_path):
+    """A long trip with positions out of bounds wherever a slice may begin, a short one, and
+    rows without a trip; as a plain table and by slice."""
+    rows = [("L", i // 3 * 1.0, 50.0 + i * 37 % 61, 91.0 if i % 4 else -12.0, -77.0) for i in range(120)]
+    rows += [("S", float(i), 40.0 + i) for i in range(3)] + [(None, float(i), 30.0 + i) for i in range(40)]
+    plain = telemetry(rows)
+    write_bucketed(plain, "by_slice", str(tmp_path / "s"), 4, slice_rows=16)
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    yield plain, *read_bucketed(spark, "by_slice")
+    spark.conf.unset("spark.sql.legacy.bucketedTableScan.outputOrdering")
+    spark.sql("DROP TABLE by_slice")
+
+
+def test_slices_of_long_trips_are_read_without_exchange_or_sort(by_slice):
+    _, table, slices = by_slice
+    assert table.filter("context").count() > 0 and table.select("trip_id", "slice").distinct().count() > 8
+    text = plan(kinematics(table, LEGACY, slices=slices))
+    assert not SHUFFLE.search(text) and "Sort " not in text
+    # What is shuffled to score trips are sums by trip and slice.
+    text = plan(scored_trips(table, slices=slices))
+    assert len(SHUFFLE.findall(text)) == 1 and "Sort " not in text
+
+
+def test_stored_slices_give_what_whole_trips_give(by_slice):
+    plain, table, slices = by_slice
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    for profile in (CURRENT, LEGACY):
+        got = enriched_samples(table, profile, slices=slices)
+        want = enriched_samples(plain, profile, slices=WHOLE_TRIPS)
+        assert rows(got.select(want.columns)) == rows(want)
+    got = rolling_stats(with_accel(table), slices=slices)
+    want = rolling_stats(plain.withColumn("accel", F.col("speed_kmh")), slices=WHOLE_TRIPS)
+    assert rows(got.select(want.columns)) == rows(want)
+    got = trip_ordinal(table, slices).select("seq", "ordinal")
+    assert rows(got) == rows(trip_ordinal(plain, WHOLE_TRIPS).select("seq", "ordinal"))
+    with pytest.raises(ValueError, match="ahead of a slice"):
+        rolling_stats(with_accel(table), rows=30, slices=slices)
+
+
+def with_accel(table):
+    """A stand-in for acceleration that context rows have too."""
+    return table.withColumn("accel", F.col("speed_kmh"))
 
 
 def test_fleet_report_is_one_aggregate(stored):

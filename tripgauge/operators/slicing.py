@@ -29,16 +29,19 @@ LONG_MIN = -(2**63)
 
 @dataclass(frozen=True)
 class TripSlices:
-    """Cut points of the long trips; ``lookup`` is None when there is no long trip."""
+    """Cut points of the long trips; ``lookup`` is None when there is no long trip. With
+    ``stored``, rows bring their ``slice`` along, and with it that many rows ahead of each
+    slice, marked as ``context``."""
 
     lookup: DataFrame | None
     key: str
     time: str
     seq: str
+    stored: int = 0
 
     @property
     def needed(self) -> bool:
-        return self.lookup is not None
+        return self.lookup is not None or self.stored > 0
 
     def named(self) -> Column:
         """The trip as a text that is never null, to join by."""
@@ -47,6 +50,8 @@ class TripSlices:
     def assign(self, df: DataFrame, long_trips_only: bool = False) -> DataFrame:
         """Add each row's ``slice``, 0 for short trips. It follows from the row alone, so
         any rows of the trip may be given, also fewer than the cuts were planned on."""
+        if self.stored:
+            return df.filter(~F.col("context")).drop("context")
         t, s = _place(self.time, self.seq)
 
         def reached(cut: Column) -> Column:
@@ -134,6 +139,10 @@ def over_trips(
     rows at ``columns`` in each trip's order, and never at rows ahead."""
     if not slices.needed:
         return derive(df, [slices.key])
+    if slices.stored:
+        if lookback > slices.stored:
+            raise ValueError(f"the table holds {slices.stored} rows ahead of a slice, not {lookback}")
+        return derive(df, [slices.key, "slice"]).filter(~F.col("context")).drop("context", "slice")
     context = _rows_before_slices(df, lookback, columns, slices).withColumn("context", F.lit(True))
     rows = slices.assign(df).withColumn("context", F.lit(False))
     joined = rows.unionByName(context, allowMissingColumns=True)
@@ -164,6 +173,20 @@ def _rows_before_slices(df: DataFrame, lookback: int, columns: list[str], slices
     return wanted.join(ends.drop("slice", "rn"), ["_trip", "at"]).select(key, "slice", *carried)
 
 
+def with_context(df: DataFrame, lookback: int, slices: TripSlices, *views: DataFrame) -> DataFrame:
+    """All rows with their ``slice``, and ahead of each slice, marked as ``context``, the
+    ``lookback`` rows before it: of ``df`` and of each of ``views``, which are filtered forms
+    of it. Windows over (trip, slice) of ``df`` or of a view then need nothing else."""
+    columns = [c for c in df.columns if c != slices.key]
+    copy = F.row_number().over(Window.partitionBy(slices.key, "slice", *columns).orderBy(F.lit(0)))
+    context = None
+    for view in (df, *views):
+        rows = _rows_before_slices(view, lookback, columns, slices).withColumn("copy", copy)
+        context = rows if context is None else context.unionByName(rows).distinct()
+    rows = slices.assign(df).withColumn("context", F.lit(False))
+    return rows.unionByName(context.drop("copy").withColumn("context", F.lit(True)))
+
+
 def trip_ordinal(df: DataFrame, slices: TripSlices, name: str = "ordinal") -> DataFrame:
     """Number each trip's rows from 1 in time order."""
     order = [slices.time, slices.seq]

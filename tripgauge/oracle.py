@@ -154,6 +154,7 @@ ORACLE: dict[str, str] = {
     "trip_metrics": f"{TRIPS} {FINAL.replace(', risk_score', '')}",
     "trip_risk_score": TRIP_RISK,
     "skew_safe_trip_risk": TRIP_RISK,
+    "bucketed_trip_risk": TRIP_RISK,
     "clustered_store": TRIP_RISK,
     "stream_trip_risk": TRIP_RISK,
     "stream_late_rows": TRIP_RISK,

@@ -33,7 +33,15 @@ from tripgauge.session import scratch_dir
 from tripgauge.sources.adapters import arrivals, telemetry_from_events
 from tripgauge.sources.keyed_log import KeyedLog
 from tripgauge.sources.sinks import audit_rows, read_audit, read_histories, read_reports, upsert_histories
-from tripgauge.sources.telemetry import append_telemetry, normalize, read_csv, read_telemetry, write_clustered
+from tripgauge.sources.telemetry import (
+    append_telemetry,
+    normalize,
+    read_bucketed,
+    read_csv,
+    read_telemetry,
+    write_bucketed,
+    write_clustered,
+)
 from tripgauge.streaming.cycle import Cycle, run_cycle, start_cycle
 from tripgauge.streaming.feed import report_feed
 from tripgauge.streaming.keyed_state import metric_log, start_carried, start_events, start_live, start_summaries
@@ -138,6 +146,14 @@ def skew_safe_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_metrics(scored_trips(telemetry_from_events(spark, sf), slice_rows=SLICE_ALL))
 
 
+def bucketed_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores off a table bucketed by trip and slice."""
+    table = "tripgauge_samples_by_slice"
+    write_bucketed(telemetry_from_events(spark, sf), table, scratch_dir(spark, "bucketed"), 8, SLICE_ALL)
+    stored, slices = read_bucketed(spark, table)
+    return rounded_metrics(scored_trips(stored, slices=slices))
+
+
 def audit_rows_query(spark: SparkSession, sf: str) -> DataFrame:
     rows = audit_rows(scored_trips(telemetry_from_events(spark, sf)), "run-1")
     return rows.select(
@@ -706,6 +722,7 @@ QUERIES: dict[str, Query] = {
     "trip_metrics": trip_metrics_query,
     "trip_risk_score": trip_risk_score,
     "skew_safe_trip_risk": skew_safe_trip_risk,
+    "bucketed_trip_risk": bucketed_trip_risk,
     "audit_rows": audit_rows_query,
     "fleet_report_legacy": fleet_report_legacy,
     "skew_safe_fleet": skew_safe_fleet,

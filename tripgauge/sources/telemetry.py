@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripgauge.operators.slicing import SLICE_ROWS, plan_slices
+from tripgauge.operators.kinematics import ROLLING_ROWS
+from tripgauge.operators.quality import filter_coordinates
+from tripgauge.operators.slicing import SLICE_ROWS, WHOLE_TRIPS, TripSlices, plan_slices, with_context
 from tripgauge.schema import CSV_TIMESTAMP_FORMAT, EXTERNAL_NAMES, TELEMETRY
 
+# Rows ahead of a slice that a bucketed table keeps: as many as any operator looks back.
+STORED_CONTEXT = ROLLING_ROWS - 1
+
 
 def normalize(df: DataFrame) -> DataFrame:
     """Rename external columns to engine names and fill in what is absent."""
@@ -92,16 +97,33 @@ def write_clustered(df: DataFrame, path: str, partitions: int | None = None) ->
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, slice_rows: int = SLICE_ROWS) -> None:
-    """Write telemetry as a table bucketed by trip, from which trips are scored without
-    any shuffle. A trip lies in one bucket, so input with long trips is refused; those
-    belong in ``write_clustered``."""
-    if plan_slices(df, slice_rows=slice_rows).needed:
-        raise ValueError(f"a trip holds more than {slice_rows} samples; use write_clustered")
+    """Write telemetry as a table bucketed and sorted by trip, from which trips are scored
+    without any shuffle. Where a trip is long the table is bucketed by trip *and* slice, and
+    holds, marked as ``context``, the rows a look-back needs ahead of each slice; then
+    only one row per trip and slice is shuffled. Read it with ``read_bucketed``.
+
+    The rows ahead are those of all samples and those inside the coordinate bounds, so both
+    may be scored; under another filter a slice's first rows may lack their predecessors."""
+    slices = plan_slices(df, slice_rows=slice_rows)
+    keys = ["trip_id"]
+    if slices.needed:
+        keys.append("slice")
+        df = with_context(df, STORED_CONTEXT, slices, filter_coordinates(df))
     (
-        df.repartition(buckets, "trip_id")
+        df.repartition(buckets, *keys)
         .write.mode("overwrite")
-        .bucketBy(buckets, "trip_id")
-        .sortBy("trip_id", "event_time", "seq")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys, "event_time", "seq")
         .option("path", path)
         .saveAsTable(table)
     )
+
+
+def read_bucketed(spark: SparkSession, table: str) -> tuple[DataFrame, TripSlices]:
+    """A table of ``write_bucketed`` and the slices its rows come in, for ``kinematics`` and
+    the like. Its files are sorted; with ``spark.sql.legacy.bucketedTableScan.outputOrdering``
+    Spark relies on that and leaves out the sort too."""
+    df = spark.table(table)
+    if "slice" not in df.columns:
+        return df, WHOLE_TRIPS
+    return df, TripSlices(None, "trip_id", "event_time", "seq", STORED_CONTEXT)
