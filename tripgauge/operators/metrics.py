@@ -11,35 +11,41 @@ from tripgauge.functions.columns import (
     stable_round,
     tail,
 )
+from tripgauge.functions.exact import exact_mean
 from tripgauge.operators.kinematics import kinematics
 from tripgauge.operators.quality import moment_order
 from tripgauge.operators.slicing import WHOLE_TRIPS
 from tripgauge.profiles import KEEP_POINTS, Profile
 
 
-def accel_variance() -> Column:
+def accel_variance(exact: bool = False) -> Column:
     """Population variance in one pass, E[X²] − E[X]², not below zero."""
-    mean = F.avg("accel")
-    return F.greatest(F.lit(0.0), F.avg(F.col("accel") * F.col("accel")) - mean * mean)
+    average = exact_mean if exact else F.avg
+    mean = average(F.col("accel"))
+    return F.greatest(F.lit(0.0), average(F.col("accel") * F.col("accel")) - mean * mean)
 
 
-def _measures(profile: Profile) -> list[Column]:
+def _measures(profile: Profile, exact: bool) -> list[Column]:
+    average = exact_mean if exact else F.avg
     return [
         F.count(F.lit(1)).alias("samples"),
-        F.avg("speed_kmh").alias("avg_speed_kmh"),
+        average(F.col("speed_kmh")).alias("avg_speed_kmh"),
         F.max("speed_kmh").alias("max_speed_kmh"),
         F.count_if(is_speeding(profile)).alias("speeding_alerts"),
-        accel_variance().alias("accel_variance"),
+        accel_variance(exact).alias("accel_variance"),
         F.count_if(is_hard_brake(profile)).alias("hard_brakes"),
     ]
 
 
-def trip_metrics(enriched: DataFrame, profile: Profile, keep_points: int | None = None) -> DataFrame:
+def trip_metrics(
+    enriched: DataFrame, profile: Profile, keep_points: int | None = None, exact: bool = False
+) -> DataFrame:
     """One row per trip. With ``keep_points`` also the trip's last samples in time
     order as ``points`` and the position of the newest as ``last_lat``/``last_lon``;
     the input then needs ``in_tail``. Only marked rows are collected, so the array
-    under construction holds at most ``keep_points`` per slice of the trip."""
-    measures = _measures(profile)
+    under construction holds at most ``keep_points`` per slice of the trip. With ``exact``
+    means and variance have the same bits for any partitioning."""
+    measures = _measures(profile, exact)
     if keep_points is None:
         return enriched.groupBy("trip_id").agg(*measures)
     sample = F.struct("event_time", "seq", "speed_kmh", "accel", "lat", "lon")

@@ -155,6 +155,9 @@ ORACLE: dict[str, str] = {
     "trip_risk_score": TRIP_RISK,
     "skew_safe_trip_risk": TRIP_RISK,
     "bucketed_trip_risk": TRIP_RISK,
+    "exact_trip_metrics": f"""{TRIPS} SELECT trip_id, samples,
+      (200 * cents + samples) // (2 * samples) / 1e4::DOUBLE AS avg_speed_kmh,
+      round(round(variance, 9), 4) AS accel_variance, TRUE AS same_bits FROM met""",
     "clustered_store": TRIP_RISK,
     "stream_trip_risk": TRIP_RISK,
     "stream_late_rows": TRIP_RISK,

@@ -21,7 +21,7 @@ from tripgauge.functions.columns import (
 )
 from tripgauge.operators.history import replace_documents
 from tripgauge.operators.kinematics import kinematics, rolling_stats
-from tripgauge.operators.metrics import last_points, last_position
+from tripgauge.operators.metrics import last_points, last_position, trip_metrics
 from tripgauge.operators.quality import dedup_lww, filter_coordinates, retain
 from tripgauge.operators.slicing import plan_slices, trip_ordinal
 from tripgauge.plans import serving
@@ -146,6 +146,24 @@ def skew_safe_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_metrics(scored_trips(telemetry_from_events(spark, sf), slice_rows=SLICE_ALL))
 
 
+def exact_trip_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics from exact sums, and whether samples dealt out otherwise give the same bits."""
+    enriched = enriched_samples(telemetry_from_events(spark, sf), CURRENT)
+    one = trip_metrics(enriched, CURRENT, exact=True)
+    other = trip_metrics(enriched.repartition(7, "seq"), CURRENT, exact=True)
+    raw = ["avg_speed_kmh", "accel_variance"]
+    alike = other.select("trip_id", *[F.col(c).alias(f"other_{c}") for c in raw])
+    same = F.lit(True)
+    for c in raw:
+        same = same & F.col(c).eqNullSafe(F.col(f"other_{c}"))
+    return one.join(alike, "trip_id").select(
+        "trip_id",
+        "samples",
+        *[stable_round(F.col(c), 4).alias(c) for c in raw],
+        same.alias("same_bits"),
+    )
+
+
 def bucketed_trip_risk(spark: SparkSession, sf: str) -> DataFrame:
     """Scores off a table bucketed by trip and slice."""
     table = "tripgauge_samples_by_slice"
@@ -722,6 +740,7 @@ QUERIES: dict[str, Query] = {
     "trip_metrics": trip_metrics_query,
     "trip_risk_score": trip_risk_score,
     "skew_safe_trip_risk": skew_safe_trip_risk,
+    "exact_trip_metrics": exact_trip_metrics,
     "bucketed_trip_risk": bucketed_trip_risk,
     "audit_rows": audit_rows_query,
     "fleet_report_legacy": fleet_report_legacy,
