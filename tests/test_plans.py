@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,26 @@ def test_lookup_reads_one_bucket(spark, golden, tmp_path):
     assert log.latest(key="none").isEmpty()
 
 
+def test_lookup_skips_what_lies_beside_the_key(spark, tmp_path):
+    """Files are sorted by key: of a batch of many pages one lookup reads few."""
+    trips = 400_000
+    rows = spark.range(trips).select(F.format_string("T%06d", F.col("id") * 7919 % trips).alias("trip_id"), "id")
+    log = KeyedLog(spark, str(tmp_path / "log"), rows.schema, buckets=2)
+    log.write(rows.repartition(8), 0)
+    files = [f for f in (tmp_path / "log" / "batches").rglob("*.parquet")]
+    for f in files:
+        keys = pq.ParquetFile(f).read(columns=["trip_id"]).column(0).to_pylist()
+        assert keys == sorted(keys)
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == trips
+    found = spark.read.parquet(*map(str, files)).filter("trip_id = 'T000500'")
+    found.collect()
+    nodes = found._jdf.queryExecution().executedPlan().collectLeaves()
+    read = sum(nodes.apply(i).metrics().apply("numOutputRows").value() for i in range(nodes.length()))
+    # A page holds 20,000 rows, and the page index leaves one or two a file.
+    assert 1 <= read < trips * 0.25
+    assert [r.id for r in log.latest(key="T000500").collect()] == [r.id for r in rows.filter("trip_id = 'T000500'").collect()]
+
+
 def test_last_writes_of_batches_need_no_sort(stored):
     text = plan(dedup_lww(stored.withColumn("batch_id", F.lit(1).cast("long"))))
     assert "SortAggregate" not in text and "HashAggregate" in text
