@@ -134,10 +134,6 @@ def near_rows(
         fp = np.fromiter(map(word_print, words), np.uint64, len(texts))
         return pd.DataFrame({"fp": fp.view(np.int64), "node": [sha256(b" ".join(w)).hexdigest() for w in words]})
 
-    @F.pandas_udf("binary")
-    def shingle_bytes(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
-
     raw = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     own = F.sha2(raw.cast("binary"), 256).alias("own")
     prints = stage(
@@ -151,13 +147,14 @@ def near_rows(
     )
     several = placed.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stage(placed.join(several, "region"), "near-members")
-    sets = stage(
-        docs.select(own, raw.alias("content")).join(members, "own").groupBy("region", "n", "node", "fp")
+    # A node's digest is that of one text: grouped by it too, whole texts move by digest once.
+    texts = stage(
+        docs.select(own, raw.alias("content")).join(members, "own").groupBy("own", "region", "n", "node", "fp")
         .agg(F.first("content").alias("content"))
-        .select("region", "n", "node", "fp", shingle_bytes("content").alias("shingles")),
-        "near-sets",
+        .select("region", "n", "node", "fp", "content"),
+        "near-texts",
     )
-    links = _links_of(sets, radius, similarity, block)
+    links = _links_of(texts, shingle, radius, similarity, block)
     classes = components(links)
     return prints.join(classes, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("group"))
 
@@ -175,12 +172,13 @@ def _counted(texts: DataFrame) -> DataFrame:
     return texts.drop("n").join(texts.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region")
 
 
-def _links_of(sets: DataFrame, radius: int, similarity: float, block: int) -> DataFrame:
-    """Links ``a, b`` that join the texts of each class of ``region, n, node, fp, shingles``."""
+def _links_of(texts: DataFrame, shingle: int, radius: int, similarity: float, block: int) -> DataFrame:
+    """Links ``a, b`` that join the texts of each class of ``region, n, node, fp, content``. Texts
+    move rather than their shingles, which take more room and don't compress."""
 
     def cell_of(rows: pd.DataFrame, root: np.ndarray) -> Cell:
         fp = rows["fp"].to_numpy(np.int64).view(np.uint64)
-        return Cell(fp, [np.frombuffer(s, np.uint64) for s in rows["shingles"]], root, radius, similarity)
+        return Cell(fp, [shingle_set(t, shingle) for t in rows["content"]], root, radius, similarity)
 
     def within(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node", ignore_index=True)
@@ -192,7 +190,7 @@ def _links_of(sets: DataFrame, radius: int, similarity: float, block: int) -> Da
         return pd.DataFrame({"region": rows["region"], "node": nodes, "head": nodes[first[of]], "blocks": rows["blocks"]})
 
     kind = "region long, node string, head string, blocks int"
-    active, left, found, salt = sets, None, None, 0
+    active, left, found, salt = texts, None, None, 0
     while True:
         judged = stage(_dealt(active, block, salt).groupBy("region", "block").applyInPandas(within, kind), "near-heads")
         links = judged.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
@@ -202,8 +200,8 @@ def _links_of(sets: DataFrame, radius: int, similarity: float, block: int) -> Da
         # Rounds go on while they at least halve what is open.
         if not now or left is not None and 2 * now > left:
             break
-        active, left, salt = _counted(sets.filter(F.col("n") > block).join(heads, "node", "left_semi")), now, salt + 1
-    large = sets.filter(F.col("n") > block)
+        active, left, salt = _counted(texts.filter(F.col("n") > block).join(heads, "node", "left_semi")), now, salt + 1
+    large = texts.filter(F.col("n") > block)
     if large.head() is None:
         return found
     classes = components(found)
@@ -212,7 +210,7 @@ def _links_of(sets: DataFrame, radius: int, similarity: float, block: int) -> Da
     largest = sizes.groupBy("region").agg(
         F.max(F.struct("size", "class")).getField("class").alias("largest"), F.count(F.lit(1)).alias("classes")
     ).filter("classes > 1")
-    open_ = stage(placed.join(largest, "region").select("region", "n", "node", "fp", "shingles", "class", "largest"), "near-open")
+    open_ = stage(placed.join(largest, "region").select("region", "n", "node", "fp", "content", "class", "largest"), "near-open")
     if open_.head() is None:
         return found
 
@@ -235,7 +233,7 @@ def _links_of(sets: DataFrame, radius: int, similarity: float, block: int) -> Da
         """Each text once per block of the other side."""
         every: Column = F.explode(F.sequence(F.lit(0), F.col(most) - 1))
         return texts.join(counts, "region").select(
-            "region", "node", "fp", "shingles", "class", F.lit(side).alias("side"), F.col("block").alias(mine), every.alias(other)
+            "region", "node", "fp", "content", "class", F.lit(side).alias("side"), F.col("block").alias(mine), every.alias(other)
         )
 
     cells = copies(outside, 0, "i", "j", "all_blocks").unionByName(copies(dealt, 1, "j", "i", "out_blocks"))
