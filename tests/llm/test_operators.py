@@ -278,31 +278,78 @@ def test_bundle_has_many_frames_and_reads_front_to_back(tmp_path):
 
 # language model
 
-@pytest.mark.parametrize("block_bytes", [500, 1 << 20])
-def test_scores(docs, block_bytes):
+def plain_model(learnt, order):
+    """The probability of a word after the words of a text so far, by its recursive definition."""
+    count = collections.Counter()
+    for t in learnt:
+        for i in range(len(t)):
+            for m in range(order):
+                # An end comes before the text, and nothing before that.
+                if i - m >= -1:
+                    count[tuple([b"\n", *t][i - m + 1:i + 2])] += 1
+    single = {g: c for g, c in count.items() if len(g) == 1}
+    n, v = sum(single.values()), len(single)
+
+    def chance(context, word):
+        if not context:
+            return (count[word,] + 1) / (n + v + 1)
+        lower = chance(context[1:], word)
+        return lm.TRUST * (count[*context, word] + lm.PRIOR * lower) / (count[context] + lm.PRIOR) + (1 - lm.TRUST) * lower
+
+    return chance, single, n
+
+
+@pytest.mark.parametrize("block_bytes,order", [(500, 3), (1 << 20, 1), (1 << 20, 2), (1 << 20, 3), (2000, 4)])
+def test_scores(docs, block_bytes, order):
     rows = docs.collect()
     tokens = [ascii_lower(r["text"]).encode().split() + [b"\n"] for r in rows]
     held = [zlib.crc32(str(r["doc_id"] if r["doc_id"] is not None else "").encode()) % 7 == 2 for r in rows]
-    count, pairs = collections.Counter(), collections.Counter()
-    for t, h in zip(tokens, held, strict=True):
-        if not h:
-            count.update(t)
-            pairs.update(zip([b"\n", *t], t))
-    n, v = sum(count.values()), len(count)
+    chance, count, n = plain_model([t for t, h in zip(tokens, held, strict=True) if not h], order)
     want = []
     for r, t, h in zip(rows, tokens, held, strict=True):
-        root = [(count[w] + 1) / (n + v + 1) for w in t]
-        steps = [
-            lm.TRUST * (pairs[a, w] + lm.PRIOR * p) / (count[a] + lm.PRIOR) + (1 - lm.TRUST) * p
-            for a, w, p in zip([b"\n", *t], t, root)
-        ]
-        want.append((r["doc_id"], h, len(t), sum(count[w] > 0 for w in t), n,
-                     round(sum(map(math.log10, root)), 6), round(sum(map(math.log10, steps)), 6)))
+        before = [b"\n", *t]
+        base = [math.log10(chance((), w)) for w in t]
+        steps = [math.log10(chance(tuple(before[max(0, i + 2 - order):i + 1]), w)) for i, w in enumerate(t)]
+        want.append((r["doc_id"], h, len(t), sum((w,) in count for w in t), n, round(sum(base), 6), round(sum(steps), 6)))
     got = [tuple(round(x, 6) if isinstance(x, float) else x for x in r)
-           for r in lm.score_texts(docs, block_bytes=block_bytes).collect()]
+           for r in lm.score_texts(docs, block_bytes=block_bytes, order=order).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+@pytest.mark.parametrize("kind", ["string", "decimal(20,0)", "int"])
+def test_scores_with_ids_of_any_type(spark, kind):
+    docs = spark.createDataFrame([(1, "a b a b"), (2, "a b"), (None, None)], "doc_id int, text string")
+    got = lm.score_texts(docs.withColumn("doc_id", F.col("doc_id").cast(kind)))
+    assert got.schema["doc_id"].dataType.simpleString() == kind
+    plain = {r["doc_id"]: r["score"] for r in lm.score_texts(docs).collect()}
+    assert {None if r["doc_id"] is None else int(r["doc_id"]): r["score"] for r in got.collect()} == plain
+
+
+def test_arcs_of_a_state_add_up():
+    """What a state's arcs weigh, and what its failure arc passes to words it lacks, make one."""
+    import pyarrow as pa
+
+    spaces = {m: keycount.KeySpace(7, 8) for m in (1, 2, 3)}
+    grams = lm.BlockGrams(pa.chunked_array([["a b c a b", "b c b a", "c c a b c"]]), spaces)
+    counts = {m: grams.counts(m, np.ones(len(grams.at[1]), np.int64)) for m in spaces}
+    words = len(counts[1])
+    model = lm.Automaton(grams, counts, int(counts[1].sum()), words, lm.PRIOR, lm.TRUST)
+
+    def chance(state, word):
+        arc = model.arcs.get(state * words + word)
+        return 10 ** model.weights[arc] if arc is not None else 10 ** model.back[state] * chance(model.failure[state], word)
+
+    ends = {t for a, t in enumerate(model.targets) if list(model.arcs)[a] % words == grams.end}
+    for state in range(len(model.failure)):
+        if state not in ends or state == model.start:
+            unseen = 10 ** _back_to_root(model, state) / (counts[1].sum() + words + 1)
+            assert sum(chance(state, w) for w in range(words)) + unseen == pytest.approx(1)
+
+
+def _back_to_root(model, state):
+    return 0 if state == 0 else model.back[state] + _back_to_root(model, model.failure[state])
+
+
 # repeated byte strings
 
 @pytest.mark.parametrize("block_bytes", [2000, 1 << 20])

@@ -1,16 +1,16 @@
 """Scoring texts with a smoothed n-gram model as a weighted backoff automaton.
 
-Words with their counts are arcs from the root. Every word is a state too, whose arcs are
-the pairs it begins, and its failure arc leads to the root. A state with count c trusts its
-pairs by t · c / (c + k); the rest is the weight of the failure arc, t · k / (c + k) + 1 - t, at
-which a word that the state lacks is read from the root, and which is added to the arcs
-it has. All weights of a state add up to one. A text is traversed once from left to
-right, the state and the sum of logarithms carried.
-
-The model grows with the corpus, so no task holds all of it. Texts are dealt to blocks. A block
-asks for the counts of the words and pairs it holds. The automaton is of order 2 and is not built
-as states and arcs: a state is the word before, so that a traversal is arrays of the
-words and pairs of a block, summed by text.
+States are the contexts that were learnt: the root without a word, and every n-gram of fewer than
+``order`` words that occurs in the texts learnt from. A state has an arc for every word seen after it, to
+the longest context that is left then, and a failure arc to the context without its first
+word. A state of count c trusts its arcs by t · c / (c + k); the rest, t · k / (c + k) + 1 - t, is the weight
+of the failure arc, by which a word that the state lacks is read further down, and which goes, times
+the weight below, into the arcs it has. All weights of a state add up to one. The root has an
+arc for every word, at (c + 1) / (N + V + 1). A text is traversed once from left to right, from the
+state after an end; the state is carried and logarithms of the weights add up.
+
+The automaton grows with the corpus, so no task holds all of it. Texts are dealt to blocks. A block
+asks for the counts of the n-grams it holds and builds the states and arcs its texts can reach.
 """
 
 from __future__ import annotations
@@ -20,21 +20,26 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tripgauge.llm.blocks import co_located, text_blocks
 from tripgauge.llm.common import held_out, stage
 from tripgauge.llm.keycount import REQUEST, KeySpace, count_keys, mixed, replies_of, requests_table, unsqueezed
 
 BLOCK_BYTES = 6 << 20
-# k: how many observations the root's weights stand for. t: the most that a state is trusted.
+# Words of the longest n-grams.
+ORDER = 3
+# k: how many observations the lower order stands for. t: the most that a state is trusted.
 PRIOR = 5.0
 TRUST = 0.5
-WORD, PAIR = 1, 2
+# Requests of n-grams have the number of their words as kind.
+WORD = 1
 # Bytes of a key beside the bucket's bits. Words are counted exactly but for one in 2^29
-# that meets another's key; of pairs that may befall one in 2^21.
-WORD_BYTES, PAIR_BYTES = 6, 5
+# that meets another's key; of longer n-grams that may befall one in 2^21.
+WORD_BYTES, GRAM_BYTES = 6, 5
 # No word, as it is a space character.
 END = b"\n"
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class BlockText:
@@ -70,21 +75,101 @@ def _hash(words: list[bytes]) -> np.ndarray:
 
 
 class BlockGrams:
-    """Keys of the words and pairs of a block."""
+    """The n-grams of a block by their number of words: ``keys[m]`` are the distinct ones, sorted, and
+    ``at[m]`` has for every token the number of the one that ends there, -1 where the text hasn't
+    so many words yet. A text is preceded by one end."""
 
-    def __init__(self, texts: pa.ChunkedArray, of_words: KeySpace, of_pairs: KeySpace):
+    def __init__(self, texts: pa.ChunkedArray, spaces: dict[int, KeySpace]):
         self.text = text = BlockText(texts)
+        self.order = max(spaces)
         own = text.hashes[text.token]
+        self.keys, of_token = {}, {}
+        self.keys[1], number = np.unique(spaces[1].reduce(mixed(text.hashes)), return_inverse=True)
+        of_token[1] = number[text.token]
+        self.end = int(number[-1])
+        self.first: dict[int, np.ndarray] = {}
+        place = np.arange(len(own)) - np.repeat(text.starts, text.lengths)
         before = np.roll(own, 1)
-        # The state at the start of a text is that of the end token.
         before[text.starts] = text.hashes[-1]
-        self.words, at = np.unique(of_words.reduce(mixed(text.hashes)), return_inverse=True)
-        self.word = at[text.token]
-        self.end = at[-1]
-        pairs = mixed(before * np.uint64(0x9E3779B97F4A7C15) + own)
-        self.pairs, self.pair = np.unique(of_pairs.reduce(pairs), return_inverse=True)
-        self.state = np.roll(self.word, 1)
-        self.state[text.starts] = self.end
+        gram = own
+        for m in range(2, self.order + 1):
+            # What ends at the token before, its last word, and this one.
+            ahead = before if m == 2 else np.roll(gram, 1)
+            gram = mixed(ahead * STEP + own)
+            real = np.flatnonzero(place >= m - 2)
+            self.keys[m], first, number = np.unique(
+                spaces[m].reduce(gram[real]), return_index=True, return_inverse=True
+            )
+            self.first[m] = real[first]
+            of_token[m] = np.full(len(own), -1, np.int64)
+            of_token[m][real] = number
+        self.at = of_token
+
+    def counts(self, m: int, learnt: np.ndarray) -> np.ndarray:
+        """How often each of ``keys[m]`` occurs at the tokens that ``learnt`` marks with 1."""
+        at = self.at[m]
+        real = at >= 0
+        return np.bincount(at[real], weights=learnt[real], minlength=len(self.keys[m])).astype(np.int64)
+
+
+class Automaton:
+    """The states and arcs that the texts of ``grams`` can reach, ``counts[m]`` being how often each
+    of ``grams.keys[m]`` was learnt, of ``tokens`` in all, ``words`` of them distinct."""
+
+    def __init__(self, grams: BlockGrams, counts: dict[int, np.ndarray], tokens: int, words: int, prior: float, trust: float):
+        text, order = grams.text, grams.order
+        # States: the root is 0, then the learnt n-grams of each length, -1 for what is none.
+        state, n_states = {}, 1
+        for m in range(1, order):
+            learnt = counts[m] > 0
+            state[m] = np.where(learnt, n_states - 1 + np.cumsum(learnt), -1)
+            n_states += int(learnt.sum())
+        failure = np.zeros(n_states, np.int64)
+        back = np.ones(n_states)
+        self.width = len(grams.keys[1])
+        weight = (counts[1] + 1.0) / (tokens + words + 1.0)
+        target = np.maximum(state[1], 0) if order > 1 else np.zeros(self.width, np.int64)
+        keys, weights, targets = [np.arange(self.width)], [weight], [target]
+        for m in range(2, order + 1):
+            first = grams.first[m]
+            # Of each n-gram: the one without its last word, whose arc it is, and that without its first.
+            context = np.full(len(first), grams.end)
+            inner = first > np.repeat(text.starts, text.lengths)[first]
+            context[inner] = grams.at[m - 1][first[inner] - 1]
+            below = grams.at[m - 1][first]
+            seen, source = counts[m - 1][context], state[m - 1][context]
+            rest = trust * prior / (seen + prior) + (1.0 - trust)
+            weight = trust * counts[m] / (seen + prior) + rest * weight[below]
+            real = (counts[m] > 0) & (source >= 0)
+            back[source[source >= 0]] = rest[source >= 0]
+            if m < order:
+                target = state[m]
+                held = target >= 0
+                failure[target[held]] = np.maximum(state[m - 1][below[held]], 0)
+            else:
+                target = state[m - 1][below]
+            keys.append(source[real] * self.width + grams.at[1][first[real]])
+            weights.append(weight[real])
+            targets.append(np.maximum(target[real], 0))
+        self.start = int(max(state[1][grams.end], 0)) if order > 1 else 0
+        self.failure, self.back = failure.tolist(), np.log10(back).tolist()
+        self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys))), strict=True))
+        self.weights, self.targets = np.log10(np.concatenate(weights)).tolist(), np.concatenate(targets).tolist()
+
+    def score(self, words: list[int]) -> float:
+        """The sum of logarithms along the path of a text's words."""
+        arcs, width, failure, back = self.arcs, self.width, self.failure, self.back
+        weights, targets = self.weights, self.targets
+        state, total = self.start, 0.0
+        for word in words:
+            arc = arcs.get(state * width + word)
+            while arc is None:
+                total += back[state]
+                state = failure[state]
+                arc = arcs.get(state * width + word)
+            total += weights[arc]
+            state = targets[arc]
+        return total
 
 
 def score_texts(
@@ -94,25 +179,25 @@ def score_texts(
     prior: float = PRIOR,
     trust: float = TRUST,
     block_bytes: int = BLOCK_BYTES,
+    order: int = ORDER,
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``): ``held_out, n_tokens, n_known, train_tokens,
-    base_score, score``. Learns from rows that aren't held out: those whose crc32 of the id
-    leaves another remainder; a null id counts as ''. Null texts are empty: one token, the
-    end. Repeated rows count as often as they occur. Without rows to learn from every word
-    is unknown and equally likely."""
+    base_score, score``. Learns n-grams of up to ``order`` words from rows that aren't held out: those
+    whose crc32 of the id leaves another remainder; a null id counts as ''. Ids may be of any
+    type that casts to text. Null texts are empty: one token, the end. Repeated rows count as often
+    as they occur. Without rows to learn from every word is unknown and equally likely."""
     dealt, n = text_blocks(docs.select("doc_id", "text"), block_bytes)
     blocks = co_located(dealt.withColumn("held_out", held_out(F.col("doc_id"), modulus, remainder)), n)
     expected = n * block_bytes // 6
-    of_words, of_pairs = KeySpace.for_keys(expected, WORD_BYTES), KeySpace.for_keys(expected, PAIR_BYTES)
+    spaces = {m: KeySpace.for_keys(expected, WORD_BYTES if m == 1 else GRAM_BYTES) for m in range(1, order + 1)}
 
     def ask(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        grams = BlockGrams(table["text"], of_words, of_pairs)
+        grams = BlockGrams(table["text"], spaces)
         learnt = np.repeat(~np.asarray(table["held_out"]), grams.text.lengths).astype(np.int64)
-        words = np.bincount(grams.word, weights=learnt, minlength=len(grams.words)).astype(np.int64)
-        pairs = np.bincount(grams.pair, weights=learnt, minlength=len(grams.pairs)).astype(np.int64)
-        rows = of_words.pack(WORD, block, grams.words, words) + of_pairs.pack(PAIR, block, grams.pairs, pairs)
-        return requests_table(rows)
+        return requests_table([
+            row for m, space in spaces.items() for row in space.pack(m, block, grams.keys[m], grams.counts(m, learnt))
+        ])
 
     requests = blocks.groupBy("block").applyInArrow(ask, REQUEST)
     replies = stage(count_keys(requests), "lm-counts")
@@ -120,34 +205,31 @@ def score_texts(
     # Every training text's tokens, from the counts the blocks were told of: each key has one owner.
     owned = _owned_total(replies.filter(f"block >= 0 AND kind = {WORD}"))
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, " \
+    id_type = docs.schema["doc_id"].dataType
+    schema = f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, " \
              "base_score double, score double"
-    id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
-    names = [c.split()[0] for c in schema.split(", ")]
+    id_arrow = to_arrow_type(id_type)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def traverse(table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({n: pa.array([], t) for n, t in zip(names, [
                 id_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)})
-        grams = BlockGrams(table["text"], of_words, of_pairs)
-        words, _ = replies_of(told, WORD)
-        pairs, _ = replies_of(told, PAIR)
-        # Arcs of the root, and of each state with its failure arc folded in.
-        root = (words + 1.0) / (owned + vocabulary + 1.0)
-        arc = root[grams.word]
-        of_state = words[grams.state]
-        failure = trust * prior / (of_state + prior) + (1.0 - trust)
-        step = trust * pairs[grams.pair] / (of_state + prior) + failure * arc
-        starts = grams.text.starts
+        grams = BlockGrams(table["text"], spaces)
+        counts = {m: replies_of(told, m)[0] for m in spaces}
+        model = Automaton(grams, counts, owned, vocabulary, prior, trust)
+        word, starts, lengths = grams.at[1], grams.text.starts, grams.text.lengths
+        known = counts[1][word] > 0
+        base = np.log10((counts[1] + 1.0) / (owned + vocabulary + 1.0))[word]
+        scores = [model.score(word[a:a + size].tolist()) for a, size in zip(starts, lengths, strict=True)]
         return pa.table({
             "doc_id": table["doc_id"].combine_chunks().cast(id_arrow),
             "held_out": table["held_out"].combine_chunks(),
-            "n_tokens": pa.array(grams.text.lengths, pa.int64()),
-            "n_known": pa.array(np.add.reduceat((words[grams.word] > 0).astype(np.int64), starts), pa.int64()),
+            "n_tokens": pa.array(lengths, pa.int64()),
+            "n_known": pa.array(np.add.reduceat(known.astype(np.int64), starts), pa.int64()),
             "train_tokens": pa.array(np.full(len(starts), owned), pa.int64()),
-            "base_score": pa.array(np.add.reduceat(np.log10(arc), starts)),
-            "score": pa.array(np.add.reduceat(np.log10(step), starts)),
+            "base_score": pa.array(np.add.reduceat(base, starts)),
+            "score": pa.array(scores, pa.float64()),
         })
 
     return (
