@@ -47,10 +47,9 @@ class KeySpace:
         """Request rows of one block's reduced keys, which are distinct and sorted."""
         rows = []
         for bucket, part in self.buckets(keys):
-            low = (keys[part] & ((np.uint64(1) << self._shift()) - np.uint64(1))).astype("<u8")
-            data = low.view(np.uint8).reshape(-1, 8)[:, : self.width].tobytes()
+            low = keys[part] & ((np.uint64(1) << self._shift()) - np.uint64(1))
             packed = smallest(counts[part])
-            rows.append((kind, bucket, block, data, packed.tobytes(), packed.itemsize))
+            rows.append((kind, bucket, block, packed_keys(low), packed.tobytes(), packed.itemsize))
         return rows
 
     def buckets(self, keys: np.ndarray) -> list[tuple[int, slice]]:
@@ -64,11 +63,19 @@ class KeySpace:
         ]
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps from one to the next, in as many bytes as the largest takes: all
+    first bytes, then all second ones. Leading bytes are small, and so shrink."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return squeezed(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
+
+
 def unpacked(data: bytes, n: int) -> np.ndarray:
-    rows = np.frombuffer(data, np.uint8).reshape(n, -1)
+    columns = np.frombuffer(unsqueezed(data), np.uint8).reshape(-1, n)
     out = np.zeros((n, 8), np.uint8)
-    out[:, : rows.shape[1]] = rows
-    return out.view("<u8").ravel()
+    out[:, : len(columns)] = columns.T
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
 
 
 def squeezed(data: bytes) -> bytes:
