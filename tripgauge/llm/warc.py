@@ -16,17 +16,20 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm.common import stage
+from tripgauge.llm.common import pieces_of, stage
 from tripgauge.session import scratch_dir
 
 # Raw bytes in a frame and compressed bytes in a bundle, about.
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 256 << 20
+# Raw bytes of records that one task reads back, about.
+READ_BYTES = 64 << 20
 # Payloads below this are never stored as a revisit.
 LEAST_REVISIT = 100
 
@@ -222,7 +225,7 @@ def record_name(page: str | None) -> str:
 
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
     """Every record of the bundles that ``index`` names: ``record_id, record_type, refers_to,
-    payload_bytes, payload_digest, payload``. A task opens a bundle, reads its seek table
+    payload_bytes, payload_digest, payload``. A task opens a bundle, reads its seek table once
     and then one frame after the other. Digests of responses are made anew from what
     was read and must be those of the header."""
 
@@ -231,31 +234,39 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
 
         system, path = open_folder(folder)
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for (bundle, frame), part in batch.groupby(["bundle", "frame"], sort=True):
-                with system.open_input_file(f"{path}/{bundle}") as file:
-                    start, packed, raw = seek_table(file)[frame]
+        with ExitStack() as opened:
+            name, file, frames = None, None, []
+            for batch in batches:
+                for (bundle, frame), part in batch.groupby(["bundle", "frame"], sort=True):
+                    if bundle != name:
+                        opened.close()
+                        file = opened.enter_context(system.open_input_file(f"{path}/{bundle}"))
+                        name, frames = bundle, seek_table(file)
+                    start, packed, raw = frames[frame]
                     file.seek(start)
-                    data = unpack.decompress(file.read(packed), max_output_size=raw)
-                rows = []
-                for at, size in zip(part["record_start"], part["record_size"], strict=True):
-                    headers, payload = parse_record(data[at:at + size])
-                    digest = headers["warc-payload-digest"].removeprefix("sha256:")
-                    refers = headers.get("warc-refers-to")
-                    if not refers and hashlib.sha256(payload).hexdigest() != digest:
-                        raise ValueError(f"digest of {headers['warc-record-id']} differs")
-                    rows.append((
-                        headers["warc-record-id"].strip("<>"), headers["warc-type"],
-                        refers and refers.strip("<>"), int(headers["warc-payload-length"]), digest,
-                        None if refers else payload,
-                    ))
-                yield pd.DataFrame(rows, columns=names)
+                    yield records_of(part, unpack.decompress(file.read(packed), max_output_size=raw))
+
+    def records_of(part: pd.DataFrame, data: bytes) -> pd.DataFrame:
+        rows = []
+        for at, size in zip(part["record_start"], part["record_size"], strict=True):
+            headers, payload = parse_record(data[at:at + size])
+            digest = headers["warc-payload-digest"].removeprefix("sha256:")
+            refers = headers.get("warc-refers-to")
+            if not refers and hashlib.sha256(payload).hexdigest() != digest:
+                raise ValueError(f"digest of {headers['warc-record-id']} differs")
+            rows.append((
+                headers["warc-record-id"].strip("<>"), headers["warc-type"],
+                refers and refers.strip("<>"), int(headers["warc-payload-length"]), digest,
+                None if refers else payload,
+            ))
+        return pd.DataFrame(rows, columns=names)
 
     names = ["record_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
     schema = "record_id string, record_type string, refers_to string, payload_bytes long, " \
              "payload_digest string, payload binary"
-    # The rows of one frame come from one task that wrote them side by side.
-    by_frame = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "record_start")
+    # Tasks by the bytes they will read, not by those of the index; each gets a stretch of frames.
+    tasks = pieces_of(index, F.col("record_size"), READ_BYTES)
+    by_frame = index.repartitionByRange(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame", "record_start")
     return by_frame.mapInPandas(read, schema)
 
 
