@@ -352,11 +352,20 @@ def test_arcs_of_a_state_add_up():
     words = len(counts[1])
     model = lm.Automaton(grams, counts, int(counts[1].sum()), words, lm.PRIOR, lm.TRUST)
 
+    # The last word of each n-gram that is an arc.
+    labels = np.full(len(model.targets), -1)
+    labels[:words] = np.arange(words)
+    for m in (2, 3):
+        real = model.arc[m][:-1] >= 0
+        labels[model.arc[m][:-1][real]] = grams.at[1][grams.first[m][real]]
+    arcs = {(int(s), int(w)): a for a, (s, w) in enumerate(zip(model.sources, labels, strict=True))}
+    assert len(arcs) == len(model.targets)
+
     def chance(state, word):
-        arc = model.arcs.get(state * words + word)
+        arc = arcs.get((state, word))
         return 10 ** model.weights[arc] if arc is not None else 10 ** model.back[state] * chance(model.failure[state], word)
 
-    ends = {t for a, t in enumerate(model.targets) if list(model.arcs)[a] % words == grams.end}
+    ends = {model.targets[a] for a, w in enumerate(labels) if w == grams.end}
     for state in range(len(model.failure)):
         if state not in ends or state == model.start:
             unseen = 10 ** _back_to_root(model, state) / (counts[1].sum() + words + 1)

@@ -125,11 +125,13 @@ class Automaton:
             state[m] = np.where(learnt, n_states - 1 + np.cumsum(learnt), -1)
             n_states += int(learnt.sum())
         failure = np.zeros(n_states, np.int64)
-        back = np.ones(n_states)
-        self.width = len(grams.keys[1])
+        back, depth = np.ones(n_states), np.zeros(n_states, np.int8)
         weight = (counts[1] + 1.0) / (tokens + words + 1.0)
-        target = np.maximum(state[1], 0) if order > 1 else np.zeros(self.width, np.int64)
-        keys, weights, targets = [np.arange(self.width)], [weight], [target]
+        target = np.maximum(state[1], 0) if order > 1 else np.zeros(len(weight), np.int64)
+        # Arcs, beginning with those of the root, one per word; ``arc[m]``: which one each n-gram is.
+        arc = {1: np.arange(len(weight))}
+        sources, weights, targets = [np.zeros(len(weight), np.int64)], [weight], [target]
+        n_arcs = len(weight)
         for m in range(2, order + 1):
             first = grams.first[m]
             # Of each n-gram: the one without its last word, whose arc it is, and that without its first.
@@ -142,33 +144,46 @@ class Automaton:
             weight = trust * counts[m] / (seen + prior) + rest * weight[below]
             real = (counts[m] > 0) & (source >= 0)
             back[source[source >= 0]] = rest[source >= 0]
+            depth[state[m - 1][state[m - 1] >= 0]] = m - 1
             if m < order:
                 target = state[m]
                 held = target >= 0
                 failure[target[held]] = np.maximum(state[m - 1][below[held]], 0)
             else:
                 target = state[m - 1][below]
-            keys.append(source[real] * self.width + grams.at[1][first[real]])
+            arc[m] = np.where(real, n_arcs - 1 + np.cumsum(real), -1)
+            n_arcs += int(real.sum())
+            sources.append(source[real])
             weights.append(weight[real])
             targets.append(np.maximum(target[real], 0))
         self.start = int(max(state[1][grams.end], 0)) if order > 1 else 0
-        self.failure, self.back = failure.tolist(), np.log10(back).tolist()
-        self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys))), strict=True))
-        self.weights, self.targets = np.log10(np.concatenate(weights)).tolist(), np.concatenate(targets).tolist()
-
-    def score(self, words: list[int]) -> float:
-        """The sum of logarithms along the path of a text's words."""
-        arcs, width, failure, back = self.arcs, self.width, self.failure, self.back
-        weights, targets = self.weights, self.targets
+        self.sources, self.at = np.concatenate(sources), grams.at
+        # The last entry serves tokens that end no n-gram of this length.
+        self.arc = {m: np.append(a, -1) for m, a in arc.items()}
+        # As views, that are read one by one without a Python object for each entry.
+        self.failure, self.back, self.depth = memoryview(failure), memoryview(np.log10(back)), memoryview(depth)
+        self.weights, self.targets = memoryview(np.log10(np.concatenate(weights))), memoryview(np.concatenate(targets))
+
+    def score(self, start: int, size: int) -> float:
+        """The sum of logarithms along the path of the text of ``size`` tokens from ``start`` on."""
+        failure, back, depth, weights, targets = self.failure, self.back, self.depth, self.weights, self.targets
+        # The arcs that may be taken at each token: of the root, of states of one word, and so on.
+        offered = []
+        for m, arc in self.arc.items():
+            at = self.at[m][start:start + size]
+            offered.append(arc[at].tolist())
         state, total = self.start, 0.0
-        for word in words:
-            arc = arcs.get(state * width + word)
-            while arc is None:
+        words = depth[state]
+        for i in range(size):
+            arc = offered[words][i]
+            while arc < 0:
                 total += back[state]
                 state = failure[state]
-                arc = arcs.get(state * width + word)
+                words -= 1
+                arc = offered[words][i]
             total += weights[arc]
             state = targets[arc]
+            words = depth[state]
         return total
 
 
@@ -221,7 +236,7 @@ def score_texts(
         word, starts, lengths = grams.at[1], grams.text.starts, grams.text.lengths
         known = counts[1][word] > 0
         base = np.log10((counts[1] + 1.0) / (owned + vocabulary + 1.0))[word]
-        scores = [model.score(word[a:a + size].tolist()) for a, size in zip(starts, lengths, strict=True)]
+        scores = [model.score(a, size) for a, size in zip(starts.tolist(), lengths.tolist(), strict=True)]
         return pa.table({
             "doc_id": table["doc_id"].combine_chunks().cast(id_arrow),
             "held_out": table["held_out"].combine_chunks(),
