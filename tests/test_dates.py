@@ -68,3 +68,13 @@ def test_offsets_do_not_depend_on_the_zone_of_the_session(spark):
     noon = int((datetime(2026, 5, 6, 12) - datetime(1970, 1, 1)) / timedelta(microseconds=1))
     assert got["6 May 2026 14:00 +0200"] == noon
     assert got["6 May 2026 14:00"] == noon + 7 * 3_600_000_000
+
+
+def test_years_no_timestamp_holds_are_no_dates(spark):
+    texts = ["300004", "about 300004", "May 6 294247", "about 2147483647", "about 99999999999", "6 May 294246"]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", F.unix_micros(lenient_time(F.col("text"), F.lit(DEFAULT))).alias("us")
+    ).collect()
+    found = {r.text: r.us for r in got}
+    assert {t for t, us in found.items() if us is not None} == {"6 May 294246"}
+    assert found["6 May 294246"] // 31_556_952_000_000 + 1970 == 294_246

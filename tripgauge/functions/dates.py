@@ -31,6 +31,8 @@ HOUR = rf"(?<![\d:./-])(\d{{1,2}}){HALF}"
 OFFSET = r"(?<=[\dm.])\s*(?:(z|utc|gmt)|([+-])(\d{2}):?(\d{2})?)$"
 # A two-digit year is the one nearest to the default day's, at most this far ahead.
 YEARS_AHEAD = 50
+# The last whole year that a timestamp can hold.
+LAST_YEAR = 294_246
 
 
 def _number(text: Column) -> Column:
@@ -171,7 +173,9 @@ def _date(tokens: Column, default: Column) -> Column:
     def first_day(f: Column) -> Column:
         month = F.coalesce(F.when(tokens["named"] > 0, tokens["named"]), f["month"], F.month(default))
         year = F.coalesce(_full_year(f["year"], f["digits"], default), F.year(default))
-        first = F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+        # Beyond it try_make_timestamp fails instead of giving null.
+        held = F.when(year <= LAST_YEAR, year)
+        first = F.try_make_timestamp(held, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date")
         return F.struct(first.alias("first"), f["day"].alias("day"), f.isNotNull().alias("known"))
 
     def whole(m: Column) -> Column:
@@ -203,7 +207,8 @@ def lenient_time(text: Column, default: Column) -> Column:
     ordinals, a weekday (the next such day, where no day is given), ``HH:MM[:SS[.ffffff]]``
     or a bare hour with am or pm, and a closing Z, UTC, GMT or ``+HH[:MM]`` after a time.
     Two-digit years lie within fifty of ``default``, whose day stands in for what is
-    missing. Null, empty and undecipherable text give null, as do impossible dates."""
+    missing. Null, empty and undecipherable text give null, as do impossible dates and
+    years beyond ``LAST_YEAR``."""
 
     def joined(o: Column, c: Column, w: Column, d: Column) -> Column:
         ahead = F.when((w["weekday"] > 0) & ~d["day_given"], (w["weekday"] + 6 - F.weekday(d["date"])) % 7)
