@@ -7,6 +7,7 @@ import time
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import by_key
 from pyspark.sql import functions as F
@@ -142,3 +143,71 @@ def test_acceleration_is_that_of_the_columns(spark, speeds):
 
     want = enriched_samples(spark.createDataFrame(data, TELEMETRY), CURRENT).filter("seq = 2").head()["accel"]
     assert found.tolist() == [want, 0.0, 0.0]
+
+
+class Kept:
+    """State in a dictionary, counting how often it is asked."""
+
+    def __init__(self):
+        self.values, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.values.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.values[key] = value
+
+    def removeKey(self, key):
+        del self.values[key]
+
+    def exists(self):
+        return () in self.values
+
+    def get(self):
+        return self.values[()]
+
+    def update(self, value):
+        self.values[()] = value
+
+    def clear(self):
+        self.values.clear()
+
+
+class Kind:
+    def __init__(self):
+        self.kept = {}
+
+    def getMapState(self, name, *_):
+        return self.kept.setdefault(name, Kept())
+
+    getValueState = getMapState
+
+
+def test_trips_of_a_cell_share_the_calls_for_a_slot():
+    from tripgauge.streaming.keyed_state import LiveTrips
+
+    trips, times = 200, 30
+    r = np.random.default_rng(3)
+    given = pd.DataFrame({
+        "trip_id": np.repeat([f"T{i}" for i in range(trips - 1)] + [None], times),
+        "t": np.tile(np.arange(times) * 20_000_000, trips), "seq": np.arange(trips * times), "at": 0,
+        "v": r.uniform(40, 110, trips * times), "known": True, "inside": r.random(trips * times) > 0.1,
+    })
+    together, states = LiveTrips(CURRENT, False), Kind()
+    together.init(states)
+    late = r.random(len(given)) > 0.5
+    for part in (given[late], given[~late]):
+        (got,) = together.handleInputRows((1,), iter([part]), None)
+    # Ten minutes, put twice and read once; each trip's own value is read and put twice.
+    assert states.kept["samples"].calls == 30 and states.kept["heads"].calls == 4 * trips
+    for i, (trip, own) in enumerate(given.groupby("trip_id", dropna=False, sort=False)):
+        if i % 20 and i != trips - 1:
+            continue
+        alone = LiveTrips(CURRENT, False)
+        alone.init(Kind())
+        (want,) = alone.handleInputRows((1,), iter([own]), None)
+        row = got[got["trip_id"].isna()] if own["trip_id"].isna().all() else got[got["trip_id"] == trip]
+        for c in want.columns.difference(["trip_id", "rows_read", "version"]):
+            assert math.isclose(row[c].iloc[0], want[c].iloc[0], abs_tol=1e-6), (trip, c)

@@ -7,6 +7,10 @@
   late sample is put into its slot and that slot is summed anew; accelerations across two slots come
   from their edges, which are kept with the sums. Other slots aren't read. The later write of
   a trip and time wins. With ``ttl_seconds`` timers on the write times expire samples.
+
+  Both deal trips to ``CELLS`` by a hash. A cell is what the state store is asked for at a time and what
+  numpy works on at a time; in it every trip keeps a state of its own, and the samples of a slot
+  lie together, so that many trips of few samples cost no call each for every slot.
 * ``report_events`` emits a trip's report when it changed, and a ping by timer while it is silent.
 
 State is on RocksDB and belongs to a checkpoint; a restart goes on from it.
@@ -14,6 +18,7 @@ State is on RocksDB and belongs to a checkpoint; a restart goes on from it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +38,8 @@ from tripgauge.streaming.incremental import summarise
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SLOT_SECONDS = 60
+# Part of what a checkpoint holds; can't change later.
+CELLS = 1024
 # Columns of a report that differ from run to run.
 MADE_AT = ("analyzed_at", "processed_at")
 # Stands for a missing time or number; sorts first.
@@ -50,12 +57,17 @@ METRIC_STATE = T.StructType([
     T.StructField("trip_id", T.StringType()), *_SUMS, T.StructField("rows_read", T.LongType()),
     T.StructField("version", T.LongType()),
 ])
-_SAMPLE = np.dtype([("t", "<i8"), ("seq", "<i8"), ("at", "<i8"), ("v", "<f8"), ("known", "?"), ("inside", "?")])
+# ``trip`` counts the trips of a slot in state, and those of a call elsewhere.
+_SAMPLE = np.dtype([
+    ("trip", "<i4"), ("t", "<i8"), ("seq", "<i8"), ("at", "<i8"), ("v", "<f8"), ("known", "?"), ("inside", "?"),
+])
 _SLOT = np.dtype([
-    ("slot", "<i8"), ("rows", "<i8"), ("least_at", "<i8"), ("n", "<i8"), ("speeds", "<i8"), ("speed_sum", "<f8"),
+    ("slot", "<i8"), ("n", "<i8"), ("speeds", "<i8"), ("speed_sum", "<f8"),
     ("most", "<f8"), ("alerts", "<i8"), ("accel", "<f8"), ("square", "<f8"), ("brakes", "<i8"),
     ("first_t", "<i8"), ("first_v", "<f8"), ("last_t", "<i8"), ("last_v", "<f8"),
 ])
+# The slots that a cell holds samples of, and the least write time in each.
+_DUE = np.dtype([("slot", "<i8"), ("least_at", "<i8")])
 
 
 def accelerations(t: np.ndarray, v: np.ndarray, before_t: np.ndarray, before_v: np.ndarray, profile: Profile) -> np.ndarray:
@@ -71,6 +83,10 @@ def _braking(accel: np.ndarray, profile: Profile) -> np.ndarray:
     return accel <= profile.brake_threshold if profile.brake_inclusive else accel < profile.brake_threshold
 
 
+def _by_cell(rows: DataFrame):
+    return rows.withColumn("cell", F.pmod(F.xxhash64("trip_id"), F.lit(CELLS)).cast("int")).groupBy("cell")
+
+
 def _use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
 
@@ -101,20 +117,31 @@ _CARRIED = T.StructType([T.StructField("version", T.LongType()), *[f for f in SU
 
 
 class CarriedTrips(StatefulProcessor):
-    """One value per trip: its sums and newest sample."""
+    """One value per trip: its sums and newest sample. Of a cell, the trips of the batch are read."""
 
     def __init__(self, profile: Profile):
         self.profile = profile
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.carried = handle.getValueState("carried", _CARRIED)
+        self.carried = handle.getMapState("carried", "trip_id string", _CARRIED)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = dict(zip(_CARRIED.fieldNames(), self.carried.get(), strict=True)) if self.carried.exists() else None
-        for later in pd.concat(list(rows)).sort_values("batch_id").to_dict("records"):
-            state = later | {"version": 1} if state is None else self._after(state, later)
-        self.carried.update(tuple(_plain(state[c]) for c in _CARRIED.fieldNames()))
-        yield pd.DataFrame([{"trip_id": key[0], **{c: state[c] for c in SUMS}, "rows_read": 0, "version": state["version"]}])
+        names, states = _CARRIED.fieldNames(), {}
+        given = pd.concat(list(rows))
+        given["trip_id"] = _named(given["trip_id"])
+        for later in given.sort_values("batch_id").to_dict("records"):
+            trip = later["trip_id"]
+            if trip not in states:
+                held = self.carried.getValue((trip,))
+                states[trip] = None if held is None else dict(zip(names, held, strict=True))
+            state = states[trip]
+            states[trip] = later | {"version": 1} if state is None else self._after(state, later)
+        for trip, state in states.items():
+            self.carried.updateValue((trip,), tuple(_plain(state[c]) for c in names))
+        yield pd.DataFrame([
+            {"trip_id": trip, **{c: state[c] for c in SUMS}, "rows_read": 0, "version": state["version"]}
+            for trip, state in states.items()
+        ])
 
     def _after(self, state: dict, later: dict) -> dict:
         seam = accelerations(*(np.array([x]) for x in (
@@ -132,6 +159,11 @@ class CarriedTrips(StatefulProcessor):
         pass
 
 
+def _named(trips: pd.Series) -> pd.Series:
+    """Trip names as objects, None in place of any other missing value."""
+    return trips.astype(object).where(trips.notna(), None)
+
+
 def _plain(value):
     return value.item() if isinstance(value, np.generic) else value
 
@@ -165,7 +197,7 @@ def start_carried(
     changed. Samples are expected in time order per trip, as in ``incremental``."""
     _use_rocksdb(spark)
     stored = spark.readStream.schema(SUMMARY).parquet(f"{path}/summaries-*")
-    changes = stored.groupBy("trip_id").transformWithStateInPandas(
+    changes = _by_cell(stored).transformWithStateInPandas(
         CarriedTrips(profile), METRIC_STATE, outputMode="Update", timeMode="None"
     )
     return _start_into(changes, log, checkpoint, interval)
@@ -174,96 +206,200 @@ def start_carried(
 # Samples kept in state
 
 class LiveTrips(StatefulProcessor):
-    """A map of slots to samples and, in one value, the sums and edges of all slots."""
+    """Of a cell: a map of slots to the samples of its trips, a map of trips to the sums and edges of
+    their slots, and, in one value, the slots there are."""
 
     def __init__(self, profile: Profile, ttl: bool):
         self.profile, self.ttl = profile, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.head = handle.getValueState("head", "version long, slots binary")
-        self.samples = handle.getMapState("samples", "slot long", "rows binary")
+        self.due = handle.getValueState("due", "slots binary")
+        self.heads = handle.getMapState("heads", "trip_id string", "version long, slots binary")
+        self.samples = handle.getMapState("samples", "slot long", "trips string, rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         given = pd.concat(list(rows))
         new = np.zeros(len(given), _SAMPLE)
-        for name in _SAMPLE.names:
+        new["trip"], trips = pd.factorize(_named(given["trip_id"]), use_na_sentinel=False)
+        for name in _SAMPLE.names[1:]:
             new[name] = given[name].to_numpy()
-        yield from self._change(key, new, timerValues)
+        yield from self._change(list(_named(pd.Series(trips))), new, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._change(key, np.zeros(0, _SAMPLE), timerValues)
+        yield from self._change([], np.zeros(0, _SAMPLE), timerValues)
 
-    def _change(self, key, new: np.ndarray, timerValues) -> Iterator[pd.DataFrame]:
-        version, packed = self.head.get() if self.head.exists() else (0, b"")
-        slots = {int(s["slot"]): s for s in np.frombuffer(packed, _SLOT)}
+    def _change(self, trips: list, new: np.ndarray, timerValues) -> Iterator[pd.DataFrame]:
+        due = np.frombuffer(self.due.get()[0], _DUE) if self.due.exists() else np.zeros(0, _DUE)
+        due = dict(zip(due["slot"].tolist(), due["least_at"].tolist(), strict=True))
         limit = timerValues.getCurrentWatermarkInMs() if self.ttl else -1
-        place = np.where(new["t"] == NONE, NONE, new["t"] // (SLOT_SECONDS * 1_000_000))
-        touched, read = {int(s) for s in place}, 0
+        touched = set(np.unique(_place(new)).tolist())
+        if limit >= 0:
+            touched |= {k for k, least_at in due.items() if least_at // 1000 <= limit}
+        number = {t: i for i, t in enumerate(trips)}
+        held = [self._held(k, number) for k in touched if k in due]
+        trips = list(number)
+        old = np.concatenate([np.zeros(0, _SAMPLE), *held])
+        rows = _last_writes(np.concatenate([old, new]))
+        gone = new[:0]
         if limit >= 0:
-            touched |= {k for k, s in slots.items() if s["least_at"] // 1000 <= limit}
+            live = rows["at"] // 1000 > limit
+            rows, gone = rows[live], rows[~live]
         for k in touched:
-            held = np.frombuffer(self.samples.getValue((k,))[0], _SAMPLE) if k in slots else new[:0]
-            read += len(held)
-            rows = _last_writes(np.concatenate([held, new[place == k]]))
-            if limit >= 0:
-                rows = rows[rows["at"] // 1000 > limit]
-            if len(rows):
-                self.samples.updateValue((k,), (rows.tobytes(),))
-                slots[k] = self._summed(k, rows)
-            elif slots.pop(k, None) is not None:
-                self.samples.removeKey((k,))
-        table = np.array([slots[k] for k in sorted(slots)], _SLOT)
-        if len(table):
-            self.head.update((version + 1, table.tobytes()))
-            if self.ttl:
-                for timer in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(timer)
-                self.handle.registerTimer(int(table["least_at"].min()) // 1000)
+            self._keep(k, rows[_place(rows) == k], trips, due)
+        if due:
+            self.due.update((np.array(list(due.items()), "<i8").tobytes(),))
         else:
-            self.head.clear()
-        yield pd.DataFrame([{"trip_id": key[0], **self._totals(table), "rows_read": read, "version": version + 1}])
-
-    def _summed(self, slot: int, rows: np.ndarray) -> np.ndarray:
-        """Sums of a slot's samples without what its first one owes to the slot before."""
-        found = np.zeros((), _SLOT)
-        found["slot"], found["rows"], found["least_at"] = slot, len(rows), rows["at"].min()
-        rows = rows[rows["inside"]]
+            self.due.clear()
+        if self.ttl:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if due:
+                self.handle.registerTimer(min(due.values()) // 1000)
+        found = self._summed_anew(trips, old, rows, np.concatenate([new, gone]))
+        if len(found):
+            yield found
+
+    def _held(self, slot: int, number: dict) -> np.ndarray:
+        """Stored samples of a slot. Trips that are not in ``number`` yet are put there."""
+        trips, packed = self.samples.getValue((slot,))
+        rows = np.frombuffer(packed, _SAMPLE).copy()
+        rows["trip"] = np.array([number.setdefault(t, len(number)) for t in json.loads(trips)], "<i4")[rows["trip"]]
+        return rows
+
+    def _keep(self, slot: int, rows: np.ndarray, trips: list, due: dict) -> None:
         if len(rows):
-            known = rows["v"][rows["known"]]
-            accel = accelerations(rows["t"][1:], rows["v"][1:], rows["t"][:-1], rows["v"][:-1], self.profile)
-            found["n"], found["speeds"], found["speed_sum"] = len(rows), len(known), known.sum()
-            found["most"] = known.max() if len(known) else np.nan
-            # NaN is above every limit, as in Spark.
-            found["alerts"] = ((known > self.profile.speed_limit) | np.isnan(known)).sum()
-            found["accel"], found["square"], found["brakes"] = accel.sum(), (accel * accel).sum(), _braking(accel, self.profile).sum()
-            found["first_t"], found["first_v"], found["last_t"], found["last_v"] = (
-                rows["t"][0], rows["v"][0], rows["t"][-1], rows["v"][-1])
-        return found
-
-    def _totals(self, table: np.ndarray) -> dict:
-        used = table[table["n"] > 0]
-        seams = accelerations(used["first_t"][1:], used["first_v"][1:], used["last_t"][:-1], used["last_v"][:-1], self.profile)
-        # The first sample of a trip has acceleration 0.
-        first = int(_braking(np.zeros(1), self.profile)[0]) if len(used) else 0
-        spoken = used[used["speeds"] > 0]
-        return {
-            "samples": int(used["n"].sum()), "speeds": int(used["speeds"].sum()), "speed_sum": float(used["speed_sum"].sum()),
-            "max_speed_kmh": float(spoken["most"].max()) if len(spoken) else np.nan,
-            "speeding_alerts": int(used["alerts"].sum()),
-            "accel_sum": float(used["accel"].sum() + seams.sum()),
-            "accel_square_sum": float(used["square"].sum() + (seams * seams).sum()),
-            "hard_brakes": int(used["brakes"].sum() + _braking(seams, self.profile).sum()) + first,
-        }
+            there, place = np.unique(rows["trip"], return_inverse=True)
+            packed = rows.copy()
+            packed["trip"] = place
+            self.samples.updateValue((slot,), (json.dumps([trips[i] for i in there]), packed.tobytes()))
+            due[slot] = int(rows["at"].min())
+        elif due.pop(slot, None) is not None:
+            self.samples.removeKey((slot,))
+
+    def _summed_anew(self, trips: list, old: np.ndarray, rows: np.ndarray, cause: np.ndarray) -> pd.DataFrame:
+        """Sums of the trips with samples in ``cause``, of whose slots those with such samples are
+        summed from ``rows`` and counted as read in ``old``."""
+        changed, of = np.unique(cause["trip"], return_inverse=True)
+        slots, slot_of = np.unique(_place(cause), return_inverse=True)
+        pairs = np.unique(of * len(slots) + slot_of)
+
+        def summed_anew(trip: np.ndarray, slot: np.ndarray) -> np.ndarray:
+            if not len(pairs):
+                return np.zeros(len(trip), bool)
+            i = np.minimum(np.searchsorted(changed, trip), len(changed) - 1)
+            j = np.minimum(np.searchsorted(slots, slot), len(slots) - 1)
+            there = (changed[i] == trip) & (slots[j] == slot)
+            return there & np.isin(i * len(slots) + j, pairs)
+
+        read = np.bincount(old["trip"][summed_anew(old["trip"], _place(old))], minlength=len(trips))
+        rows = rows[summed_anew(rows["trip"], _place(rows))]
+        trip, sums = _slot_sums(rows, self.profile)
+        versions, tables, owners = [], [sums], [trip]
+        for i in changed.tolist():
+            version, packed = self.heads.getValue((trips[i],)) or (0, b"")
+            versions.append(version + 1)
+            tables.append(np.frombuffer(packed, _SLOT))
+            owners.append(np.full(len(tables[-1]), i, trip.dtype))
+        before, owner = np.concatenate(tables[1:] + [sums[:0]]), np.concatenate(owners[1:] + [trip[:0]])
+        stay = ~summed_anew(owner, before["slot"])
+        table, owner = np.concatenate([before[stay], sums]), np.concatenate([owner[stay], trip])
+        order = np.lexsort((table["slot"], owner))
+        table, owner = table[order], owner[order]
+        first, last = np.searchsorted(owner, changed), np.searchsorted(owner, changed, "right")
+        for i, version, a, b in zip(changed.tolist(), versions, first.tolist(), last.tolist(), strict=True):
+            if a < b:
+                self.heads.updateValue((trips[i],), (version, table[a:b].tobytes()))
+            elif version > 1:
+                self.heads.removeKey((trips[i],))
+        found = _totals(table, np.searchsorted(changed, owner), len(changed), self.profile)
+        return pd.DataFrame({
+            "trip_id": pd.Series([trips[i] for i in changed.tolist()], dtype=object), **found, "rows_read": read[changed],
+            "version": np.array(versions, "<i8"),
+        })
 
     def close(self) -> None:
         pass
 
 
+def _place(rows: np.ndarray) -> np.ndarray:
+    return np.where(rows["t"] == NONE, NONE, rows["t"] // (SLOT_SECONDS * 1_000_000))
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(new)
+
+
+def _slot_sums(rows: np.ndarray, profile: Profile) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of every slot of every trip, without what its first sample owes to the slot before, and the
+    trips they are of. ``rows`` come by trip and time."""
+    starts = _starts(rows["trip"], _place(rows))
+    found = np.zeros(len(starts), _SLOT)
+    trip, found["slot"] = rows["trip"][starts], _place(rows)[starts]
+    group = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(rows)))
+    group, rows = group[rows["inside"]], rows[rows["inside"]]
+    if len(rows):
+        at = _starts(group)
+        g, end = group[at], np.append(at[1:], len(rows)) - 1
+        known, v = rows["known"], rows["v"]
+        accel = np.zeros(len(rows))
+        accel[1:] = accelerations(rows["t"][1:], v[1:], rows["t"][:-1], v[:-1], profile)
+        accel[at] = 0.0
+        braking = _braking(accel, profile)
+        braking[at] = False
+        speeds = np.add.reduceat(known.astype("<i8"), at)
+        found["n"][g], found["speeds"][g] = end - at + 1, speeds
+        found["speed_sum"][g] = np.add.reduceat(np.where(known, v, 0.0), at)
+        found["most"] = np.nan
+        found["most"][g] = np.where(speeds > 0, np.maximum.reduceat(np.where(known, v, -np.inf), at), np.nan)
+        # NaN is above every limit, as in Spark.
+        found["alerts"][g] = np.add.reduceat((known & ((v > profile.speed_limit) | np.isnan(v))).astype("<i8"), at)
+        found["accel"][g], found["square"][g] = np.add.reduceat(accel, at), np.add.reduceat(accel * accel, at)
+        found["brakes"][g] = np.add.reduceat(braking.astype("<i8"), at)
+        found["first_t"][g], found["first_v"][g] = rows["t"][at], v[at]
+        found["last_t"][g], found["last_v"][g] = rows["t"][end], v[end]
+    return trip, found
+
+
+def _totals(table: np.ndarray, owner: np.ndarray, n: int, profile: Profile) -> dict[str, np.ndarray]:
+    """Sums of ``n`` trips from those of their slots, which come by trip and time; ``owner`` is the
+    number of the trip."""
+    filled = table["n"] > 0
+    used, of = table[filled], owner[filled]
+    seams, braking = np.zeros(len(used)), np.zeros(len(used), bool)
+    if len(used):
+        seams[1:] = accelerations(used["first_t"][1:], used["first_v"][1:], used["last_t"][:-1], used["last_v"][:-1], profile)
+        # The first sample of a trip has acceleration 0.
+        seams[_starts(of)] = 0.0
+        braking = _braking(seams, profile)
+    most = np.full(n, -np.inf)
+    spoken = used["speeds"] > 0
+    np.maximum.at(most, of[spoken], used["most"][spoken])
+    speeds = _added(used["speeds"], of, n)
+    return {
+        "samples": _added(used["n"], of, n), "speeds": speeds, "speed_sum": _added(used["speed_sum"], of, n),
+        "max_speed_kmh": np.where(speeds > 0, most, np.nan),
+        "speeding_alerts": _added(used["alerts"], of, n),
+        "accel_sum": _added(used["accel"] + seams, of, n),
+        "accel_square_sum": _added(used["square"] + seams * seams, of, n),
+        "hard_brakes": _added(used["brakes"] + braking, of, n),
+    }
+
+
+def _added(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, values.dtype)
+    np.add.at(out, of, values)
+    return out
+
+
 def _last_writes(rows: np.ndarray) -> np.ndarray:
-    """By time, one row of each: the one written last, then of the highest sequence."""
-    rows = rows[np.lexsort((rows["seq"], rows["at"], rows["t"]))]
-    return rows[np.append(rows["t"][1:] != rows["t"][:-1], True)] if len(rows) else rows
+    """By trip and time, one row of each: the one written last, then of the highest sequence."""
+    rows = rows[np.lexsort((rows["seq"], rows["at"], rows["t"], rows["trip"]))]
+    ends = np.append(_starts(rows["trip"], rows["t"])[1:], len(rows)) - 1
+    return rows[ends] if len(rows) else rows
 
 
 def start_live(
@@ -290,7 +426,7 @@ def start_live(
         F.unix_micros("ingested_at").alias("at"), F.coalesce("speed_kmh", F.lit(float("nan"))).alias("v"),
         F.col("speed_kmh").isNotNull().alias("known"), F.coalesce(inside, F.lit(False)).alias("inside"),
     )
-    changes = rows.groupBy("trip_id").transformWithStateInPandas(
+    changes = _by_cell(rows).transformWithStateInPandas(
         LiveTrips(profile, ttl_seconds is not None), METRIC_STATE, outputMode="Update",
         timeMode="None" if ttl_seconds is None else "EventTime",
     )
