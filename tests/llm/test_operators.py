@@ -6,9 +6,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -449,6 +451,20 @@ def test_quality_threshold_is_that_of_all_labelled_rows(spark):
     assert abs(np.searchsorted(raw, model.cut, side="right") - bad) <= 1
 
 
+def test_quality_moves_features_not_texts(spark, monkeypatch):
+    docs, labels, _ = labelled(spark)
+    plans, write = [], quality.stage
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(quality, "stage", noted)
+    quality.quality_model(docs, labels)
+    # Features are measured below the join, so that no text is shuffled for it.
+    assert 0 <= plans[0].index("Join") < plans[0].index("ArrowEvalPython")
+
+
 def test_quality(spark):
     docs, labels, truth = labelled(spark)
     scored = quality.score_quality(docs, quality.quality_model(docs, labels)).collect()
@@ -531,3 +547,18 @@ def test_no_rows(docs):
     assert topk.top_k(vectors, vectors).collect() == []
     folder, index = warc.archive(spark.createDataFrame([], "page_id long, url string, html string"))
     assert index.collect() == [] and warc.read_bundles(index, folder).collect() == []
+
+
+def test_the_memory_of_a_block_is_bounded():
+    r = np.random.default_rng(6)
+    texts = [r.integers(97, 105, 5000, dtype=np.uint8).tobytes().decode() for _ in range(400)]
+    column = pa.chunked_array([pa.array(texts, pa.string())])
+    suffix._power_tables(2_100_000)  # kept from block to block
+    tracemalloc.start()
+    try:
+        suffix.Stretches(column, keycount.KeySpace(7, 8), 200, 32)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Sums and windows are 8 bytes each for every byte of text.
+    assert peak < 32 * 2_000_000

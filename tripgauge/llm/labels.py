@@ -11,7 +11,7 @@ from tripgauge.llm.common import held_out, stage
 FIT_ROWS = 24_000
 
 
-def _known(labels: DataFrame, label: str) -> DataFrame:
+def known(labels: DataFrame, label: str) -> DataFrame:
     """``doc_id, label`` of those that aren't held out; of several for an id the largest counts,
     and rows without either take no part."""
     return (
@@ -23,15 +23,10 @@ def _known(labels: DataFrame, label: str) -> DataFrame:
     )
 
 
-def _with_text(docs: DataFrame, known: DataFrame) -> DataFrame:
+def _with_text(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, text, label, h`` of every row of a known id; equal ``text, label`` share ``h``."""
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return text.join(known, "doc_id").withColumn("h", F.xxhash64("label", "text"))
-
-
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``doc_id, text, label, h`` of all labelled rows that aren't held out."""
-    return _with_text(docs, _known(labels, label))
+    return text.join(labels, "doc_id").withColumn("h", F.xxhash64("label", "text"))
 
 
 def first_ids(ids: DataFrame, rows: int) -> DataFrame:
@@ -48,8 +43,8 @@ def one_text_of_each(sample: DataFrame) -> DataFrame:
 def fit_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS) -> DataFrame:
     """``text, label`` of at most ``rows`` labelled rows that aren't held out: one of each of the
     ids of lowest hash. Equal texts count once per label."""
-    known = _known(labels, label)
-    ids = first_ids(known.join(docs.select("doc_id").dropna().distinct(), "doc_id", "left_semi"), rows)
-    chosen = _with_text(docs, known.join(ids, "doc_id"))
+    found = known(labels, label)
+    ids = first_ids(found.join(docs.select("doc_id").dropna().distinct(), "doc_id", "left_semi"), rows)
+    chosen = _with_text(docs, found.join(ids, "doc_id"))
     sample = one_text_of_each(stage(chosen, f"labelled-{label}")).select("text", "label")
     return stage(sample, f"fit-{label}")

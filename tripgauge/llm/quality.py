@@ -17,8 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.llm.common import stage
-from tripgauge.llm.labels import FIT_ROWS, first_ids, labelled, one_text_of_each
+from tripgauge.llm.common import held_out, stage
+from tripgauge.llm.labels import FIT_ROWS, first_ids, known, one_text_of_each
 
 BINS = 12
 PAIRS_PER_ROW = 6
@@ -137,8 +137,14 @@ def quality_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> R
     def measured(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t) for t in texts])
 
+    # Measured before they meet their labels: features and a digest move, not texts.
+    text = F.coalesce("text", F.lit(""))
+    learned = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 4, 2))
+    seen = learned.select("doc_id", F.xxhash64(text).alias("text_hash"), measured(text).alias("x"))
     every = stage(
-        labelled(docs, labels, "quality").select("doc_id", "label", "h", measured("text").alias("x")), "quality-features"
+        seen.join(known(labels, "quality"), "doc_id")
+        .select("doc_id", "label", F.xxhash64("label", "text_hash").alias("h"), "x"),
+        "quality-features",
     )
     sample = one_text_of_each(every.join(first_ids(every, rows), "doc_id", "left_semi"))
     found = sample.select("x", "label").toPandas()
