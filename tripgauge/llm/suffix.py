@@ -36,6 +36,8 @@ GRAM = 32
 BLOCK_BYTES = 3 << 20
 ANCHOR, STRETCH, WINDOW = 1, 2, 3
 KEY_BYTES = 8
+# Numbers that go with every byte are worked out for so many bytes at a time.
+PIECE = 1 << 17
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -76,16 +78,24 @@ class BlockBytes:
         n = len(self.data)
         power, self.inverse = _power_tables(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_byte_values()[self.data] * power[:n], out=self.sums[1:])
+        for a in range(0, n, PIECE):
+            b = min(n, a + PIECE)
+            part = self.sums[a + 1:b + 1]
+            np.cumsum(_byte_values()[self.data[a:b]] * power[a:b], out=part)
+            part += self.sums[a]
         # Windows that lie in one text.
         room = np.maximum(np.diff(self.bounds) - length + 1, 0)
-        whole = np.zeros(n + 1, np.int32)
-        np.add.at(whole, self.bounds[:-1], (room > 0).astype(np.int32))
-        np.add.at(whole, self.bounds[:-1] + room, -(room > 0).astype(np.int32))
-        self.starts = np.flatnonzero(np.cumsum(whole[:n]))
+        whole = np.zeros(n + 1, np.int8)
+        np.add.at(whole, self.bounds[:-1], (room > 0).astype(np.int8))
+        np.add.at(whole, self.bounds[:-1] + room, -(room > 0).astype(np.int8))
+        self.starts = np.flatnonzero(np.cumsum(whole[:n], dtype=np.int8))
 
     def hash(self, at: np.ndarray, size) -> np.ndarray:
-        return mixed((self.sums[at + size] - self.sums[at]) * self.inverse[at] + np.asarray(size, np.uint64))
+        out, sizes = np.empty(len(at), np.uint64), np.broadcast_to(size, len(at))
+        for i in range(0, len(at), PIECE):
+            x, n = at[i:i + PIECE], sizes[i:i + PIECE]
+            out[i:i + PIECE] = mixed((self.sums[x + n] - self.sums[x]) * self.inverse[x] + n.astype(np.uint64))
+        return out
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the stretches of windows with one anchor each: the anchor, the first and the last
@@ -93,19 +103,32 @@ class BlockBytes:
         if not len(self.starts):
             return (np.zeros(0, np.int64),) * 3
         n, span = len(self.data) - self.gram + 1, self.length - self.gram + 1
+        anchors, firsts, lasts = [], [], []
+        of_last, at_last = -1, -2
+        for i in range(0, len(self.starts), PIECE):
+            at = self.starts[i:i + PIECE]
+            of = self._least(int(at[0]), min(n, int(at[-1]) + span))[at - at[0]]
+            new = np.flatnonzero((np.diff(of, prepend=of_last) != 0) | (np.diff(at, prepend=at_last) != 1))
+            anchors.append(of[new])
+            firsts.append(at[new])
+            # The window before each first one is the last of its stretch.
+            lasts.append(np.where(new > 0, at[new - 1], at_last))
+            of_last, at_last = int(of[-1]), int(at[-1])
+        last = np.append(np.concatenate(lasts)[1:], at_last)
+        return np.concatenate(anchors), np.concatenate(firsts), last
+
+    def _least(self, start: int, end: int) -> np.ndarray:
+        """Of every window from ``start`` on whose grams begin before ``end``, the anchor."""
+        at, span = np.arange(start, end), self.length - self.gram + 1
         # The hash leads, the place breaks ties to the left.
-        low = (self.hash(np.arange(n), self.gram) & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
-        reach = 1
+        low = (self.hash(at, self.gram) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+        windows, reach = len(low) - span + 1, 1
         while reach * 2 <= span:
             low = np.minimum(low[:-reach], low[reach:])
             reach *= 2
         if reach < span:
-            low = np.minimum(low[: n - span + 1], low[span - reach: span - reach + n - span + 1])
-        of = (low[self.starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        new = (np.diff(of, prepend=-1) != 0) | (np.diff(self.starts, prepend=-2) != 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(of)) - 1
-        return of[first], self.starts[first], self.starts[last]
+            low = np.minimum(low[:windows], low[span - reach: span - reach + windows])
+        return (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 class Stretches:
@@ -200,7 +223,7 @@ def remove_repeats(
 def _removed(s: Stretches, told: pa.Table, space: KeySpace) -> np.ndarray:
     """Which bytes of a block a repeated window covers."""
     b = s.bytes
-    edges = np.zeros(len(b.data) + 1, np.int64)
+    edges = np.zeros(len(b.data) + 1, np.int32)
     if len(s.first) and told.num_rows:
         repeats, at = s.judge(told)
         np.add.at(edges, s.first[repeats], 1)
@@ -211,4 +234,4 @@ def _removed(s: Stretches, told: pa.Table, space: KeySpace) -> np.ndarray:
             again = at[totals[key] > 1]
             np.add.at(edges, again, 1)
             np.add.at(edges, again + b.length, -1)
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], dtype=np.int32) > 0
