@@ -553,7 +553,6 @@ def test_the_memory_of_a_block_is_bounded():
     r = np.random.default_rng(6)
     texts = [r.integers(97, 105, 5000, dtype=np.uint8).tobytes().decode() for _ in range(400)]
     column = pa.chunked_array([pa.array(texts, pa.string())])
-    suffix._power_tables(2_100_000)  # kept from block to block
     tracemalloc.start()
     try:
         suffix.Stretches(column, keycount.KeySpace(7, 8), 200, 32)

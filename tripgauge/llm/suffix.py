@@ -48,21 +48,32 @@ def _byte_values() -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
-_powers: list[np.ndarray] = []
+# Powers are kept as products of two short tables.
+SHORT = 1 << 12
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, kept for the next block."""
-    if not _powers or len(_powers[0]) < n:
+def _power_tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of the base and of its inverse modulo 2^64, below ``SHORT`` and of its multiples up to
+    ``n``, kept for the next block."""
+    if not _powers or len(_powers[0][1]) <= n // SHORT:
         tables = []
         for base in (_BASE, _INVERSE):
-            t = np.full(n, base, np.uint64)
-            t[0] = 1
-            tables.append(np.multiply.accumulate(t))
+            pair = []
+            for step, count in ((base, SHORT), (pow(base, SHORT, 1 << 64), n // SHORT + 1)):
+                t = np.full(count, step, np.uint64)
+                t[0] = 1
+                pair.append(np.multiply.accumulate(t))
+            tables.append(tuple(pair))
         _powers[:] = tables
     return _powers
 
 
+def _power(tables: tuple[np.ndarray, np.ndarray], at: np.ndarray) -> np.ndarray:
+    low, high = tables
+    return low[at & (SHORT - 1)] * high[at >> SHORT.bit_length() - 1]
+
+
 class BlockBytes:
     """The bytes of a block's texts in a row, and the hash of any stretch of them."""
 
@@ -81,7 +92,7 @@ class BlockBytes:
         for a in range(0, n, PIECE):
             b = min(n, a + PIECE)
             part = self.sums[a + 1:b + 1]
-            np.cumsum(_byte_values()[self.data[a:b]] * power[a:b], out=part)
+            np.cumsum(_byte_values()[self.data[a:b]] * _power(power, np.arange(a, b)), out=part)
             part += self.sums[a]
         # Windows that lie in one text.
         room = np.maximum(np.diff(self.bounds) - length + 1, 0)
@@ -94,7 +105,7 @@ class BlockBytes:
         out, sizes = np.empty(len(at), np.uint64), np.broadcast_to(size, len(at))
         for i in range(0, len(at), PIECE):
             x, n = at[i:i + PIECE], sizes[i:i + PIECE]
-            out[i:i + PIECE] = mixed((self.sums[x + n] - self.sums[x]) * self.inverse[x] + n.astype(np.uint64))
+            out[i:i + PIECE] = mixed((self.sums[x + n] - self.sums[x]) * _power(self.inverse, x) + n.astype(np.uint64))
         return out
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
