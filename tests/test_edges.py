@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import math
+import random
 
 import pytest
 from conftest import by_key
@@ -15,6 +16,7 @@ from tripgauge.operators.metrics import last_points
 from tripgauge.operators.quality import (
     EmptyInputError,
     dedup_lww,
+    dedup_whole_trips,
     filter_coordinates,
     require_rows,
     retain,
@@ -64,6 +66,24 @@ def test_dedup_keeps_nulls_of_the_winner(telemetry):
     assert dedup_lww(df).head().speed_kmh is None
 
 
+def test_whole_trips_lose_the_same_copies(telemetry):
+    r = random.Random(3)
+    rows = []
+    for i in range(400):
+        trip, second = r.choice(["A", "B", None]), r.choice([None, *range(12)])
+        rows.append((trip, second, float(i), -12.0, -77.0, r.choice([None, i, i % 7])))
+    df = telemetry(rows).withColumns({
+        "batch_id": F.col("speed_kmh").cast("long") % 5,
+        "ingested_at": F.when(F.col("speed_kmh") % 3 != 0, F.col("ingested_at")),
+    }).dropDuplicates(["trip_id", "event_time", "ingested_at", "batch_id", "seq"]).cache()
+    for given in (df, df.drop("batch_id").dropDuplicates(["trip_id", "event_time", "ingested_at", "seq"]).cache()):
+        want = sorted(map(repr, dedup_lww(given).collect()))
+        assert len(want) < given.count() * 0.7
+        assert sorted(map(repr, dedup_whole_trips(given).collect())) == want
+        twice = given.unionByName(given).unionByName(given)
+        assert sorted(map(repr, dedup_whole_trips(twice).collect())) == want
+
+
 def test_null_speed(telemetry):
     df = telemetry([("A", 0, 50.0), ("A", 1, None), ("A", 2, 70.0)])
     assert [r.accel for r in kinematics(df, CURRENT).orderBy("seq").collect()] == [0.0, 0.0, 0.0]

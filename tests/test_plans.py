@@ -12,7 +12,7 @@ from tripgauge.functions.columns import parse_time
 from tripgauge.operators.history import latest_by_key, latest_fields
 from tripgauge.operators.kinematics import kinematics, rolling_stats
 from tripgauge.operators.metrics import last_samples
-from tripgauge.operators.quality import dedup_lww
+from tripgauge.operators.quality import dedup_lww, dedup_whole_trips
 from tripgauge.operators.slicing import WHOLE_TRIPS, plan_slices, trip_ordinal
 from tripgauge.plans import serving
 from tripgauge.plans.fleet_report import scored_fleet
@@ -174,6 +174,14 @@ def test_last_writes_of_batches_need_no_sort(stored):
     assert "SortAggregate" not in text and "HashAggregate" in text
 
 
+def test_short_trips_are_shuffled_and_sorted_once_to_drop_copies_and_score(stored):
+    batches = stored.withColumn("batch_id", F.lit(1).cast("long"))
+    slices = plan_slices(batches)
+    assert not slices.needed
+    text = plan(scored_trips(dedup_whole_trips(batches).drop("batch_id"), CURRENT, 5, slices))
+    assert len(SHUFFLE.findall(text)) == 1 and len(re.findall(r"\bSort \[", text)) == 1
+
+
 def test_top_rows_are_cut_before_the_shuffle(stored):
     text = plan(last_samples(stored, 5))
     assert text.count("WindowGroupLimit") == 2

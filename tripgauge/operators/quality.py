@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripgauge.profiles import LAT_MAX, LAT_MIN, LON_MAX, LON_MIN, RETENTION_SECONDS
@@ -63,6 +63,24 @@ def dedup_lww(df: DataFrame) -> DataFrame:
     return latest(df, keys, moment_order("ingested_at", "seq")).select(*df.columns)
 
 
+def dedup_whole_trips(df: DataFrame) -> DataFrame:
+    """What ``dedup_lww`` gives, for input that ``plan_slices`` found no long trip in. Rows are
+    shuffled by trip, as windows over trips need them, and sorted by time and sequence within it, so
+    that those windows need no shuffle and no sort of their own. Rows of the same write time, batch
+    and sequence are one."""
+    written = ["ingested_at", *(["batch_id"] if "batch_id" in df.columns else [])]
+    copies = Window.partitionBy("trip_id", "event_time").orderBy("seq", *written)
+    write = F.struct(*written, "seq")
+    newest = F.max("_write").over(copies.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return (
+        df.repartition("trip_id")
+        .withColumn("_write", write)
+        .withColumns({"_newest": newest, "_next": F.lead("_write").over(copies)})
+        .filter((F.col("_write") == F.col("_newest")) & ~F.col("_write").eqNullSafe(F.col("_next")))
+        .select(*df.columns)
+    )
+
+
 def require_rows(df: DataFrame, on_empty: str = "skip") -> bool:
     """True when there are rows; without any, False or an error."""
     if not df.isEmpty():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from tripgauge.operators.quality import dedup_lww, require_rows
+from tripgauge.operators.quality import dedup_lww, dedup_whole_trips, require_rows
 from tripgauge.operators.slicing import plan_slices
 from tripgauge.plans.fleet_report import build_fleet_report
 from tripgauge.plans.trip_report import build_report, scored_trips
@@ -29,7 +29,8 @@ def run_trips(
     if not require_rows(telemetry, profile.on_empty):
         return False
     slices = plan_slices(telemetry)
-    scored = scored_trips(dedup_lww(telemetry), profile, KEEP_POINTS, slices).persist(StorageLevel.MEMORY_AND_DISK)
+    once = dedup_lww(telemetry) if slices.needed else dedup_whole_trips(telemetry)
+    scored = scored_trips(once, profile, KEEP_POINTS, slices).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         append_audit(scored, audit_target, str(batch_id), **jdbc)
         upsert_reports(build_report(scored, profile), reports_path, batch_id, maintain_every)

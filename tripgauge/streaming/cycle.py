@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripgauge.operators.quality import dedup_lww, require_rows
+from tripgauge.operators.quality import dedup_lww, dedup_whole_trips, require_rows
 from tripgauge.operators.slicing import SLICE_ROWS, plan_slices
 from tripgauge.plans.trip_report import build_report, scored_trips
 from tripgauge.profiles import CURRENT, KEEP_POINTS, RETENTION_SECONDS, Profile
@@ -102,7 +102,8 @@ class Cycle:
             return
         # Planned before removing copies, which only lowers the counts it goes by.
         slices = plan_slices(live, slice_rows=self.slice_rows)
-        scored = scored_trips(dedup_lww(live).drop("batch_id"), self.profile, self.keep_points, slices)
+        once = dedup_lww(live) if slices.needed else dedup_whole_trips(live)
+        scored = scored_trips(once.drop("batch_id"), self.profile, self.keep_points, slices)
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             audit = audit_rows(scored, str(batch_id)).select(*AUDIT.fieldNames())
