@@ -4,7 +4,9 @@ import collections
 import itertools
 import math
 import random
+import tracemalloc
 
+import pandas as pd
 import pytest
 import xxhash
 
@@ -65,6 +67,19 @@ def test_masks_keep_enough_bits():
         covering_masks(7)
 
 
+def test_a_batch_is_marked_one_text_at_a_time():
+    texts = pd.Series([passage(s % 20, 500) for s in range(1000)] + [None, ""])
+    size = sum(len(t or "") for t in texts)
+    near.text_marks(texts[:5])
+    tracemalloc.start()
+    marks = near.text_marks(texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < size / 2
+    assert [int(v) % (1 << 64) for v in marks["fp"][:20]] == [near.word_print(near.words_of(t)) for t in texts[:20]]
+    assert marks["node"].nunique() == 21 and marks["fp"].tolist()[-2:] == [0, 0]
+
+
 @pytest.mark.parametrize("block", [3, 512])
 @pytest.mark.parametrize("similarity", [0.8, 0.97])
 def test_classes_are_those_of_brute_force(spark, similarity, block):

@@ -69,6 +69,19 @@ def word_print(words: list[bytes]) -> int:
     return int(np.packbits(2 * ones > weights.sum(), bitorder="little").view("<u8")[0])
 
 
+def text_marks(texts: pd.Series) -> pd.DataFrame:
+    """``fp, node`` of each text: its fingerprint and the digest of its words. The words of one text
+    at a time are held: those of a whole batch take about nine times the room of its texts."""
+    from hashlib import sha256
+
+    fp, nodes = np.zeros(len(texts), np.uint64), []
+    for i, text in enumerate(texts):
+        words = words_of(text)
+        fp[i] = word_print(words)
+        nodes.append(sha256(b" ".join(words)).hexdigest())
+    return pd.DataFrame({"fp": fp.view(np.int64), "node": nodes})
+
+
 class Cell:
     """Texts of one task: fingerprints, shingle sets, and ``root``, a number of the class of each."""
 
@@ -128,11 +141,7 @@ def near_rows(
 
     @F.pandas_udf(kind)
     def marked(texts: pd.Series) -> pd.DataFrame:
-        from hashlib import sha256
-
-        words = [words_of(t) for t in texts]
-        fp = np.fromiter(map(word_print, words), np.uint64, len(texts))
-        return pd.DataFrame({"fp": fp.view(np.int64), "node": [sha256(b" ".join(w)).hexdigest() for w in words]})
+        return text_marks(texts)
 
     raw = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     own = F.sha2(raw.cast("binary"), 256).alias("own")
