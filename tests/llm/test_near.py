@@ -6,6 +6,7 @@ import math
 import random
 import tracemalloc
 
+import numpy as np
 import pandas as pd
 import pytest
 import xxhash
@@ -165,6 +166,59 @@ def test_stages_keep_one_row_of_each_group(spark, name):
     assert set(norm) == want | near_by and set(norm.values()) == {1}
 
 
+def test_similar_sets_share_one_of_their_rarest(spark):
+    r = np.random.default_rng(5)
+    common = np.unique(r.integers(0, 1 << 63, 200, np.uint64))
+    counts = r.integers(4, 50, len(common))
+    tried = 0
+    for _ in range(3000):
+        n, similarity = int(r.integers(1, 60)), float(r.choice([0.5, 0.8, 0.9, 1.0]))
+        a = np.unique(np.concatenate([r.choice(common, int(n * r.random())), r.integers(0, 1 << 63, n, np.uint64)]))
+        b = np.unique(np.concatenate([a[r.random(len(a)) < r.choice([0.75, 0.9, 0.97])], r.integers(0, 1 << 63, int(r.integers(4)), np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if both >= similarity * (len(a) + len(b) - both) and both:
+            tried += 1
+            for known, seen in ((common, counts), (common[:0], counts[:0])):
+                assert len(np.intersect1d(near.rarest(a, similarity, known, seen), near.rarest(b, similarity, known, seen)))
+    assert tried > 500
+    assert not len(near.rarest(common[:0], 0.8, common, counts))
+    # Common ones come last, the most common at the end.
+    own = np.sort(r.integers(0, 1 << 63, 3, np.uint64))
+    got = near.rarest(np.unique(np.concatenate([own, common])), 0.5, common, counts)
+    assert got[:3].tolist() == own.tolist() and len(got) == len(common) + 3 - math.ceil(0.5 * (len(common) + 3)) + 1
+    ranks = counts[np.searchsorted(common, got[3:])]
+    assert (np.diff(ranks) >= 0).all() and ranks[-1] <= np.median(counts) + 1
+
+
+def test_a_large_region_of_unlike_texts_is_parted(spark, monkeypatch):
+    """Texts that are close by their words alone leave a large region before its blocks meet."""
+    r = random.Random(3)
+    base = passage(41, 400).split()
+    texts = []
+    for k in range(200):  # the same words in other orders: one region, no two alike
+        r.shuffle(base)
+        texts.append(" ".join([*base, f"own{k}"]))
+    copies = [edited(texts[i], .01, i) for i in range(0, 200, 10)]
+    foot = " and at the foot of each the same line of words stands here"
+    docs = spark.createDataFrame(list(enumerate(t + foot for t in texts + copies)), "doc_id long, text string").repartition(4)
+    moved = []
+
+    def stage(df, name, old=near.stage):
+        out = old(df, name)
+        moved.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near, "stage", stage)
+    kept = sorted(x["doc_id"] for x in near.near_dedup(docs, block=16).collect())
+    assert kept == plain_classes([t + foot for t in texts + copies], near.SIMILARITY)[0]
+    assert dict(moved)["near-texts"] > 200
+    pairs = len(texts + copies) - len(kept)
+    assert pairs > 10 and dict(moved).get("near-parted") == 2 * pairs
+    # Blocks settled these alone and met no others.
+    assert [n for name, n in moved if name == "near-heads"] == [2 * pairs]
+    assert not any(n for name, n in moved if name in ("near-open", "near-across"))
+
+
 def test_no_rows_or_copies(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
     for dedup in (lambda d: exact.exact_dedup(d, single=True), near.near_dedup):

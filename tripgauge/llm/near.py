@@ -5,18 +5,25 @@ word moves few of its bits, where it would change as many shingles as they are l
 whose fingerprints differ in ``radius`` bits or fewer are candidates; two texts are linked where the
 Jaccard similarity of their shingle sets is high enough, and classes are what links join.
 
-Candidates that hang together make a region. A region is dealt to blocks of at most about ``BLOCK``
-texts, each of which settles all its pairs in one task, on sorted numbers of shingles. Of a larger
-region one text per class and block goes on to the next round, where classes of several blocks meet.
-Where a region then still has several classes, the pairs that lead from class to class are settled
-as well, block against block, those within the largest class left out. So every candidate pair is either
-verified or lies within a class, no pair is written down, and a text that many others resemble is
-compared block by block.
+Candidates that hang together make a region. Long texts of one language have fingerprints that are
+close by chance, and with their number they run together to regions that hold much of the corpus.
+So a region of more than ``BLOCK`` texts is parted by shingles first: similar sets share one of their
+rarest shingles (a prefix filter), and only candidates that share one stay together.
+
+A region is dealt to blocks of at most about ``BLOCK`` texts, each of which settles all its pairs in
+one task, on sorted numbers of shingles. Of a larger region one text per class and block goes on to
+the next round, where classes of several blocks meet. Where a region then still has several classes,
+the pairs that lead from class to class are settled as well, block against block, those within the
+largest class left out. So every candidate pair that can be similar enough is either verified or lies
+within a class, no pair is written down, and a text that many others resemble is compared block by
+block.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,13 +33,18 @@ from pyspark.sql import types as T
 
 from tripgauge.llm.common import one_of_each, stage
 from tripgauge.llm.components import components
-from tripgauge.llm.simhash import near_links
+from tripgauge.llm.simhash import cell_links, near_links
 
 SHINGLE = 5
 RADIUS = 6
 SIMILARITY = 0.8
 # Texts of a region that one task settles.
 BLOCK = 512
+# Texts of large regions, about, that tell common shingles, and in how many of them one is common.
+SAMPLE = 4096
+COMMON = 4
+# Rows that one task hands over at once.
+ROWS = 1 << 17
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -82,6 +94,20 @@ def text_marks(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"fp": fp.view(np.int64), "node": nodes})
 
 
+def rarest(shingles: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """So many of a text's ``shingles``, sorted as ``shingle_set`` has them, that any set of that
+    similarity shares one of those it gives itself: all but ``similarity`` of them and one more, the
+    first in one order of all shingles. Any order would do; here those in ``common``, sorted, come
+    last, by their ``counts``."""
+    n = len(shingles) - math.ceil(similarity * len(shingles) - 1e-6) + 1
+    if not len(common) or not len(shingles):
+        return shingles[:n]
+    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+    known = common[at] == shingles
+    last = shingles[known][np.argsort(counts[at[known]], kind="stable")]
+    return np.concatenate([shingles[~known], last])[:n]
+
+
 class Cell:
     """Texts of one task: fingerprints, shingle sets, and ``root``, a number of the class of each."""
 
@@ -163,11 +189,55 @@ def near_rows(
         .select("region", "n", "node", "fp", "content"),
         "near-texts",
     )
-    links = _links_of(texts, shingle, radius, similarity, block)
+    links = _links_of(_parted(texts, shingle, radius, similarity, block), shingle, radius, similarity, block)
     classes = components(links)
     return prints.join(classes, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("group"))
 
 
+def _parted(texts: DataFrame, shingle: int, radius: int, similarity: float, block: int) -> DataFrame:
+    """``texts`` with regions of more than ``block`` parted where nothing links their texts: what is
+    left of one hangs together by fingerprints within ``radius`` of texts that share one of their
+    rarest shingles. Texts that are alone then are left out."""
+    large = texts.filter(F.col("n") > block)
+    count = large.count()
+    if not count:
+        return texts
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["content"]:
+                yield pd.DataFrame({"cell": shingle_set(text, shingle).view(np.int64)})
+
+    # A sample of bounded size. It decides only the order, and with it how many meet for nothing.
+    sampled = large.filter(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(max(1, count // SAMPLE))) == 0).select("content")
+    seen = sampled.mapInPandas(shingles, "cell long").groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    known = seen.filter(F.col("n") >= COMMON).toPandas()
+    common, counts = known["cell"].to_numpy(np.int64).view(np.uint64), known["n"].to_numpy(np.int64)
+    order = np.argsort(common)
+    common, counts = common[order], counts[order]
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found, held = [], 0
+            for fp, name, text in zip(batch["fp"].tolist(), batch["name"].tolist(), batch["content"], strict=True):
+                cell = rarest(shingle_set(text, shingle), similarity, common, counts).view(np.int64)
+                found.append(pd.DataFrame({"cell": cell, "fp": fp, "name": name}))
+                held += len(cell)
+                if held >= ROWS:
+                    yield pd.concat(found)
+                    found, held = [], 0
+            if found:
+                yield pd.concat(found)
+
+    named = large.withColumn("name", F.xxhash64("node"))
+    met = named.select("fp", "name", "content").mapInPandas(cells, "cell long, fp long, name long")
+    parts = stage(components(cell_links(met.repartition("cell").sortWithinPartitions("cell", "fp", "name"), radius)), "near-parts")
+    sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    members = parts.join(sizes, "root").select(F.col("node").alias("name"), F.col("root").alias("region"), "n")
+    parted = named.drop("region", "n").join(members, "name").select(*texts.columns)
+    return texts.filter(F.col("n") <= block).unionByName(stage(parted, "near-parted"))
+
+
 def _dealt(texts: DataFrame, block: int, salt: int) -> DataFrame:
     """``texts`` of regions of ``n`` with the number of blocks of their region and their own ``block``."""
     blocks = F.ceil(F.col("n") / block).cast("int")

@@ -120,6 +120,13 @@ def bucket_cells(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK)
 def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Links ``a, b`` that join all of ``fp`` in ``distinct`` which differ in ``radius`` bits or
     fewer, directly or over others they are linked to as well."""
+    return cell_links(bucket_cells(distinct, radius, block), radius)
+
+
+def cell_links(cells: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links ``a, b`` that join all whose fingerprints differ in ``radius`` bits or fewer and that
+    share a cell. ``cells`` has a cell, a fingerprint and, unless that is its own, a name, in
+    partitions that are sorted by them and hold whole cells."""
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
@@ -137,7 +144,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
         if rest is not None:
             yield _links(rest, radius)
 
-    found = stage(bucket_cells(distinct, radius, block).mapInPandas(compare, "a long, b long").distinct(), "near-links")
+    found = stage(cells.mapInPandas(compare, "a long, b long").distinct(), "near-links")
     # Members of a large group meet in many tables; of their links each task keeps a forest.
     tasks = max(1, math.ceil(found.count() / LINKS))
     return found.repartition(tasks).mapInPandas(_spanning, "a long, b long")
@@ -168,9 +175,10 @@ def _cell(one: Column, other: Column) -> Column:
 
 
 def _links(rows: np.ndarray, radius: int) -> pd.DataFrame:
-    """Links in rows of (cell, fingerprint) that are sorted by cell."""
-    fp = np.ascontiguousarray(rows[:, 1])
-    bits = fp.view(np.uint64)
+    """Links of names in rows of (cell, fingerprint, name) that are sorted by cell; without a name
+    the fingerprint is one."""
+    name = np.ascontiguousarray(rows[:, -1])
+    bits = np.ascontiguousarray(rows[:, 1]).view(np.uint64)
     new = rows[1:, 0] != rows[:-1, 0]
     starts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(rows)]])
     sizes = np.diff(starts)
@@ -178,34 +186,34 @@ def _links(rows: np.ndarray, radius: int) -> pd.DataFrame:
     few = sizes <= SMALL
     small = np.flatnonzero(few[group])
     found = []
-    g, x, y = group[small], bits[small], fp[small]
+    g, x, y = group[small], bits[small], name[small]
     for step in range(1, min(SMALL, len(small))):
-        near = (g[step:] == g[:-step]) & (np.bitwise_count(x[step:] ^ x[:-step]) <= radius) & (x[step:] != x[:-step])
+        near = (g[step:] == g[:-step]) & (np.bitwise_count(x[step:] ^ x[:-step]) <= radius) & (y[step:] != y[:-step])
         if near.any():
             found.append(np.column_stack([y[:-step][near], y[step:][near]]))
     for i in np.flatnonzero(~few):
-        part = np.unique(bits[starts[i]:starts[i + 1]])
-        found.append(_forest(part, radius).view(np.int64))
+        names, first = np.unique(name[starts[i]:starts[i + 1]].view(np.uint64), return_index=True)
+        found.append(_forest(bits[starts[i]:starts[i + 1]][first], radius, names).view(np.int64))
     links = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
     return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
 
 
-def _forest(bits: np.ndarray, radius: int) -> np.ndarray:
-    """Each of the distinct, sorted fingerprints that are linked, however far, with the smallest of
+def _forest(bits: np.ndarray, radius: int, names: np.ndarray) -> np.ndarray:
+    """Each of the distinct, sorted names that are linked, however far, with the smallest of
     them: buckets of many tables then give the same links. Each one reached is compared with those
     not reached yet, once."""
-    links, left = [], bits
+    links, left, rest = [], bits, names
     while len(left):
-        first, left = left[0], left[1:]
-        queue = [first]
+        first, queue = rest[0], [left[0]]
+        left, rest = left[1:], rest[1:]
         while queue and len(left):
             at = queue.pop()
             near = np.bitwise_count(left ^ at) <= radius
             if near.any():
-                reached = left[near]
+                reached = rest[near]
                 links.append(np.column_stack([np.full(len(reached), first, np.uint64), reached]))
-                queue.extend(reached)
-                left = left[~near]
+                queue.extend(left[near])
+                left, rest = left[~near], rest[~near]
     return np.concatenate(links) if links else np.zeros((0, 2), np.uint64)
 
 
